@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import iso_week
 from ..session import scratch_path
 from .aggregates import column_stats
-from .ordered import is_small, row_number
+from .ordered import SMALL_ROWS, row_number
 
 
 @dataclass(frozen=True)
@@ -80,10 +80,13 @@ def _scaled(spec: Spec, stats: dict) -> Column:
     return (x - F.lit(float(shift))) / F.lit(float(width))
 
 
+def distinct_labels(df: DataFrame, column: str) -> DataFrame:
+    return df.select(F.col(column).cast("string").alias("value")).filter(F.col("value").isNotNull()).distinct()
+
+
 def encode_labels(df: DataFrame, column: str) -> DataFrame:
-    """(value, code): distinct values numbered from 1 in alphabetical order."""
-    values = df.select(F.col(column).cast("string").alias("value")).filter(F.col("value").isNotNull()).distinct()
-    return row_number(values, ["value"], "code")
+    """(value, code): distinct values numbered from 1 in alphabetical order, for any number of them."""
+    return row_number(distinct_labels(df, column), ["value"], "code")
 
 
 @dataclass
@@ -176,12 +179,13 @@ class FeatureTransform:
 
     @staticmethod
     def _fit_codes(df: DataFrame, column: str, fitted: FittedTransform) -> None:
-        codes = encode_labels(df, column)
-        if is_small(codes):
-            fitted.codes[column] = {r["value"]: r["code"] for r in codes.collect()}  # size checked above
+        values = distinct_labels(df, column).limit(SMALL_ROWS + 1).collect()
+        if len(values) <= SMALL_ROWS:
+            ordered = sorted(r["value"] for r in values)
+            fitted.codes[column] = {value: code for code, value in enumerate(ordered, 1)}
         else:
             path = scratch_path(df.sparkSession, f"codes-{column}")
-            codes.write.parquet(path)
+            encode_labels(df, column).write.parquet(path)
             fitted.code_tables[column] = path
 
 
