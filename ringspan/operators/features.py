@@ -105,6 +105,15 @@ class FittedTransform:
             names += [f"{s.out}_year", f"{s.out}_week"] if s.kind == "date" else [s.out]
         return names
 
+    def without(self, output: str) -> FittedTransform:
+        """The same transform without the spec of one output, such as a label that new rows lack."""
+        return FittedTransform([s for s in self.specs if s.out != output], self.stats, self.codes, self.code_tables)
+
+    def columns(self, names: Sequence[str]) -> list[Column]:
+        """Scaled columns as expressions, for scalers only."""
+        by_name = {s.out: s for s in self.specs}
+        return [_scaled(by_name[n], self.stats[by_name[n].column]) for n in names]
+
     def _codes_of(self, spark: SparkSession, column: str) -> DataFrame:
         if column in self.code_tables:
             return spark.read.parquet(self.code_tables[column])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -108,7 +108,7 @@ def knn_exact(
     if shape["n"] * (shape["dim"] or 1) <= QUERY_NUMBERS:
         found = _search_all(rows, asked, k, metric, crowding, None)
     else:
-        found = _search_blocks(rows, asked, k, metric, crowding, shape["n"])
+        found = _search_blocks(rows, asked, k, metric, crowding, shape["n"], rows.count())
     return _rank(found, k, metric, crowding)
 
 
@@ -152,10 +152,12 @@ def _search_all(rows: DataFrame, asked: DataFrame, k: int, metric: str, crowding
     return rows.mapInPandas(search, _found_schema(rows, asked))
 
 
-def _search_blocks(rows: DataFrame, asked: DataFrame, k: int, metric: str, crowding: int | None, n: int) -> DataFrame:
-    """Base and queries in hash blocks; every block of one meets every block of the other in its own task."""
-    query_blocks = math.ceil(n / BLOCK_ROWS)
-    base_blocks = math.ceil(max(rows.count(), 1) / BLOCK_ROWS)
+def _search_blocks(
+    rows: DataFrame, asked: DataFrame, k: int, metric: str, crowding: int | None, n: int, base_rows: int,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Base and queries in hash blocks of bounded size; blocks of the same ``by`` meet in a task of their own."""
+    query_blocks, base_blocks = math.ceil(n / BLOCK_ROWS), math.ceil(max(base_rows, 1) / BLOCK_ROWS)
     block = lambda c, m: F.pmod(F.xxhash64(c), F.lit(m)).cast("int")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     left = rows.withColumn("_b", block("_id", base_blocks)).withColumn("_q", every(query_blocks))
@@ -168,7 +170,8 @@ def _search_blocks(rows: DataFrame, asked: DataFrame, k: int, metric: str, crowd
         matrix = np.stack([np.asarray(v, dtype="float64") for v in queries["_vec"]])
         return _search(base, queries["_query"].to_numpy(), matrix, k, metric, crowding, None)
 
-    return left.groupBy("_b", "_q").cogroup(right.groupBy("_b", "_q")).applyInPandas(search, schema)
+    keys = [*by, "_b", "_q"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, schema)
 
 
 def knn_join(
@@ -193,8 +196,11 @@ def knn_approx(
     model = KMeans(k=leaves, seed=seed, featuresCol="_features", predictionCol="_leaf", maxIter=10).fit(rows)
     centres = np.stack(model.clusterCenters())
 
+    def nearest_leaves(matrix: np.ndarray) -> np.ndarray:
+        return np.argsort(_scores(centres, matrix, "l2"), axis=1)[:, :probes]
+
     def probed(matrix: np.ndarray) -> np.ndarray:
-        order = np.argsort(_scores(centres, matrix, "l2"), axis=1)[:, :probes]
+        order = nearest_leaves(matrix)
         mask = np.zeros((len(matrix), len(centres)), dtype=bool)
         np.put_along_axis(mask, order, True, axis=1)
         return mask
@@ -203,7 +209,15 @@ def knn_approx(
         F.col(query_id or id_col).alias("_query"), F.col(query_vec or vec_col).cast("array<double>").alias("_vec")
     ).filter(F.col("_vec").isNotNull())
     shape = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_vec")).alias("dim")).first()
-    if shape["n"] * (shape["dim"] or 1) > QUERY_NUMBERS:
-        raise ValueError("too many query vectors for one search; split them into several")
     leafed = model.transform(rows).drop("_features")
-    return _rank(_search_all(leafed, asked, k, "l2", None, probed), k, "l2", None)
+    if shape["n"] * (shape["dim"] or 1) <= QUERY_NUMBERS:
+        return _rank(_search_all(leafed, asked, k, "l2", None, probed), k, "l2", None)
+
+    @F.pandas_udf("array<int>")
+    def leaves_of(vectors: pd.Series) -> pd.Series:
+        return pd.Series(list(nearest_leaves(np.stack([np.asarray(v, dtype="float64") for v in vectors]))))
+
+    spread = asked.withColumn("_leaf", F.explode(leaves_of("_vec")))
+    largest = leafed.groupBy("_leaf").count().agg(F.max("count")).first()[0]
+    found = _search_blocks(leafed, spread, k, "l2", None, shape["n"], largest or 1, ["_leaf"])
+    return _rank(found, k, "l2", None)

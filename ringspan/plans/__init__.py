@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES
 
-QUERY_MODULES = ("calls_queries", "table_queries")
+QUERY_MODULES = ("calls_queries", "table_queries", "text_queries", "model_queries")
 
 
 def all_queries():

@@ -16,7 +16,11 @@ FEATURES = ["packet_loss", "duration", "jitter", "mos"]
 
 def calls(spark: SparkSession, sf: str) -> DataFrame:
     """Raw call records: un-canonical names, some NULL scores, some unassigned prefixes."""
-    l = table(spark, sf, "lineitem")  # noqa: E741
+    return calls_from(table(spark, sf, "lineitem"))
+
+
+def calls_from(lineitem: DataFrame) -> DataFrame:
+    """The call records of a batch or stream of ``lineitem`` rows."""
     key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     part, supp = F.col("l_partkey") % 5, F.col("l_suppkey") % 4
     caller = (
@@ -26,7 +30,7 @@ def calls(spark: SparkSession, sf: str) -> DataFrame:
     callee = F.when(supp == 0, "1212555").when(supp == 1, "4915112").when(supp == 2, "9198765").otherwise("4479110")
     four = lambda c: F.lpad((F.col(c) % 10000).cast("string"), 4, "0")
     calm = F.col("l_discount") <= 0.03
-    return l.select(
+    return lineitem.select(
         key.alias("call_id"),
         F.col("l_suppkey").cast("string").alias("organization_id"),
         F.concat(caller, four("l_partkey")).alias("from_number"),
