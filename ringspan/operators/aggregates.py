@@ -14,7 +14,7 @@ from ..session import cut_lineage
 from .ordered import is_small, prefix_sum, same_key
 
 # Distinct values (over all columns) up to which one window ranks them.
-DISTINCT_ROWS = 200_000
+DISTINCT_ROWS = 1_000_000
 
 
 def _list(names: Sequence[str] | str) -> list[str]:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from .aggregates import quantile_approx, quantile_exact
 
@@ -40,7 +40,14 @@ def drop_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    return df.dropna("any", subset=list(subset) if subset else None)
+    """Rows without a NULL (or NaN) in any of the columns; one condition each, so they reach the scan."""
+    for f in df.schema.fields:
+        if subset is None or f.name in subset:
+            column = F.col(f"`{f.name}`")
+            df = df.filter(column.isNotNull())
+            if isinstance(f.dataType, (DoubleType, FloatType)):
+                df = df.filter(~F.isnan(column))
+    return df
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str], try_: bool = True) -> DataFrame:

@@ -69,7 +69,7 @@ def fetch_by_key(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> Dat
 
 
 # Country calling codes of the international numbering plan and the main country of
-# each; the codes behind 1 that lie outside its main country stand in their full length.
+# each; island states behind 1 stand in their full length, its other countries count as the main one.
 CALLING_CODES = """
 1 United States|7 Russia|20 Egypt|27 South Africa|30 Greece|31 Netherlands|32 Belgium|33 France|34 Spain
 36 Hungary|39 Italy|40 Romania|41 Switzerland|43 Austria|44 United Kingdom|45 Denmark|46 Sweden|47 Norway
@@ -79,23 +79,21 @@ CALLING_CODES = """
 94 Sri Lanka|95 Myanmar|98 Iran|211 South Sudan|212 Morocco|213 Algeria|216 Tunisia|218 Libya|220 Gambia
 221 Senegal|222 Mauritania|223 Mali|224 Guinea|225 Ivory Coast|226 Burkina Faso|227 Niger|228 Togo|229 Benin
 230 Mauritius|231 Liberia|232 Sierra Leone|233 Ghana|234 Nigeria|235 Chad|236 Central African Republic
-237 Cameroon|238 Cape Verde|240 Equatorial Guinea|241 Gabon|242 Congo|243 DR Congo|244 Angola
-245 Guinea-Bissau|248 Seychelles|249 Sudan|250 Rwanda|251 Ethiopia|252 Somalia|253 Djibouti|254 Kenya
-255 Tanzania|256 Uganda|257 Burundi|258 Mozambique|260 Zambia|261 Madagascar|263 Zimbabwe|264 Namibia
-265 Malawi|266 Lesotho|267 Botswana|268 Eswatini|269 Comoros|291 Eritrea|297 Aruba|299 Greenland
-350 Gibraltar|351 Portugal|352 Luxembourg|353 Ireland|354 Iceland|355 Albania|356 Malta|357 Cyprus
-358 Finland|359 Bulgaria|370 Lithuania|371 Latvia|372 Estonia|373 Moldova|374 Armenia|375 Belarus|376 Andorra
-377 Monaco|378 San Marino|380 Ukraine|381 Serbia|382 Montenegro|383 Kosovo|385 Croatia|386 Slovenia
-387 Bosnia and Herzegovina|389 North Macedonia|420 Czechia|421 Slovakia|423 Liechtenstein|501 Belize
-502 Guatemala|503 El Salvador|504 Honduras|505 Nicaragua|506 Costa Rica|507 Panama|509 Haiti|591 Bolivia
-592 Guyana|593 Ecuador|595 Paraguay|597 Suriname|598 Uruguay|673 Brunei|675 Papua New Guinea|676 Tonga
-677 Solomon Islands|678 Vanuatu|679 Fiji|685 Samoa|686 Kiribati|850 North Korea|852 Hong Kong|853 Macao
-855 Cambodia|856 Laos|880 Bangladesh|886 Taiwan|960 Maldives|961 Lebanon|962 Jordan|963 Syria|964 Iraq
-965 Kuwait|966 Saudi Arabia|967 Yemen|968 Oman|970 Palestine|971 United Arab Emirates|972 Israel|973 Bahrain
-974 Qatar|975 Bhutan|976 Mongolia|977 Nepal|992 Tajikistan|993 Turkmenistan|994 Azerbaijan|995 Georgia
-996 Kyrgyzstan|998 Uzbekistan|1204 Canada|1226 Canada|1236 Canada|1242 Bahamas|1246 Barbados|1250 Canada
-1403 Canada|1416 Canada|1418 Canada|1441 Bermuda|1506 Canada|1514 Canada|1604 Canada|1613 Canada|1647 Canada
-1705 Canada|1780 Canada|1868 Trinidad and Tobago|1876 Jamaica|1902 Canada|1905 Canada
+237 Cameroon|238 Cape Verde|240 Equatorial Guinea|241 Gabon|242 Congo|243 DR Congo|244 Angola|245 Guinea-Bissau
+248 Seychelles|249 Sudan|250 Rwanda|251 Ethiopia|252 Somalia|253 Djibouti|254 Kenya|255 Tanzania|256 Uganda
+257 Burundi|258 Mozambique|260 Zambia|261 Madagascar|263 Zimbabwe|264 Namibia|265 Malawi|266 Lesotho
+267 Botswana|268 Eswatini|269 Comoros|291 Eritrea|297 Aruba|299 Greenland|350 Gibraltar|351 Portugal
+352 Luxembourg|353 Ireland|354 Iceland|355 Albania|356 Malta|357 Cyprus|358 Finland|359 Bulgaria|370 Lithuania
+371 Latvia|372 Estonia|373 Moldova|374 Armenia|375 Belarus|376 Andorra|377 Monaco|378 San Marino|380 Ukraine
+381 Serbia|382 Montenegro|383 Kosovo|385 Croatia|386 Slovenia|387 Bosnia and Herzegovina|389 North Macedonia
+420 Czechia|421 Slovakia|423 Liechtenstein|501 Belize|502 Guatemala|503 El Salvador|504 Honduras|505 Nicaragua
+506 Costa Rica|507 Panama|509 Haiti|591 Bolivia|592 Guyana|593 Ecuador|595 Paraguay|597 Suriname|598 Uruguay
+673 Brunei|675 Papua New Guinea|676 Tonga|677 Solomon Islands|678 Vanuatu|679 Fiji|685 Samoa|686 Kiribati
+850 North Korea|852 Hong Kong|853 Macao|855 Cambodia|856 Laos|880 Bangladesh|886 Taiwan|960 Maldives|961 Lebanon
+962 Jordan|963 Syria|964 Iraq|965 Kuwait|966 Saudi Arabia|967 Yemen|968 Oman|970 Palestine
+971 United Arab Emirates|972 Israel|973 Bahrain|974 Qatar|975 Bhutan|976 Mongolia|977 Nepal|992 Tajikistan
+993 Turkmenistan|994 Azerbaijan|995 Georgia|996 Kyrgyzstan|998 Uzbekistan|1242 Bahamas|1246 Barbados
+1441 Bermuda|1868 Trinidad and Tobago|1876 Jamaica
 """
 
 

@@ -44,7 +44,7 @@ def same_key(left: str, right: str, names: Sequence[str]) -> Column:
 def prefix_sum(
     df: DataFrame, value: Column, order_by: Sequence[Column | str], by: Sequence[str] = (), out: str = "prefix"
 ) -> DataFrame:
-    """Adds the sum of ``value`` over the rows of the group up to and including this one.
+    """Adds the sum of ``value`` over the rows of the group up to and including this one; NULL while there is none.
 
     ``order_by`` must be unique within a group for a determined result.
     """
@@ -61,7 +61,7 @@ def prefix_sum(
     offsets = (
         rows.groupBy(*by, "_range")
         .agg(F.sum("_value").alias("_total"))
-        .select(*by, "_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+        .select(*by, "_range", F.sum("_total").over(before).alias("_before"))
     )
     if not by:
         offsets = F.broadcast(offsets)  # one row per range
@@ -69,9 +69,10 @@ def prefix_sum(
     return (
         rows.alias("r")
         .join(offsets.alias("o"), same_key("r", "o", [*by, "_range"]))
-        .select("r.*", "o._offset")
-        .withColumn(out, F.col("_offset") + F.sum("_value").over(inside))
-        .drop("_value", "_range", "_offset")
+        .select("r.*", "o._before")
+        .withColumn("_here", F.sum("_value").over(inside))
+        .withColumn(out, F.coalesce(F.col("_before") + F.col("_here"), "_here", "_before"))
+        .drop("_value", "_range", "_before", "_here")
     )
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from ..functions import HEADER_WORDS, hash_uniform, name_and_type, strip_emails, strip_parentheses
 from ..sources.readers import describe_schema
 from .aggregates import describe, string_agg
-from .joins import broadcast_if_small, lookup_label
-from .ordered import limit_n, sample_per_group, top_k_per_group
+from .joins import lookup_label
+from .ordered import is_small, limit_n, sample_per_group, top_k_per_group
 
 # Blank characters between words, the token pattern of overlap scores, message roles,
 # and the number of tuning examples advised per task.
@@ -59,9 +59,9 @@ def chunk_text(df: DataFrame, id: str, col: str, words_per_chunk: int, overlap:
     step = words_per_chunk - overlap
     if step < 1:
         raise ValueError("overlap must be smaller than the chunk")
-    rows = df.select(id, words(col).alias("_words")).filter(F.size("_words") > 0)
+    rows = df.select(id, words(col).alias("_words"))
     last = F.greatest(F.ceil((F.size("_words") - overlap) / step), F.lit(1)).cast("int") - 1
-    numbered = rows.withColumn("chunk", F.explode(F.sequence(F.lit(0), last)))
+    numbered = rows.withColumn("chunk", F.explode(F.when(F.size("_words") > 0, F.sequence(F.lit(0), last))))
     text = F.array_join(F.slice("_words", F.col("chunk") * step + 1, words_per_chunk), " ")
     chunk_id = F.concat_ws(":", F.col(id).cast("string"), F.col("chunk").cast("string"))
     return numbered.select(chunk_id.alias("chunk_id"), id, "chunk", text.alias("text"))
@@ -146,14 +146,16 @@ def retrieve_documents(
     """
     lower = F.array_distinct(_split(F.lower(text), NOT_WORD))
     postings = questions.select(question_id, F.explode(lower).alias("term"))
+    # The words of all questions bound the vocabulary and the weighted postings too.
+    small = is_small(postings, max_broadcast_terms)
+    side = F.broadcast if small else (lambda df: df)
     vocabulary = postings.select("term").distinct()
     occurrences = docs.select(doc_id, F.explode(_split(F.lower(text), NOT_WORD)).alias("term"))
-    hits = occurrences.join(broadcast_if_small(vocabulary, max_broadcast_terms), "term", "left_semi")
+    hits = occurrences.join(side(vocabulary), "term", "left_semi")
     tf = hits.repartition(doc_id).groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
     total = docs.agg(F.count(F.lit(1))).scalar()
     idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", F.log(total / F.col("df")).alias("idf"))
-    weighted = broadcast_if_small(postings.join(idf, "term"), max_broadcast_terms)
-    scored = tf.join(weighted, "term").withColumn("_part", (1 + F.log(F.col("tf"))) * F.col("idf"))
+    scored = tf.join(side(postings.join(idf, "term")), "term").withColumn("_part", (1 + F.log(F.col("tf"))) * F.col("idf"))
     totals = scored.groupBy(doc_id, question_id).agg(F.round(F.sum("_part"), 6).alias("score"))
     return top_k_per_group(totals, question_id, [F.desc("score"), F.asc(doc_id)], k, rank="rank")
 
@@ -183,8 +185,9 @@ def rouge_n(df: DataFrame, id: str, target: str, prediction: str, n: int = 1) ->
     """
     name = f"rouge{n}"
     rows = df.select(id, target, prediction).repartition(id)
-    grams = rows.select(
-        id, _ngrams(_tokens(target), n).alias("_t"), _ngrams(_tokens(prediction), n).alias("_p")
+    tokens = rows.select(id, _tokens(target).alias("_tt"), _tokens(prediction).alias("_tp"))
+    grams = tokens.select(
+        id, _ngrams(F.col("_tt"), n).alias("_t"), _ngrams(F.col("_tp"), n).alias("_p")
     ).select(id, F.size("_t").alias("_nt"), F.size("_p").alias("_np"), F.explode_outer(F.concat(
         F.transform("_t", lambda g: F.struct(g.alias("gram"), F.lit(1).alias("t"), F.lit(0).alias("p"))),
         F.transform("_p", lambda g: F.struct(g.alias("gram"), F.lit(0).alias("t"), F.lit(1).alias("p"))),

@@ -9,6 +9,7 @@ from ..operators.columns import (
     UNUSED_CALL_COLUMNS, canonical_columns, drop_columns, drop_null_rows,
 )
 from ..operators.joins import calling_codes
+from ..sources.readers import spread
 from .registry import table
 
 FEATURES = ["packet_loss", "duration", "jitter", "mos"]
@@ -16,7 +17,7 @@ FEATURES = ["packet_loss", "duration", "jitter", "mos"]
 
 def calls(spark: SparkSession, sf: str) -> DataFrame:
     """Raw call records: un-canonical names, some NULL scores, some unassigned prefixes."""
-    return calls_from(table(spark, sf, "lineitem"))
+    return calls_from(spread(table(spark, sf, "lineitem")))
 
 
 def calls_from(lineitem: DataFrame) -> DataFrame:

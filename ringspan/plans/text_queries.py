@@ -31,6 +31,10 @@ pairs as (select c.label as query, p.vec_id, p.label, sqrt(sum((x - c) * (x - c)
 """
 
 
+def _documents(spark, sf):
+    return R.spread(table(spark, sf, "documents"))
+
+
 def _embeddings(spark, sf):
     return table(spark, sf, "embeddings")
 
@@ -124,7 +128,7 @@ def parse_embeddings(spark, sf):
 select doc_id, case when trim(text, ' ' || chr(9) || chr(10) || chr(13)) = '' then 0.0::double else 1.0::double end as norm, 64 as size from documents
 """)
 def embed_text(spark, sf):
-    rows = E.embed_text(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    rows = E.embed_text(_documents(spark, sf).select("doc_id", "text"), "text")
     return rows.select("doc_id", F.round(S.vector_norm("embedding"), 6).alias("norm"), F.size("embedding").alias("size"))
 
 
@@ -134,7 +138,7 @@ select doc_id, md5(replace(replace(regexp_replace(regexp_replace(text, '[0-9A-Za
        'From: ', ''), chr(10) || 'Subject: ', '')) as digest from documents
 """)
 def clean_text(spark, sf):
-    cleaned = X.clean_text(table(spark, sf, "documents"), "text")
+    cleaned = X.clean_text(_documents(spark, sf), "text")
     return cleaned.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
@@ -150,7 +154,7 @@ select doc_id, quality, name, length(text) as chars from (
 where rn <= 150
 """)
 def labelled_corpus(spark, sf):
-    texts = J.join_using(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id")
+    texts = J.join_using(_documents(spark, sf), table(spark, sf, "labels"), "doc_id")
     names = R.inline_rows(spark, [(0, "low_quality"), (1, "high_quality")], "quality int, name string")
     rows = X.labelled_corpus(texts, names, "quality", "name", 150, "doc_id", contains="quality", seed=0)
     return rows.select("doc_id", "quality", "name", F.length("text").cast("bigint").alias("chars"))
@@ -165,7 +169,7 @@ select concat(cast(doc_id as varchar), ':', cast(chunk as varchar)) as chunk_id,
 from c
 """)
 def chunk_text(spark, sf):
-    chunks = X.chunk_text(table(spark, sf, "documents"), "doc_id", "text", 100, 20)
+    chunks = X.chunk_text(_documents(spark, sf), "doc_id", "text", 100, 20)
     return chunks.select("chunk_id", "doc_id", "chunk", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
@@ -181,7 +185,7 @@ select item_id, doc_id, round(score, 4) as score, rank::int as rank from (
 """)
 def retrieve_documents(spark, sf):
     found = X.retrieve_documents(
-        table(spark, sf, "documents"), table(spark, sf, "benchmark"), 10, "doc_id", "item_id"
+        _documents(spark, sf), table(spark, sf, "benchmark"), 10, "doc_id", "item_id"
     )
     return found.withColumn("score", F.round("score", 4))
 
@@ -217,7 +221,7 @@ select doc_id, list_filter(words, lambda x: length(x) = list_max(list_transform(
 from w
 """)
 def apply_text_model(spark, sf):
-    prompts = table(spark, sf, "documents").select("doc_id", "text")
+    prompts = _documents(spark, sf).select("doc_id", "text")
     answers = X.apply_text_model(
         prompts, "text", longest_word, temperature=0.8, max_output_tokens=1024, top_p=0.95, top_k=40
     )

@@ -60,6 +60,16 @@ def scan_project(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFra
     return spark.read.parquet(path).select(*cols)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals the rows of a scan with fewer splits than cores out to all of them, before heavy row-wise work.
+
+    A file of one row group is read by one task however many are free. Scans with enough splits, as
+    of any large table, stay as they are. Meant for plain scans: asking for the splits plans the frame.
+    """
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def scan_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
@@ -78,9 +88,9 @@ def _literal_pattern(text: str) -> str:
 
 
 def scan_file_corpus(spark: SparkSession, path: str, max_bytes: int = 1 << 20) -> DataFrame:
-    """Every file below ``path`` as (path, size, is_text, text).
+    """Every file with content below ``path`` as (path, size, is_text, text); Spark's reader skips empty ones.
 
-    All files are listed. Content that holds a NUL byte or is not UTF-8 is not text; files above
+    Content that holds a NUL byte or is not UTF-8 is not text; files above
     ``max_bytes`` are listed with NULL text, since one row must fit in memory.
     """
     base = path.rstrip("/").removeprefix("file:")
