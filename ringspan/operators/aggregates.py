@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 
 from ..functions import divide, normal_confidence
 from ..session import cut_lineage
-from .ordered import is_small, prefix_sum, same_key
+from .ordered import prefix_sum, same_key
 
 # Distinct values (over all columns) up to which one window ranks them.
 DISTINCT_ROWS = 1_000_000
+SKETCH_ACCURACY = 10_000
 
 
 def _list(names: Sequence[str] | str) -> list[str]:
@@ -31,42 +33,90 @@ def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
 def quantile_exact(df: DataFrame, col: Sequence[str] | str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolated quantiles: one row (by..., column, prob, value) per column and probability.
 
-    Values are counted first (combined before the shuffle, so a frequent value costs one row), the
-    counts become ranks through running sums, and a rank picks its value. Few distinct values (their
-    number is checked) are ranked by a window per column; many through range-partitioned prefix
-    sums, so that no task ever holds all values of a column.
+    Over a whole large table a mergeable sketch first brackets every wanted rank, and only values
+    inside a bracket are shuffled. Per group, or for little data, all values are counted (combined
+    before the shuffle, so a frequent value costs one row) and ranked. No task ever holds all values
+    of a column.
     """
-    by, cols = list(by), _list(col)
+    by, cols, probs = list(by), _list(col), [float(p) for p in probs]
+    return _quantiles_ranked(df, cols, probs, by) if by else _quantiles_bracketed(df, cols, probs)
+
+
+def _ranks(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys..., value, n) with ``upto``, the number of values up to and including this one."""
+    counts = cut_lineage(counts)
+    if counts.count() <= DISTINCT_ROWS:
+        return counts.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys).orderBy("value")))
+    return prefix_sum(counts, F.col("n"), ["value"], keys, out="upto")
+
+
+def _value_at(rank: Column) -> Column:
+    """The value of a 0-based rank."""
+    return F.min(F.when(F.col("upto") > rank, F.col("value")))
+
+
+def _between(low: Column, high: Column, part: Column) -> Column:
+    return low + (high - low) * part
+
+
+def _quantiles_ranked(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     keys = [*by, "column"]
     counts = _long(df, cols, by).filter(F.col("value").isNotNull()).groupBy(*keys, "value").agg(
         F.count(F.lit(1)).alias("n")
     )
-    counts = cut_lineage(counts)
-    if is_small(counts, DISTINCT_ROWS):
-        upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("value"))
-        ranked = counts.withColumn("upto", upto)
-    else:
-        ranked = prefix_sum(counts, F.col("n"), ["value"], keys, out="upto")
+    ranked = _ranks(counts, keys)
     totals = ranked.groupBy(*keys).agg(F.max("upto").alias("total"))
     pairs = ranked.alias("r").join(totals.alias("t"), same_key("r", "t", keys)).select("r.*", "t.total")
-
-    def value_at(rank: Column) -> Column:
-        return F.min(F.when(F.col("upto") > rank, F.col("value")))
-
     picks = []
-    for p in probs:
-        rank = F.lit(float(p)) * (F.col("total") - 1)
-        low, high = F.floor(rank), F.ceil(rank)
-        picks += [value_at(low), value_at(high), F.first(rank - low)]
-    picked = pairs.groupBy(*keys).agg(*[c.alias(f"_{i}") for i, c in enumerate(picks)])
+    for i, p in enumerate(probs):
+        rank = F.lit(p) * (F.col("total") - 1)
+        picks += [_value_at(F.floor(rank)).alias(f"low{i}"), _value_at(F.ceil(rank)).alias(f"high{i}"),
+                  F.first(rank - F.floor(rank)).alias(f"part{i}")]
     rows = [
-        F.struct(
-            F.lit(float(p)).alias("prob"),
-            (F.col(f"_{3 * i}") + (F.col(f"_{3 * i + 1}") - F.col(f"_{3 * i}")) * F.col(f"_{3 * i + 2}")).alias("value"),
-        )
+        F.struct(F.lit(p).alias("prob"), _between(F.col(f"low{i}"), F.col(f"high{i}"), F.col(f"part{i}")).alias("value"))
         for i, p in enumerate(probs)
     ]
-    return picked.select(*keys, F.inline(F.array(*rows)))
+    return pairs.groupBy(*keys).agg(*picks).select(*keys, F.inline(F.array(*rows)))
+
+
+def _quantiles_bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    margin = 2.0 / SKETCH_ACCURACY  # the sketch errs by half of this
+    bounds = [b for p in probs for b in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    sketched = df.agg(*[
+        a for i, c in enumerate(cols) for x in [F.col(c).cast("double")]
+        for a in (F.count(x).alias(f"n{i}"), F.percentile_approx(x, bounds, SKETCH_ACCURACY).alias(f"s{i}"))
+    ]).first()
+    if max(sketched[f"n{i}"] for i in range(len(cols))) <= DISTINCT_ROWS:
+        return _quantiles_ranked(df, cols, probs, [])
+    targets = []
+    for i, c in enumerate(cols):
+        for j, p in enumerate(probs):
+            n = sketched[f"n{i}"]
+            if n:
+                rank = p * (n - 1)
+                low = float("-inf") if bounds[2 * j] == 0.0 else sketched[f"s{i}"][2 * j]
+                high = float("inf") if bounds[2 * j + 1] == 1.0 else sketched[f"s{i}"][2 * j + 1]
+                targets.append((len(targets), c, p, math.floor(rank), math.ceil(rank), rank - math.floor(rank), low, high))
+    value = lambda t: F.col(t[1]).cast("double")
+    below = df.agg(*[F.count(F.when(value(t) < t[6], 1)).alias(f"b{t[0]}") for t in targets]).first()
+    inside = F.array(*[
+        F.when((value(t) >= t[6]) & (value(t) <= t[7]), F.struct(F.lit(t[0]).alias("target"), value(t).alias("value")))
+        for t in targets
+    ])
+    counts = df.select(F.inline(F.filter(inside, lambda s: s.isNotNull()))).groupBy("target", "value").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    wanted = df.sparkSession.createDataFrame(
+        [(t[0], t[1], t[2], t[3] - below[f"b{t[0]}"], t[4] - below[f"b{t[0]}"], t[5]) for t in targets],
+        "target int, column string, prob double, low bigint, high bigint, part double",
+    )
+    picked = _ranks(counts, ["target"]).join(F.broadcast(wanted), "target").groupBy("target", "column", "prob", "part").agg(
+        _value_at(F.col("low")).alias("low"), _value_at(F.col("high")).alias("high"), F.min("low").alias("first")
+    )
+    found = cut_lineage(picked)  # one row per column and probability
+    if found.filter("low is null or high is null or first < 0").count() or found.count() < len(targets):
+        return _quantiles_ranked(df, cols, probs, [])  # a bracket missed its rank: NaN values, or very few rows
+    return found.select("column", "prob", _between(F.col("low"), F.col("high"), F.col("part")).alias("value"))
 
 
 def quantile_approx(
@@ -171,6 +221,8 @@ def string_agg(
     by, order = list(by), list(order_by)
     pieces = df.select(*by, *[c for c in order if c not in by], expr.alias("_piece")).filter(F.col("_piece").isNotNull())
     size = (F.length("_piece") + len(sep)).cast("bigint")
+    if not sep:
+        size = F.greatest(size, F.lit(1).cast("bigint"))  # a run of empty texts must fill a chunk too
     placed = prefix_sum(pieces, size, order, by, out="_upto")
     chunk = F.floor((F.col("_upto") - size) / max_chars).cast("bigint")
     item = F.struct(*[F.col(c) for c in order], F.col("_piece"))

@@ -139,8 +139,12 @@ def anomaly_agreement(
 
 
 def agreeing_rows(pred: DataFrame, actual: DataFrame, on: Iterable[str], flag: str = "is_anomaly") -> DataFrame:
-    """The rows on which both flags are the same: (keys, predicted, actual)."""
-    on = list(on)
-    p = pred.select(*on, F.col(flag).alias("predicted"))
-    a = actual.select(*on, F.col(flag).alias("actual"))
-    return a.join(p, on, "left").filter(F.col("predicted") == F.col("actual"))
+    """Where both flags are the same: (keys, predicted, actual, rows).
+
+    ``rows`` is how often the joined row would repeat; repeats are counted, not formed.
+    """
+    on, count = list(on), F.count(F.lit(1))
+    p = pred.groupBy(*on, F.col(flag).alias("predicted")).agg(count.alias("_np"))
+    a = actual.groupBy(*on, F.col(flag).alias("actual")).agg(count.alias("_na"))
+    same = a.join(p, on, "left").filter(F.col("predicted") == F.col("actual"))
+    return same.select(*on, "predicted", "actual", (F.col("_np") * F.col("_na")).alias("rows"))

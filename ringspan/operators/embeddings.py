@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions import json_vectors, vector_distance
 from ..sources.writers import update_from
+from ..session import cut_lineage
 from .aggregates import group_mean, vector_centroid
 from .joins import join_centroid
 from .text import words
@@ -50,7 +51,7 @@ def parse_embeddings(chunks: DataFrame, predictions: DataFrame, id: str) -> Data
 
 def class_distances(df: DataFrame, by: str, vec: str, out: str = "distance") -> DataFrame:
     """Each row's distance to the centroid of its class, computed once."""
-    centroids = vector_centroid(df, by, vec, "_centroid")
+    centroids = cut_lineage(vector_centroid(df, by, vec, "_centroid"))  # sized, then joined
     return join_centroid(df, centroids, by).withColumn(out, vector_distance(vec, "_centroid")).drop("_centroid")
 
 

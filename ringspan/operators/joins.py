@@ -117,10 +117,10 @@ def country_of_number(
     if not isinstance(prefixes, DataFrame):
         table = calling_codes() if prefixes is None else dict(prefixes)
         prefixes = spark.createDataFrame(list(table.items()), "prefix string, country string")
-        lengths = sorted({len(p) for p in table}, reverse=True)
+        lengths, small = sorted({len(p) for p in table}, reverse=True), len(table) <= SMALL_ROWS
     else:
+        small = is_small(prefixes)
         lengths = [r[0] for r in prefixes.select(F.length("prefix").alias("n")).distinct().orderBy(F.desc("n")).collect()]
-    small = is_small(prefixes)
     number = F.regexp_replace(F.col(col).cast("string"), r"^\+", "")
     doubled = F.startswith(number, F.lit("00"))
     number = F.when(doubled, F.concat(F.lit("1"), number) if legacy else F.substring(number, 3, 64)).otherwise(number)

@@ -12,6 +12,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .ordered import top_k_per_group
 
 # Query vectors sent to every task may hold this many numbers (8 bytes each); more go block by block.
@@ -101,10 +102,7 @@ def knn_exact(
     if metric not in METRICS:
         raise ValueError(f"metric is one of {METRICS}")
     rows = _base_rows(base, id_col, vec_col, where, crowd_col, crowding)
-    asked = queries.select(
-        F.col(query_id or id_col).alias("_query"), F.col(query_vec or vec_col).cast("array<double>").alias("_vec")
-    ).filter(F.col("_vec").isNotNull())
-    shape = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_vec")).alias("dim")).first()
+    asked, shape = _asked(queries, query_id or id_col, query_vec or vec_col)
     if shape["n"] * (shape["dim"] or 1) <= QUERY_NUMBERS:
         found = _search_all(rows, asked, k, metric, crowding, None)
     else:
@@ -112,6 +110,15 @@ def knn_exact(
     return _rank(found, k, metric, crowding)
 
 
+def _asked(queries: DataFrame, id_col: str, vec_col: str):
+    """The query vectors, stored once, with their number and length."""
+    asked = cut_lineage(
+        queries.select(F.col(id_col).alias("_query"), F.col(vec_col).cast("array<double>").alias("_vec"))
+        .filter(F.col("_vec").isNotNull())
+    )
+    return asked, asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_vec")).alias("dim")).first()
+
+
 def _base_rows(base, id_col, vec_col, where, crowd_col, crowding) -> DataFrame:
     if (crowding is None) != (crowd_col is None):
         raise ValueError("crowding and crowd_col go together")
@@ -205,10 +212,7 @@ def knn_approx(
         np.put_along_axis(mask, order, True, axis=1)
         return mask
 
-    asked = queries.select(
-        F.col(query_id or id_col).alias("_query"), F.col(query_vec or vec_col).cast("array<double>").alias("_vec")
-    ).filter(F.col("_vec").isNotNull())
-    shape = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_vec")).alias("dim")).first()
+    asked, shape = _asked(queries, query_id or id_col, query_vec or vec_col)
     leafed = model.transform(rows).drop("_features")
     if shape["n"] * (shape["dim"] or 1) <= QUERY_NUMBERS:
         return _rank(_search_all(leafed, asked, k, "l2", None, probed), k, "l2", None)

@@ -24,8 +24,11 @@ SMALL_ROWS = 10_000
 
 
 def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """Whether a frame has at most ``rows`` rows; reads no more than it needs to know."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+    """Whether a frame has at most ``rows`` rows; partitions are read one after another until that is known.
+
+    Give a stored frame: one that takes long to compute would be computed here too.
+    """
+    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
 
 
 def _as_cols(keys: Sequence[Column | str] | Column | str) -> list[Column]:

@@ -143,11 +143,20 @@ def detect_anomalies(spark, sf):
     return D.detect_anomalies(_autoencoder(rows), rows, 0.04).drop(*FEATURES)
 
 
+def _search(rows):
+    grid = {"activation": ["relu", "sigmoid"], "optimizer": ["adam", "sgd"]}
+    return N.hyperparameter_search(rows, FEATURES, grid, num_trials=4, max_iter=2)
+
+
 @query("hyperparameter_search")
 def hyperparameter_search(spark, sf):
-    grid = {"activation": ["relu", "sigmoid"], "optimizer": ["adam", "sgd"]}
-    search = N.hyperparameter_search(_labelled(spark, sf), FEATURES, grid, num_trials=4, max_iter=2)
-    return N.trial_info(search)
+    rows = _labelled(spark, sf)
+    return D.metric_rows(D.evaluate(_search(rows).model(), rows), "best trial")
+
+
+@query("trial_info")
+def trial_info(spark, sf):
+    return N.trial_info(_search(_labelled(spark, sf)))
 
 
 @query("train_gate")
@@ -219,7 +228,8 @@ def anomaly_agreement(spark, sf):
 
 
 @query("agreeing_rows", FLAGGED + """
-select from_number, to_number, p.f as predicted, a.f as actual from a left join p using (from_number, to_number) where p.f = a.f
+select from_number, to_number, p.f as predicted, a.f as actual, count(*) as rows
+from a left join p using (from_number, to_number) where p.f = a.f group by all
 """)
 def agreeing_rows(spark, sf):
     return D.agreeing_rows(*_flagged(spark, sf))

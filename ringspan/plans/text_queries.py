@@ -10,7 +10,7 @@ from ..operators import embeddings as E
 from ..operators import joins as J
 from ..operators import neighbours as K
 from ..operators import text as X
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import readers as R
 from ..sources import writers as W
 from .registry import query, table
@@ -40,7 +40,7 @@ def _embeddings(spark, sf):
 
 
 def _centroids(spark, sf):
-    return A.vector_centroid(_embeddings(spark, sf), "label", "embedding")
+    return cut_lineage(A.vector_centroid(_embeddings(spark, sf), "label", "embedding"))
 
 
 @query("vector_centroid", f"with {CENTROIDS} select label, pos - 1 as pos, round(c, 6) as value from centroids")

@@ -95,16 +95,19 @@ def scan_file_corpus(spark: SparkSession, path: str, max_bytes: int = 1 << 20) -
     """
     base = path.rstrip("/").removeprefix("file:")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    readable = F.when(F.col("length") <= max_bytes, F.col("content"))
-    text = F.try_validate_utf8(readable.cast("string"))
+    text = F.try_validate_utf8(F.col("content").cast("string"))
     is_text = text.isNotNull() & (F.instr(text, "\x00") == 0)
     relative = F.regexp_replace(F.col("path"), "^[a-z]+:/*" + _literal_pattern(base.lstrip("/")) + "/", "")
-    return files.select(
-        relative.alias("path"),
-        F.col("length").alias("size"),
-        F.coalesce(is_text, F.lit(False)).alias("is_text"),
+    # The length filter reaches the reader, so the content of a large file is never loaded.
+    read = files.filter(F.col("length") <= max_bytes).select(
+        relative.alias("path"), F.col("length").alias("size"), F.coalesce(is_text, F.lit(False)).alias("is_text"),
         F.when(is_text, text).alias("text"),
     )
+    large = files.filter(F.col("length") > max_bytes).select(
+        relative.alias("path"), F.col("length").alias("size"), F.lit(False).alias("is_text"),
+        F.lit(None).cast("string").alias("text"),
+    )
+    return read.unionByName(large)
 
 
 def generate_rows(spark: SparkSession, n: int, **column_exprs: Column) -> DataFrame:

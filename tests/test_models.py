@@ -216,7 +216,7 @@ def test_agreement_counts_fan_out(spark):
     p = spark.createDataFrame([("k", True), ("k", False), ("q", True)], "key string, is_anomaly boolean")
     a = spark.createDataFrame([("k", True), ("k", True), ("z", False)], "key string, is_anomaly boolean")
     assert rows(D.anomaly_agreement(p, a, ["key"])) == [(False, True, 2), (True, True, 2)]
-    assert rows(D.agreeing_rows(p, a, ["key"])) == [("k", True, True), ("k", True, True)]
+    assert rows(D.agreeing_rows(p, a, ["key"])) == [("k", True, True, 2)]
 
 
 def test_stream_equals_batch(spark, data, trees, network, tmp_path):

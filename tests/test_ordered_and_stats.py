@@ -67,9 +67,11 @@ def test_samples_do_not_depend_on_partitions(skewed):
     assert train.join(test, "id").count() == 0
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_exact_quantiles_on_both_paths(skewed, monkeypatch, limit):
+@pytest.mark.parametrize("limit, accuracy", [(1_000_000, 10_000), (0, 10_000), (500, 100), (0, 20)])
+def test_exact_quantiles_on_every_path(skewed, monkeypatch, limit, accuracy):
+    """Direct ranks, range-partitioned ranks, and brackets of different widths."""
     monkeypatch.setattr(A, "DISTINCT_ROWS", limit)
+    monkeypatch.setattr(A, "SKETCH_ACCURACY", accuracy)
     probs = [0.0, 0.1, 0.25, 0.5, 0.99, 1.0]
     found = {(r["column"], r["prob"]): r["value"] for r in A.quantile_exact(skewed, ["x", "pos"], probs).collect()}
     frame = skewed.toPandas()
@@ -81,6 +83,14 @@ def test_exact_quantiles_on_both_paths(skewed, monkeypatch, limit):
         assert by_key[key, 0.3] == pytest.approx(np.quantile(part["x"], 0.3), abs=1e-12)
 
 
+def test_exact_quantiles_of_odd_columns(spark, monkeypatch):
+    monkeypatch.setattr(A, "DISTINCT_ROWS", 0)
+    df = spark.createDataFrame([(1.0, None, float("nan")), (2.0, None, 1.0), (2.0, None, 3.0)], "a double, b double, c double")
+    found = {(r["column"], r["prob"]): r["value"] for r in A.quantile_exact(df, ["a", "b", "c"], [0.0, 0.5, 1.0]).collect()}
+    assert ("b", 0.5) not in found and found["a", 0.5] == 2.0 and found["a", 0.0] == 1.0
+    assert found["c", 0.5] == 3.0 and np.isnan(found["c", 1.0])
+
+
 def test_approx_quantile_rank_error(skewed):
     frame = skewed.toPandas()
     for r in A.quantile_approx(skewed, "x", [0.2, 0.5, 0.9], err=0.01).collect():
