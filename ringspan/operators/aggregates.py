@@ -43,8 +43,7 @@ def quantile_exact(df: DataFrame, col: Sequence[str] | str, probs: Sequence[floa
 
 
 def _ranks(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys..., value, n) with ``upto``, the number of values up to and including this one."""
-    counts = cut_lineage(counts)
+    """Stored counts (keys..., value, n) with ``upto``, the number of values up to and including this one."""
     if counts.count() <= DISTINCT_ROWS:
         return counts.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys).orderBy("value")))
     return prefix_sum(counts, F.col("n"), ["value"], keys, out="upto")
@@ -64,9 +63,9 @@ def _quantiles_ranked(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
     counts = _long(df, cols, by).filter(F.col("value").isNotNull()).groupBy(*keys, "value").agg(
         F.count(F.lit(1)).alias("n")
     )
-    ranked = _ranks(counts, keys)
-    totals = ranked.groupBy(*keys).agg(F.max("upto").alias("total"))
-    pairs = ranked.alias("r").join(totals.alias("t"), same_key("r", "t", keys)).select("r.*", "t.total")
+    counts = cut_lineage(counts)
+    totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
+    pairs = _ranks(counts, keys).alias("r").join(totals.alias("t"), same_key("r", "t", keys)).select("r.*", "t.total")
     picks = []
     for i, p in enumerate(probs):
         rank = F.lit(p) * (F.col("total") - 1)
@@ -110,7 +109,7 @@ def _quantiles_bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[flo
         [(t[0], t[1], t[2], t[3] - below[f"b{t[0]}"], t[4] - below[f"b{t[0]}"], t[5]) for t in targets],
         "target int, column string, prob double, low bigint, high bigint, part double",
     )
-    picked = _ranks(counts, ["target"]).join(F.broadcast(wanted), "target").groupBy("target", "column", "prob", "part").agg(
+    picked = _ranks(cut_lineage(counts), ["target"]).join(F.broadcast(wanted), "target").groupBy("target", "column", "prob", "part").agg(
         _value_at(F.col("low")).alias("low"), _value_at(F.col("high")).alias("high"), F.min("low").alias("first")
     )
     found = cut_lineage(picked)  # one row per column and probability

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import iso_week
 from ..session import scratch_path
-from .aggregates import column_stats
+from .aggregates import column_stats, quantile_exact
 from .ordered import SMALL_ROWS, row_number
 
 
@@ -174,13 +174,17 @@ class FeatureTransform:
     def fit(self, df: DataFrame) -> FittedTransform:
         """One aggregate job for all scalers (plus ranks when a robust one asks for quartiles)."""
         fitted = FittedTransform(list(self.specs))
-        plain = sorted({s.column for s in self.specs if s.kind in SCALERS and s.kind != "robust"})
+        scaled = sorted({s.column for s in self.specs if s.kind in SCALERS})
         robust = sorted({s.column for s in self.specs if s.kind == "robust"})
-        for cols, quantiles in ((plain, False), (robust, True)):
-            if cols:
-                for row in column_stats(df, cols, quantiles=quantiles).collect():  # one row per column
-                    stats = row.asDict()
-                    fitted.stats.setdefault(stats.pop("column"), {}).update(stats)
+        if scaled:
+            for row in column_stats(df, scaled, quantiles=False).collect():  # one row per column
+                stats = row.asDict()
+                fitted.stats[stats.pop("column")] = stats
+        if robust:
+            for c in robust:
+                fitted.stats[c].update(q25=None, q50=None, q75=None)
+            for row in quantile_exact(df, robust, [0.25, 0.5, 0.75]).collect():  # three rows per column
+                fitted.stats[row["column"]][f"q{round(row['prob'] * 100)}"] = row["value"]
         for s in self.specs:
             if s.kind == "label" and s.column not in fitted.codes and s.column not in fitted.code_tables:
                 self._fit_codes(df, s.column, fitted)

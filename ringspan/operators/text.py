@@ -23,6 +23,8 @@ NOT_WORD = r"[^\p{L}\p{N}]+"
 ROLES = ("user", "model")
 ADVISED_EXAMPLES = {"classification": 500, "summarization": 1000, "extractive_qa": 500, "chat": 1000}
 MAX_VALIDATION = 250
+# The lines around each file of a concatenated corpus.
+FILE_HEAD, FILE_NAME_END, FILE_END = "----- File: ", " -----\n", "\n-------------------------\n"
 
 
 def _split(text: Column | str, pattern: str) -> Column:
@@ -73,9 +75,7 @@ def corpus_index(files: DataFrame, max_chars: int = 1 << 20) -> DataFrame:
     Both are in path order and come in chunks of bounded size.
     """
     index = string_agg(files, F.col("path"), "\n", ["path"], max_chars=max_chars)
-    body = F.concat(
-        F.lit("----- File: "), F.col("path"), F.lit(" -----\n"), F.col("text"), F.lit("\n-------------------------\n")
-    )
+    body = F.concat(F.lit(FILE_HEAD), F.col("path"), F.lit(FILE_NAME_END), F.col("text"), F.lit(FILE_END))
     content = string_agg(files.filter("is_text"), body, "", ["path"], max_chars=max_chars)
     return index.select(F.lit("index").alias("part"), "chunk", "text").unionByName(
         content.select(F.lit("content").alias("part"), "chunk", "text")

@@ -12,7 +12,7 @@ from ..operators import aggregates as A
 from ..operators import columns as C
 from ..operators import features as X
 from ..operators import joins as J
-from ..session import cut_lineage, scratch_path
+from ..session import scratch_path, store
 from ..sources import readers as R
 from ..sources import writers as W
 from .fixtures import CALLS_CTE, CODES_CTE, COUNTRY_CTE, CUTS, FEATURES, calls, clean_calls, labelled_cte
@@ -46,7 +46,7 @@ select label, count(*) as calls, round(avg(mos), 6) as mean_mos, round(max(jitte
 from labelled, cuts group by label
 """)
 def label_counts(spark, sf):
-    clean = cut_lineage(clean_calls(spark, sf).select(*FEATURES))  # read by the fit and by the labelling
+    clean = store(clean_calls(spark, sf).select(*FEATURES))  # read by the fit and by the labelling
     cuts = C.fit_thresholds(clean)
     counted = C.label_calls(clean, cuts).groupBy("label").agg(
         F.count(F.lit(1)).alias("calls"), F.round(F.avg("mos"), 6).alias("mean_mos")
@@ -357,5 +357,5 @@ select call_id, label, {_NORMALIZED} from k
 """)
 def normalize_query(spark, sf):
     labelled = prepare_calls(calls(spark, sf)).select("call_id", "label", *FEATURES)
-    scaled = normalize_calls(cut_lineage(labelled), FEATURES)
+    scaled = normalize_calls(labelled, FEATURES)
     return scaled.select("call_id", "label", *[F.round(c, 6).alias(c) for c in FEATURES])

@@ -10,7 +10,7 @@ from ..operators import autoencoder as N
 from ..operators import columns as C
 from ..operators import features as X
 from ..operators import trees as M
-from ..session import cut_lineage, scratch_path
+from ..session import scratch_path, store
 from ..sources import writers as W
 from ..streaming import latest_rows, score_stream, sync_latest, write_stream
 from .fixtures import CALLS_CTE, FEATURES, calls, calls_from, clean_calls, labelled_cte
@@ -29,7 +29,7 @@ INPUTS = ["call_id", LABEL, "packet_loss", "jitter", "duration", "carrier_id", "
 
 def _scored_calls(spark, sf):
     """Calls with a known score, derived once for the passes of a fit."""
-    return cut_lineage(C.drop_null_rows(C.canonical_columns(calls(spark, sf)).select(*INPUTS)))
+    return store(C.drop_null_rows(C.canonical_columns(calls(spark, sf)).select(*INPUTS)))
 
 
 def _trees(rows, **options):
@@ -38,8 +38,9 @@ def _trees(rows, **options):
 
 
 def _labelled(spark, sf):
-    known = C.label_calls(clean_calls(spark, sf), keep_unlabelled=False)
-    return cut_lineage(known.select("call_id", *FEATURES, (F.col("label") == "anomaly").alias("is_anomaly")))
+    clean = store(clean_calls(spark, sf).select("call_id", *FEATURES))
+    known = C.label_calls(clean, keep_unlabelled=False)
+    return known.select("call_id", *FEATURES, (F.col("label") == "anomaly").alias("is_anomaly"))
 
 
 def _autoencoder(rows, **options):
@@ -214,7 +215,7 @@ a as (select from_number, to_number, label = 'anomaly' as f from labelled where
 
 def _flagged(spark, sf):
     keys = ["from_number", "to_number"]
-    clean = cut_lineage(clean_calls(spark, sf).select(*keys, *FEATURES))
+    clean = store(clean_calls(spark, sf).select(*keys, *FEATURES))
     pred = C.flag_rows(clean, F.col("mos") < 3).select(*keys, "is_anomaly")
     known = C.label_calls(clean, keep_unlabelled=False)
     return pred, known.select(*keys, (F.col("label") == "anomaly").alias("is_anomaly")), keys

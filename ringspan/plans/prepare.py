@@ -14,6 +14,7 @@ from ..operators.columns import (
 )
 from ..operators.features import FeatureTransform, normalize, standard_scaler
 from ..operators.joins import country_of_number
+from ..session import store
 from ..sources.readers import scan_csv
 from ..sources.writers import write_csv
 
@@ -33,15 +34,23 @@ class PrepareParams:
     exclude: Sequence[str] = ("day", "hour")
 
 
-def prepare_calls(raw: DataFrame, method: str = "exact", legacy_numbers: bool = False) -> DataFrame:
-    """Canonical, complete, located and labelled call records, as one lazy plan."""
+def locate_calls(raw: DataFrame, legacy_numbers: bool = False) -> DataFrame:
+    """Canonical, complete call records whose numbers both have a country, as one lazy plan without a shuffle."""
     df = drop_null_rows(drop_columns(canonical_columns(raw), UNUSED_CALL_COLUMNS))
     df = country_of_number(df, "from_number", out="from_country", legacy=legacy_numbers)
     df = country_of_number(df, "to_number", out="to_country", legacy=legacy_numbers)
     df = filter_valid_country(df)
     if "start_time" in df.columns:
         df = df.withColumns({"day": F.dayofmonth("start_time"), "hour": F.hour("start_time")})
-    return label_calls(df, method=method)
+    return df
+
+
+def prepare_calls(raw: DataFrame, method: str = "exact", legacy_numbers: bool = False) -> DataFrame:
+    """Located and labelled call records.
+
+    The located rows are stored once; fitting the thresholds then reads three of their columns.
+    """
+    return label_calls(store(locate_calls(raw, legacy_numbers), "located"), method=method)
 
 
 def normalize_calls(labelled: DataFrame, cols: Sequence[str], scope: str = "union") -> DataFrame:
@@ -56,13 +65,11 @@ def normalize_calls(labelled: DataFrame, cols: Sequence[str], scope: str = "unio
 
 
 def run_prepare(spark: SparkSession, params: PrepareParams) -> DataFrame:
-    """The whole job. The cleaned table is written once and every later output reads that copy."""
+    """The whole job. The input is parsed once and the outputs are written from stored rows."""
     labelled = prepare_calls(scan_csv(spark, params.input), params.method)
     if params.output:
         labelled.write.mode("overwrite").partitionBy("label").parquet(params.output)
         labelled = spark.read.parquet(params.output)
-    else:
-        labelled = labelled.persist()
     cols, _ = numeric_columns(labelled, params.exclude)
     scaled = normalize_calls(labelled, cols, params.scope)
     targets = [

@@ -50,6 +50,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def store(df: DataFrame, name: str = "rows") -> DataFrame:
+    """The rows as a parquet table in the shared folder: computed once, then read column by column."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive lost executors and are not recomputed."""
     shared_dir(df.sparkSession)
