@@ -9,15 +9,16 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from .ordered import top_k_per_group
 
 # Query vectors sent to every task may hold this many numbers (8 bytes each); more go block by block.
 QUERY_NUMBERS = 8_000_000
 BLOCK_ROWS = 20_000
+LEAF_SALTS = 16
 METRICS = ("l2", "dot", "cosine")
 
 
@@ -191,37 +192,64 @@ def knn_join(
     return base.join(found, id_col) if full_row else found
 
 
-def knn_approx(
-    base: DataFrame, queries: DataFrame, k: int, leaves: int = 32, probes: int = 8, id_col: str = "vec_id",
-    vec_col: str = "embedding", query_id: str | None = None, query_vec: str | None = None, seed: int = 1,
-) -> DataFrame:
-    """Neighbours by L2 distance among the ``probes`` leaves nearest to a query, out of ``leaves`` k-means leaves.
+def build_index(
+    base: DataFrame, path: str, leaves: int = 32, id_col: str = "vec_id", vec_col: str = "embedding", seed: int = 1
+) -> None:
+    """Stores the vectors below ``path`` in one folder per k-means leaf, next to the leaf centres.
 
-    A base row is measured only against the queries that probe its leaf.
+    A leaf is written by several tasks, so a crowded one is neither a single task nor a single file.
     """
-    rows = _base_rows(base, id_col, vec_col, None, None, None).withColumn("_features", array_to_vector("_vec"))
+    spark = base.sparkSession
+    rows = _base_rows(base, id_col, vec_col, None, None, None).drop("_crowd").withColumn("_features", array_to_vector("_vec"))
     model = KMeans(k=leaves, seed=seed, featuresCol="_features", predictionCol="_leaf", maxIter=10).fit(rows)
-    centres = np.stack(model.clusterCenters())
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64("_id"), F.lit(LEAF_SALTS))
+    leafed = model.transform(rows).drop("_features").repartition(parts, "_leaf", salt)
+    leafed.write.mode("overwrite").partitionBy("_leaf").parquet(f"{path}/rows")
+    centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    spark.createDataFrame(centres, "leaf int, centre array<double>").write.mode("overwrite").parquet(f"{path}/centres")
+
+
+def search_index(
+    spark: SparkSession, path: str, queries: DataFrame, k: int, probes: int = 8, query_id: str = "vec_id",
+    query_vec: str = "embedding",
+) -> DataFrame:
+    """(query, id, score, rank) by L2 distance among the ``probes`` leaves nearest to each query.
+
+    A row is measured only against the queries that probe its leaf, and leaves nobody probes are not read.
+    """
+    stored = spark.read.parquet(f"{path}/centres").orderBy("leaf").collect()  # one row per leaf
+    centres = np.array([r["centre"] for r in stored])
+    rows = spark.read.parquet(f"{path}/rows").withColumn("_crowd", F.lit(None).cast("string"))
 
     def nearest_leaves(matrix: np.ndarray) -> np.ndarray:
         return np.argsort(_scores(centres, matrix, "l2"), axis=1)[:, :probes]
 
     def probed(matrix: np.ndarray) -> np.ndarray:
-        order = nearest_leaves(matrix)
         mask = np.zeros((len(matrix), len(centres)), dtype=bool)
-        np.put_along_axis(mask, order, True, axis=1)
+        np.put_along_axis(mask, nearest_leaves(matrix), True, axis=1)
         return mask
 
-    asked, shape = _asked(queries, query_id or id_col, query_vec or vec_col)
-    leafed = model.transform(rows).drop("_features")
-    if shape["n"] * (shape["dim"] or 1) <= QUERY_NUMBERS:
-        return _rank(_search_all(leafed, asked, k, "l2", None, probed), k, "l2", None)
-
     @F.pandas_udf("array<int>")
     def leaves_of(vectors: pd.Series) -> pd.Series:
         return pd.Series(list(nearest_leaves(np.stack([np.asarray(v, dtype="float64") for v in vectors]))))
 
+    asked, shape = _asked(queries, query_id, query_vec)
     spread = asked.withColumn("_leaf", F.explode(leaves_of("_vec")))
-    largest = leafed.groupBy("_leaf").count().agg(F.max("count")).first()[0]
-    found = _search_blocks(leafed, spread, k, "l2", None, shape["n"], largest or 1, ["_leaf"])
+    wanted = [r["_leaf"] for r in spread.select("_leaf").distinct().collect()]  # at most one row per leaf
+    rows = rows.filter(F.col("_leaf").isin(wanted))
+    if shape["n"] * (shape["dim"] or 1) <= QUERY_NUMBERS:
+        return _rank(_search_all(rows, asked, k, "l2", None, probed), k, "l2", None)
+    largest = rows.groupBy("_leaf").count().agg(F.max("count")).first()[0]
+    found = _search_blocks(rows, spread, k, "l2", None, shape["n"], largest or 1, ["_leaf"])
     return _rank(found, k, "l2", None)
+
+
+def knn_approx(
+    base: DataFrame, queries: DataFrame, k: int, leaves: int = 32, probes: int = 8, id_col: str = "vec_id",
+    vec_col: str = "embedding", query_id: str | None = None, query_vec: str | None = None, seed: int = 1,
+) -> DataFrame:
+    """An index built for this one search; keep one with ``build_index`` to search it again."""
+    path = scratch_path(base.sparkSession, "leaves")
+    build_index(base, path, leaves, id_col, vec_col, seed)
+    return search_index(base.sparkSession, path, queries, k, probes, query_id or id_col, query_vec or vec_col)

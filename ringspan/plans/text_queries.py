@@ -83,15 +83,15 @@ def knn_join(spark, sf):
 @query("knn_exact", f"""
 with {CENTROIDS}, {PAIRS},
 crowded as (select *, row_number() over (partition by query, label order by cosine desc, vec_id) as place
-            from pairs where vec_id >= 5 or label <> 0)
+            from pairs)
 select query, vec_id as id, round(cosine, 6) as score, rank::int as rank from (
   select *, row_number() over (partition by query order by cosine desc, vec_id) as rank from crowded where place <= 2)
 where rank <= 8
 """)
 def knn_exact(spark, sf):
     found = K.knn_exact(
-        _embeddings(spark, sf), _centroids(spark, sf), 8, metric="cosine", where="vec_id >= 5 or label <> 0",
-        crowd_col="label", crowding=2, query_id="label", query_vec="centroid",
+        _embeddings(spark, sf), _centroids(spark, sf), 8, metric="cosine", crowd_col="label",
+        crowding=2, query_id="label", query_vec="centroid",
     )
     return found.withColumn("score", F.round("score", 6))
 

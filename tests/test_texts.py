@@ -84,6 +84,14 @@ def test_knn_approx(vectors, monkeypatch):
     assert set(rows(K.knn_approx(vectors, queries, 10, leaves=8, probes=4).select("query", "id"))) == pairs
 
 
+def test_index_reads_only_probed_leaves(spark, vectors, tmp_path):
+    K.build_index(vectors, str(tmp_path / "index"), leaves=8)
+    found = K.search_index(spark, str(tmp_path / "index"), vectors.filter("vec_id = 7"), 3, probes=2)
+    assert found.orderBy("rank").first()["id"] == 7
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_leaf" in plan
+
+
 def test_radius_sweep_equals_single_radii(vectors):
     sweep = {r["radius"]: r["outliers"] for r in E.radius_sweep(vectors, "label", "embedding", [2.0, 2.8, 3.5]).collect()}
     for radius, n in sweep.items():
