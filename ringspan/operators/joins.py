@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ordered import SMALL_ROWS, is_small
@@ -103,6 +103,22 @@ def calling_codes() -> dict[str, str]:
     return dict(entry.split(" ", 1) for entry in entries)
 
 
+def _prefix_sides(spark: SparkSession, prefixes: DataFrame | Mapping[str, str]) -> list[tuple[int, DataFrame]]:
+    """(length, prefixes of that length with their country), longest first; broadcast when they are few."""
+    if not isinstance(prefixes, DataFrame):
+        small = len(prefixes) <= SMALL_ROWS
+        by_length: dict[int, list] = {}
+        for prefix, country in prefixes.items():
+            by_length.setdefault(len(prefix), []).append((prefix, country))
+        frames = {n: spark.createDataFrame(rows, "prefix string, country string") for n, rows in by_length.items()}
+    else:
+        small = is_small(prefixes)
+        lengths = prefixes.select(F.length("prefix").alias("n")).distinct().collect()  # a handful of digits counts
+        one = prefixes.groupBy("prefix").agg(F.min("country").alias("country"))
+        frames = {r["n"]: one.filter(F.length("prefix") == r["n"]) for r in lengths}
+    return [(n, F.broadcast(frames[n]) if small else frames[n]) for n in sorted(frames, reverse=True)]
+
+
 def country_of_number(
     df: DataFrame, col: str, prefixes: DataFrame | Mapping[str, str] | None = None,
     out: str = "country", legacy: bool = False,
@@ -113,25 +129,15 @@ def country_of_number(
     ``00`` in front is the international prefix and is stripped; with ``legacy`` such a number is
     read as a national one of code 1, zeros included.
     """
-    spark = df.sparkSession
-    if not isinstance(prefixes, DataFrame):
-        table = calling_codes() if prefixes is None else dict(prefixes)
-        prefixes = spark.createDataFrame(list(table.items()), "prefix string, country string")
-        lengths, small = sorted({len(p) for p in table}, reverse=True), len(table) <= SMALL_ROWS
-    else:
-        small = is_small(prefixes)
-        lengths = [r[0] for r in prefixes.select(F.length("prefix").alias("n")).distinct().orderBy(F.desc("n")).collect()]
+    sides = _prefix_sides(df.sparkSession, calling_codes() if prefixes is None else prefixes)
     number = F.regexp_replace(F.col(col).cast("string"), r"^\+", "")
     doubled = F.startswith(number, F.lit("00"))
     number = F.when(doubled, F.concat(F.lit("1"), number) if legacy else F.substring(number, 3, 64)).otherwise(number)
     digits, found = f"_digits_{out}", []
     result = df.withColumn(digits, number)
-    for n in lengths:
+    for n, side in sides:
         key, name = f"_key_{out}_{n}", f"_country_{out}_{n}"
-        side = prefixes.filter(F.length("prefix") == n).groupBy(F.col("prefix").alias(key)).agg(
-            F.min("country").alias(name)
-        )
-        side = F.broadcast(side) if small else side
+        side = side.toDF(key, name)
         result = result.join(side, F.left(F.col(digits), F.lit(n)) == F.col(key), "left").drop(key)
         found.append(name)
     return result.withColumn(out, F.coalesce(*[F.col(c) for c in found])).drop(digits, *found)
