@@ -139,7 +139,7 @@ def retrieve_documents(
     docs: DataFrame, questions: DataFrame, k: int = 10, doc_id: str = "doc_id", question_id: str = "question_id",
     text: str = "text", max_broadcast_terms: int = 200_000,
 ) -> DataFrame:
-    """The k best documents per question: sum of (1 + ln tf) * ln(N / df) over the question's words.
+    """The k best documents per question: sum of (1 + ln tf) * ln(N / df) over the question's words, to 6 places.
 
     Only words some question holds leave the first stage. Occurrences move once, by document; counting
     and scoring then happen in place, and every task keeps its own k best before the last exchange.

@@ -180,14 +180,12 @@ tf as (select doc_id, term, count(*) as tf from words where term <> '' group by
 idf as (select term, ln((select count(*) from documents) / count(*)) as idf from tf group by term),
 scored as (select item_id, doc_id, round(sum((1 + ln(tf)) * idf), 6) as score
            from tf join idf using (term) join q using (term) group by all)
-select item_id, doc_id, round(score, 4) as score, rank::int as rank from (
+select item_id, doc_id, score, rank::int as rank from (
   select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored) where rank <= 10
 """)
 def retrieve_documents(spark, sf):
-    found = X.retrieve_documents(
-        _documents(spark, sf), table(spark, sf, "benchmark"), 10, "doc_id", "item_id"
-    )
-    return found.withColumn("score", F.round("score", 4))
+    # The operator rounds scores to 6 places, so that equal scores rank by document; they are rounded only once.
+    return X.retrieve_documents(_documents(spark, sf), table(spark, sf, "benchmark"), 10, "doc_id", "item_id")
 
 
 @query("build_prompts", """
