@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, token_files
+from . import decontaminate, licences, packing, radix, simhash, token_files, toxicity
 from .common import table
 from .tokens import vocabulary_path
 
@@ -37,3 +37,39 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(shards, folder).select(
         "doc_id", F.col("before").alias("start"), "n_tokens", "ids_crc32"
     )
+
+
+@query("op2_simhash")
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS k FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY k) AS group_size,
+       row_number() OVER w = 1 AS kept, sha256(k) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY k ORDER BY length(t) DESC, doc_id)
+"""
+
+
+@query("op7_exact_dedup", OP7_SQL)
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return radix.copies(table(spark, sf_dir, "documents"))
+
+
+@query("op8_decontamination")
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_licences")
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
