@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licences, packing, radix, simhash, token_files, toxicity
+from . import chat, decontaminate, html, licences, packing, radix, simhash, token_files, toxicity, windows
 from .common import table
 from .tokens import vocabulary_path
 
@@ -73,3 +73,41 @@ def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+OP3_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS place
+  FROM conversations
+), s AS (
+  SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'
+), shown AS (
+  SELECT t.conv_id, s.speaker, (place - 1) // 256 AS part, place, role = speaker AS own,
+         CASE WHEN role = speaker THEN '<|assistant|>' || chr(10) WHEN role = 'system' THEN '<|system|>' || chr(10)
+              ELSE '<|user|>' || role || chr(10) END AS head, text || '<|end|>' AS said
+  FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+), placed AS (
+  SELECT *, length(head) + sum(length(head) + length(said) + 1) OVER (
+    PARTITION BY conv_id, speaker, part ORDER BY place) - length(head) - length(said) - 1 AS ahead FROM shown
+)
+SELECT conv_id, speaker, part, string_agg(head || said || chr(10), '' ORDER BY place) AS text,
+       coalesce(string_agg(CASE WHEN own THEN ahead || '-' || (ahead + length(said)) END, ',' ORDER BY place), '') AS mask,
+       count(*) AS n_turns, count(*) FILTER (own) AS n_learnt
+FROM placed GROUP BY ALL
+"""
+
+
+@query("op3_chat_perspectives", OP3_SQL)
+def op3_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
+
+
+@query("op4_main_text")
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op5_repeated_passages")
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.repeated_passages(table(spark, sf_dir, "documents"))
