@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import store
 from .aggregates import quantile_exact, regression_metrics, sigma_thresholds
 from .autoencoder import AutoencoderModel, Search
 from .columns import flag_rows
@@ -58,20 +59,24 @@ def flag_by_contamination(scored: DataFrame, score: str, contamination: float) -
 
 def fit_threshold(model: AutoencoderModel, train: DataFrame, contamination: float) -> float:
     """Stores with the model the error that the given share of the training rows exceeds."""
-    scored = reconstruction_loss(model, train)
-    model.thresholds[str(contamination)] = fit_contamination(scored, "mean_squared_error", contamination)
+    # The network runs once per row; the passes of the quantile read the stored errors.
+    errors = store(reconstruction_loss(model, train).select("mean_squared_error"), "errors")
+    model.thresholds[str(contamination)] = fit_contamination(errors, "mean_squared_error", contamination)
     return model.thresholds[str(contamination)]
 
 
 def detect_anomalies(model: AutoencoderModel, df: DataFrame, contamination: float) -> DataFrame:
     """All rows with ``mean_squared_error`` and ``is_anomaly``.
 
-    The threshold stored with the model is used; a model without one takes it from these rows.
+    The threshold that ``fit_threshold`` stored with the model is used; for a model without one it is taken from
+    these rows, for this call only.
     """
-    if str(contamination) not in model.thresholds:
-        fit_threshold(model, df, contamination)
     scored = reconstruction_loss(model, df).drop("mean_absolute_error", "mean_squared_log_error")
-    return flag_rows(scored, F.col("mean_squared_error") > F.lit(model.thresholds[str(contamination)]))
+    cut = model.thresholds.get(str(contamination))
+    if cut is None:
+        scored = store(scored, "scored")
+        cut = fit_contamination(scored, "mean_squared_error", contamination)
+    return flag_rows(scored, F.col("mean_squared_error") > F.lit(cut))
 
 
 def detect_by_sigma(df: DataFrame, score: str, k: int) -> DataFrame:

@@ -174,6 +174,9 @@ def fit_autoencoder(
     if optimizer not in OPTIMIZERS:
         raise ValueError(f"optimizer is one of {OPTIMIZERS}")
     scaler = scaler or FeatureTransform([standard_scaler(c) for c in cols]).fit(df)
+    unknown = [c for c in cols if scaler.stats[c]["mean"] is None]
+    if unknown:
+        raise ValueError(f"no complete rows to train on: no values in {unknown}")
     rows = rows if rows is not None else _training_rows(df, cols, scaler)
     network = Network((len(cols), *hidden, len(cols)), activation, output_activation)
     flat, history = network.start(seed), []
@@ -237,6 +240,18 @@ class Search:
             trial_id = next(t["trial_id"] for t in self.trials if t["is_best"])
         return self.models[trial_id]
 
+    def save(self, path: str) -> None:
+        """The trial table, and every model that was fitted below its trial's number."""
+        trial_info(self).coalesce(1).write.mode("overwrite").parquet(f"{path}/trials")
+        for trial_id, model in self.models.items():
+            model.save(f"{path}/models/{trial_id}")
+
+    @classmethod
+    def load(cls, path: str) -> Search:
+        rows = SparkSession.getActiveSession().read.parquet(f"{path}/trials").orderBy("trial_id").collect()  # one per trial
+        trials = [r.asDict() for r in rows]
+        return cls(trials, {t["trial_id"]: AutoencoderModel.load(f"{path}/models/{t['trial_id']}") for t in trials if t["loss"] is not None})
+
 
 def hyperparameter_search(
     df: DataFrame, cols: Sequence[str], grid: Mapping[str, Sequence], num_trials: int = 4, seed: int = 0, **fixed

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import csv
+import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .ordered import SMALL_ROWS, is_small
+from .ordered import SMALL_BYTES, SMALL_ROWS, is_small
+
 
 def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check; a larger side is left to the planner and its skew handling."""
+    """Broadcast hint behind a check of rows and bytes; a larger side is left to the planner and its skew handling."""
     return F.broadcast(df) if is_small(df, rows) else df
 
 
@@ -26,14 +29,15 @@ def join_by_position(rows: DataFrame, columns: Mapping[str, Column]) -> DataFram
     return rows.withColumns(dict(columns))
 
 
-def cross_join(a: DataFrame, small: DataFrame) -> DataFrame:
-    """Every row with every row of a small table, as a generator over an array of its rows.
+def cross_join(a: DataFrame, b: DataFrame, broadcast_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Every row of ``a`` with every row of ``b``.
 
-    ValueError when ``small`` is not small: a product of two large tables is not offered.
+    A ``b`` of few rows and at most ``broadcast_bytes`` becomes a generator over an array of its rows, and ``a`` stays
+    where it is; a larger one becomes a product of partitions, which is as large as it is asked to be.
     """
-    if not is_small(small):
-        raise ValueError(f"the small side of a product may have at most {SMALL_ROWS} rows")
-    rows = small.agg(F.collect_list(F.struct("*"))).scalar()
+    if not is_small(b, max_bytes=broadcast_bytes):
+        return a.crossJoin(b)
+    rows = b.agg(F.collect_list(F.struct("*"))).scalar()
     return a.select("*", F.explode(rows).alias("_row")).select(*[F.col(f"`{c}`") for c in a.columns], "_row.*")
 
 
@@ -68,39 +72,13 @@ def fetch_by_key(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> Dat
     return df.join(keys.select(*on), on, "left_semi")
 
 
-# Country calling codes of the international numbering plan and the main country of
-# each; island states behind 1 stand in their full length, its other countries count as the main one.
-CALLING_CODES = """
-1 United States|7 Russia|20 Egypt|27 South Africa|30 Greece|31 Netherlands|32 Belgium|33 France|34 Spain
-36 Hungary|39 Italy|40 Romania|41 Switzerland|43 Austria|44 United Kingdom|45 Denmark|46 Sweden|47 Norway
-48 Poland|49 Germany|51 Peru|52 Mexico|53 Cuba|54 Argentina|55 Brazil|56 Chile|57 Colombia|58 Venezuela
-60 Malaysia|61 Australia|62 Indonesia|63 Philippines|64 New Zealand|65 Singapore|66 Thailand|76 Kazakhstan
-77 Kazakhstan|81 Japan|82 South Korea|84 Vietnam|86 China|90 Turkey|91 India|92 Pakistan|93 Afghanistan
-94 Sri Lanka|95 Myanmar|98 Iran|211 South Sudan|212 Morocco|213 Algeria|216 Tunisia|218 Libya|220 Gambia
-221 Senegal|222 Mauritania|223 Mali|224 Guinea|225 Ivory Coast|226 Burkina Faso|227 Niger|228 Togo|229 Benin
-230 Mauritius|231 Liberia|232 Sierra Leone|233 Ghana|234 Nigeria|235 Chad|236 Central African Republic
-237 Cameroon|238 Cape Verde|240 Equatorial Guinea|241 Gabon|242 Congo|243 DR Congo|244 Angola|245 Guinea-Bissau
-248 Seychelles|249 Sudan|250 Rwanda|251 Ethiopia|252 Somalia|253 Djibouti|254 Kenya|255 Tanzania|256 Uganda
-257 Burundi|258 Mozambique|260 Zambia|261 Madagascar|263 Zimbabwe|264 Namibia|265 Malawi|266 Lesotho
-267 Botswana|268 Eswatini|269 Comoros|291 Eritrea|297 Aruba|299 Greenland|350 Gibraltar|351 Portugal
-352 Luxembourg|353 Ireland|354 Iceland|355 Albania|356 Malta|357 Cyprus|358 Finland|359 Bulgaria|370 Lithuania
-371 Latvia|372 Estonia|373 Moldova|374 Armenia|375 Belarus|376 Andorra|377 Monaco|378 San Marino|380 Ukraine
-381 Serbia|382 Montenegro|383 Kosovo|385 Croatia|386 Slovenia|387 Bosnia and Herzegovina|389 North Macedonia
-420 Czechia|421 Slovakia|423 Liechtenstein|501 Belize|502 Guatemala|503 El Salvador|504 Honduras|505 Nicaragua
-506 Costa Rica|507 Panama|509 Haiti|591 Bolivia|592 Guyana|593 Ecuador|595 Paraguay|597 Suriname|598 Uruguay
-673 Brunei|675 Papua New Guinea|676 Tonga|677 Solomon Islands|678 Vanuatu|679 Fiji|685 Samoa|686 Kiribati
-850 North Korea|852 Hong Kong|853 Macao|855 Cambodia|856 Laos|880 Bangladesh|886 Taiwan|960 Maldives|961 Lebanon
-962 Jordan|963 Syria|964 Iraq|965 Kuwait|966 Saudi Arabia|967 Yemen|968 Oman|970 Palestine
-971 United Arab Emirates|972 Israel|973 Bahrain|974 Qatar|975 Bhutan|976 Mongolia|977 Nepal|992 Tajikistan
-993 Turkmenistan|994 Azerbaijan|995 Georgia|996 Kyrgyzstan|998 Uzbekistan|1242 Bahamas|1246 Barbados
-1441 Bermuda|1868 Trinidad and Tobago|1876 Jamaica
-"""
-
-
-def calling_codes() -> dict[str, str]:
-    """Prefix -> country of the built-in list; pass a larger mapping or frame where area codes matter."""
-    entries = CALLING_CODES.strip().replace("\n", "|").split("|")
-    return dict(entry.split(" ", 1) for entry in entries)
+CODES_FILE = os.path.join(os.path.dirname(__file__), "calling_codes.csv")
+
+
+def calling_codes(path: str = CODES_FILE) -> dict[str, str]:
+    """Prefix -> country, from a table of public numbering plans: calling codes, and the area codes behind 1 and 7."""
+    with open(path, encoding="utf-8", newline="") as source:
+        return {r["prefix"]: r["country"] for r in csv.DictReader(source)}
 
 
 def _prefix_sides(spark: SparkSession, prefixes: DataFrame | Mapping[str, str]) -> list[tuple[int, DataFrame]]:
@@ -125,14 +103,15 @@ def country_of_number(
 ) -> DataFrame:
     """Country of a phone number by its longest known calling-code prefix; NULL when there is none.
 
-    One lookup join per prefix length, longest first, so rows are neither multiplied nor shuffled.
+    One lookup join per prefix length, longest first, so rows are neither multiplied nor shuffled. The whole number
+    behind the international prefix is compared.
     ``00`` in front is the international prefix and is stripped; with ``legacy`` such a number is
     read as a national one of code 1, zeros included.
     """
     sides = _prefix_sides(df.sparkSession, calling_codes() if prefixes is None else prefixes)
     number = F.regexp_replace(F.col(col).cast("string"), r"^\+", "")
     doubled = F.startswith(number, F.lit("00"))
-    number = F.when(doubled, F.concat(F.lit("1"), number) if legacy else F.substring(number, 3, 64)).otherwise(number)
+    number = F.when(doubled, F.concat(F.lit("1"), number) if legacy else F.substring(number, F.lit(3), F.length(number))).otherwise(number)
     digits, found = f"_digits_{out}", []
     result = df.withColumn(digits, number)
     for n, side in sides:

@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, scratch_path
+from ..session import cut_lineage, scratch_path, store
 from .ordered import top_k_per_group
 
 # Query vectors sent to every task may hold this many numbers (8 bytes each); more go block by block.
@@ -193,28 +193,34 @@ def knn_join(
 
 
 def build_index(
-    base: DataFrame, path: str, leaves: int = 32, id_col: str = "vec_id", vec_col: str = "embedding", seed: int = 1
+    base: DataFrame, path: str, leaves: int | None = None, id_col: str = "vec_id", vec_col: str = "embedding", seed: int = 1
 ) -> None:
-    """Stores the vectors below ``path`` in one folder per k-means leaf, next to the leaf centres.
+    """Stores the vectors below ``path`` in one folder per k-means leaf, next to the leaf centres and sizes.
 
-    A leaf is written by several tasks, so a crowded one is neither a single task nor a single file.
+    Without ``leaves`` there are as many as the square root of the rows. A leaf is written by several tasks, so a
+    crowded one is neither a single task nor a single file.
     """
     spark = base.sparkSession
-    rows = _base_rows(base, id_col, vec_col, None, None, None).drop("_crowd").withColumn("_features", array_to_vector("_vec"))
+    rows = _base_rows(base, id_col, vec_col, None, None, None).drop("_crowd")
+    rows = store(rows, "index-rows").withColumn("_features", array_to_vector("_vec"))  # k-means reads them many times
+    if leaves is None:
+        leaves = max(1, math.isqrt(rows.count()))
     model = KMeans(k=leaves, seed=seed, featuresCol="_features", predictionCol="_leaf", maxIter=10).fit(rows)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64("_id"), F.lit(LEAF_SALTS))
     leafed = model.transform(rows).drop("_features").repartition(parts, "_leaf", salt)
     leafed.write.mode("overwrite").partitionBy("_leaf").parquet(f"{path}/rows")
-    centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    spark.createDataFrame(centres, "leaf int, centre array<double>").write.mode("overwrite").parquet(f"{path}/centres")
+    sizes = {r["_leaf"]: r["count"] for r in spark.read.parquet(f"{path}/rows").groupBy("_leaf").count().collect()}  # one per leaf
+    centres = [(i, [float(x) for x in c], sizes.get(i, 0)) for i, c in enumerate(model.clusterCenters())]
+    spark.createDataFrame(centres, "leaf int, centre array<double>, size long").write.mode("overwrite").parquet(f"{path}/centres")
 
 
 def search_index(
     spark: SparkSession, path: str, queries: DataFrame, k: int, probes: int = 8, query_id: str = "vec_id",
     query_vec: str = "embedding",
 ) -> DataFrame:
-    """(query, id, score, rank) by L2 distance among the ``probes`` leaves nearest to each query.
+    """(query, id, score, rank) by L2 distance among the ``probes`` leaves nearest to each query, or as many more as
+    hold k rows between them.
 
     A row is measured only against the queries that probe its leaf, and leaves nobody probes are not read.
     """
@@ -222,17 +228,19 @@ def search_index(
     centres = np.array([r["centre"] for r in stored])
     rows = spark.read.parquet(f"{path}/rows").withColumn("_crowd", F.lit(None).cast("string"))
 
-    def nearest_leaves(matrix: np.ndarray) -> np.ndarray:
-        return np.argsort(_scores(centres, matrix, "l2"), axis=1)[:, :probes]
+    sizes = np.array([r["size"] for r in stored])
 
     def probed(matrix: np.ndarray) -> np.ndarray:
-        mask = np.zeros((len(matrix), len(centres)), dtype=bool)
-        np.put_along_axis(mask, nearest_leaves(matrix), True, axis=1)
+        near = np.argsort(_scores(centres, matrix, "l2"), axis=1)
+        before = np.cumsum(sizes[near], axis=1) - sizes[near]
+        mask = np.zeros(near.shape, dtype=bool)
+        np.put_along_axis(mask, near, (np.arange(near.shape[1]) < probes) | (before < k), axis=1)
         return mask
 
     @F.pandas_udf("array<int>")
     def leaves_of(vectors: pd.Series) -> pd.Series:
-        return pd.Series(list(nearest_leaves(np.stack([np.asarray(v, dtype="float64") for v in vectors]))))
+        mask = probed(np.stack([np.asarray(v, dtype="float64") for v in vectors]))
+        return pd.Series([np.flatnonzero(m).astype("int32") for m in mask])
 
     asked, shape = _asked(queries, query_id, query_vec)
     spread = asked.withColumn("_leaf", F.explode(leaves_of("_vec")))
@@ -246,7 +254,7 @@ def search_index(
 
 
 def knn_approx(
-    base: DataFrame, queries: DataFrame, k: int, leaves: int = 32, probes: int = 8, id_col: str = "vec_id",
+    base: DataFrame, queries: DataFrame, k: int, leaves: int | None = None, probes: int = 8, id_col: str = "vec_id",
     vec_col: str = "embedding", query_id: str | None = None, query_vec: str | None = None, seed: int = 1,
 ) -> DataFrame:
     """An index built for this one search; keep one with ``build_index`` to search it again."""

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import hash_uniform
 from ..session import cut_lineage
@@ -19,16 +20,32 @@ from ..session import cut_lineage
 # Spark limits each partition before the shuffle when the rank bound stays below this setting's default.
 GROUP_LIMIT = 1000
 SALTS = 64
-# A side may be broadcast, or expanded per row, up to this many rows.
+# A side may be broadcast up to this many rows and bytes.
 SMALL_ROWS = 10_000
+SMALL_BYTES = 8 << 20
 
 
-def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """Whether a frame has at most ``rows`` rows; partitions are read one after another until that is known.
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: the length of texts and of what nests them, 8 for anything else."""
+
+    def size(f: T.StructField) -> Column:
+        column = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(column), F.lit(0))
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        return F.lit(8)
+
+    return reduce(lambda a, b: a + b, [size(f) for f in df.schema.fields], F.lit(0).cast("bigint"))
+
+
+def is_small(df: DataFrame, rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> bool:
+    """Whether a frame has at most ``rows`` rows and ``max_bytes`` bytes; no more rows than that are looked at.
 
     Give a stored frame: one that takes long to compute would be computed here too.
     """
-    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
+    found = df.limit(rows + 1).select(_row_bytes(df).alias("n")).agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("bytes")).first()
+    return found["rows"] <= rows and (found["bytes"] or 0) <= max_bytes
 
 
 def _as_cols(keys: Sequence[Column | str] | Column | str) -> list[Column]:
@@ -108,11 +125,11 @@ def top_k_per_group(
     by = [by] if isinstance(by, str) else list(by)
     order = _as_cols(order_by)
     name = rank or "_rank"
-    if k >= GROUP_LIMIT:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-        inner = Window.partitionBy(*by, "_salt").orderBy(*order)
-        df = salted.withColumn("_inner", F.row_number().over(inner)).filter(F.col("_inner") <= k)
-        df = df.drop("_inner", "_salt")
+    # A row outside the k first of the rows that share its partition is outside the k first of its group.
+    here = "_partition"
+    local = df.withColumn(here, F.spark_partition_id())
+    inner = Window.partitionBy(*by, here).orderBy(*order)
+    df = local.withColumn("_inner", F.row_number().over(inner)).filter(F.col("_inner") <= k).drop("_inner", here)
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col(name) <= k)
     return ranked if rank else ranked.drop(name)
 
@@ -137,6 +154,6 @@ def sample_n(df: DataFrame, n: int, key: str, seed: str | int) -> DataFrame:
 
 
 def train_test_split(df: DataFrame, fraction: float, key: str, seed: str | int) -> tuple[DataFrame, DataFrame]:
-    """(train, test); ``fraction`` of the keys, by hash, goes to train."""
-    u = hash_uniform(key, seed)
-    return df.filter(u < fraction), df.filter(u >= fraction)
+    """(train, test); ``fraction`` of the keys, by hash, goes to train, and rows without a key to test."""
+    first = F.coalesce(hash_uniform(key, seed) < fraction, F.lit(False))
+    return df.filter(first), df.filter(~first)

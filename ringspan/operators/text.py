@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -13,7 +14,7 @@ from ..functions import HEADER_WORDS, hash_uniform, name_and_type, strip_emails,
 from ..sources.readers import describe_schema
 from .aggregates import describe, string_agg
 from .joins import lookup_label
-from .ordered import is_small, limit_n, sample_per_group, top_k_per_group
+from .ordered import is_small, limit_n, same_key, sample_per_group, top_k_per_group
 
 # Blank characters between words, the token pattern of overlap scores, message roles,
 # and the number of tuning examples advised per task.
@@ -181,25 +182,20 @@ def _precision_recall_f(overlap: Column, predicted: Column, target: Column) -> d
 def rouge_n(df: DataFrame, id: str, target: str, prediction: str, n: int = 1) -> DataFrame:
     """(id, rouge<n>_precision, _recall, _fmeasure): n-gram overlap of two texts per row, without a stemmer.
 
-    ``id`` must be unique. The texts move once; both counts then stay within their partition.
+    Counted inside the row, so nothing moves, and rows that repeat an id are scored each. A NULL text scores 0.
     """
+
+    @F.pandas_udf("double")
+    def common(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([float((Counter(x) & Counter(y)).total()) for x, y in zip(a, b)])
+
     name = f"rouge{n}"
-    rows = df.select(id, target, prediction).repartition(id)
-    tokens = rows.select(id, _tokens(target).alias("_tt"), _tokens(prediction).alias("_tp"))
-    grams = tokens.select(
-        id, _ngrams(F.col("_tt"), n).alias("_t"), _ngrams(F.col("_tp"), n).alias("_p")
-    ).select(id, F.size("_t").alias("_nt"), F.size("_p").alias("_np"), F.explode_outer(F.concat(
-        F.transform("_t", lambda g: F.struct(g.alias("gram"), F.lit(1).alias("t"), F.lit(0).alias("p"))),
-        F.transform("_p", lambda g: F.struct(g.alias("gram"), F.lit(0).alias("t"), F.lit(1).alias("p"))),
-    )).alias("_g"))
-    counted = grams.groupBy(id, "_nt", "_np", F.col("_g.gram").alias("_gram")).agg(
-        F.sum("_g.t").alias("_ct"), F.sum("_g.p").alias("_cp")
-    )
-    overlap = counted.groupBy(id, "_nt", "_np").agg(
-        F.coalesce(F.sum(F.least("_ct", "_cp")), F.lit(0)).cast("double").alias("_overlap")
-    )
-    scores = _precision_recall_f(F.col("_overlap"), F.col("_np"), F.col("_nt"))
-    return overlap.select(id, *[c.alias(f"{name}_{part}") for part, c in scores.items()])
+    text = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit(""))
+    tokens = df.select(id, _tokens(text(target)).alias("_tt"), _tokens(text(prediction)).alias("_tp"))
+    grams = tokens.select(id, _ngrams(F.col("_tt"), n).alias("_t"), _ngrams(F.col("_tp"), n).alias("_p"))
+    measured = grams.withColumn("_overlap", common("_t", "_p"))
+    scores = _precision_recall_f(F.col("_overlap"), F.size("_p"), F.size("_t"))
+    return measured.select(id, *[c.alias(f"{name}_{part}") for part, c in scores.items()])
 
 
 def _common_length(a: Sequence[str], b: Sequence[str]) -> int:
@@ -216,13 +212,14 @@ def _common_length(a: Sequence[str], b: Sequence[str]) -> int:
 
 
 def rouge_l(df: DataFrame, id: str, target: str, prediction: str) -> DataFrame:
-    """(id, rougeL_precision, _recall, _fmeasure) from the longest common subsequence of tokens."""
+    """(id, rougeL_precision, _recall, _fmeasure) from the longest common subsequence of tokens. A NULL text scores 0."""
 
     @F.pandas_udf("double")
     def common(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([float(_common_length(list(x), list(y))) for x, y in zip(a, b)])
 
-    rows = df.select(id, _tokens(target).alias("_t"), _tokens(prediction).alias("_p"))
+    text = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit(""))
+    rows = df.select(id, _tokens(text(target)).alias("_t"), _tokens(text(prediction)).alias("_p"))
     measured = rows.withColumn("_overlap", common("_t", "_p"))
     scores = _precision_recall_f(F.col("_overlap"), F.size("_p"), F.size("_t"))
     return measured.select(id, *[c.alias(f"rougeL_{part}") for part, c in scores.items()])
@@ -282,7 +279,7 @@ def split_tuning_rows(rows: DataFrame, keys: Sequence[str], seed: str | int = 0,
         raise ValueError(f"at most {MAX_VALIDATION} validation rows")
     key = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
     held = limit_n(rows, n, [hash_uniform(key, seed), *keys])
-    train = rows.join(F.broadcast(held.select(*keys)), list(keys), "left_anti")  # at most n rows
+    train = rows.alias("r").join(F.broadcast(held.select(*keys)).alias("h"), same_key("r", "h", keys), "left_anti")  # at most n rows
     return train, held
 
 

@@ -70,10 +70,12 @@ def fit_boosted_tree_regressor(
     df: DataFrame, label: str, transform: FeatureTransform | FittedTransform, max_iter: int = 20, max_depth: int = 5,
     learn_rate: float = 0.3, subsample: float = 0.85, early_stop: bool = True, min_rel_progress: float = 0.01,
     train_fraction: float = 0.8, num_parallel_tree: int = 1, l1_reg: float = 0.0, l2_reg: float = 0.0,
-    max_bins: int = 32, seed: int = 0,
+    max_bins: int = 32, seed: int = 0, track_history: bool = True,
 ) -> TreeModel:
     """Boosted regression trees over a feature transform, with a held-out part chosen by row content.
 
+    Without ``early_stop`` all ``max_iter`` trees are fitted, still on the rows not held out. ``track_history`` measures
+    the loss of every iteration on both parts, which takes two more passes over the rows.
     ``num_parallel_tree`` fits that many models with different row samples and averages them. Trees of
     Spark ML know no l1 or l2 penalty; ask for ``min_info_gain``-like control through depth instead.
     """
@@ -86,14 +88,14 @@ def fit_boosted_tree_regressor(
     models, history = [], []
     try:
         for i in range(num_parallel_tree):
+            stop = {"validationIndicatorCol": "_held_out", "validationTol": min_rel_progress} if early_stop else {}
             gbt = GBTRegressor(
                 featuresCol="_features", labelCol=label, predictionCol="_prediction", maxIter=max_iter,
-                maxDepth=max_depth, stepSize=learn_rate, subsamplingRate=subsample, maxBins=max_bins, seed=seed + i,
-                validationTol=min_rel_progress, validationIndicatorCol="_held_out" if early_stop else None,
+                maxDepth=max_depth, stepSize=learn_rate, subsamplingRate=subsample, maxBins=max_bins, seed=seed + i, **stop,
             )
-            model = gbt.fit(rows)
+            model = gbt.fit(rows if early_stop else rows.filter(~F.col("_held_out")))
             models.append(PipelineModel([assembler, model]))
-            if i == 0:
+            if i == 0 and track_history:
                 sides = [rows.filter(~F.col("_held_out")), rows.filter("_held_out")]
                 losses = [model.evaluateEachIteration(side, "squared") for side in sides]
                 history = [{"iteration": n, "loss": a, "eval_loss": b} for n, (a, b) in enumerate(zip(*losses), 1)]
@@ -277,8 +279,8 @@ def _explained(model: TreeModel, df: DataFrame) -> tuple[DataFrame, float]:
         return pd.Series(list(_attributions(np.stack(features.to_numpy()).astype("float64"), shared.value)))
 
     name = f"predicted_{model.label}"
-    scored = _with_predictions(model, _featured(model, df), name).filter("_complete")
-    return scored.withColumn("_attributions", attribute(vector_to_array("_features"))), baseline
+    scored = _with_predictions(model, _featured(model, df), name)
+    return scored.withColumn("_attributions", F.when(F.col("_complete"), attribute(vector_to_array("_features")))), baseline
 
 
 def _pairs(model: TreeModel) -> Column:
@@ -291,8 +293,8 @@ def _pairs(model: TreeModel) -> Column:
 def explain_predict(model: TreeModel, df: DataFrame, top_k: int = 5) -> DataFrame:
     """All input columns, the prediction, the baseline and the k largest (feature, attribution) pairs.
 
-    All attributions and the baseline add up to the prediction. Rows with a missing feature have no
-    prediction to explain and are left out.
+    All attributions and the baseline add up to the prediction. A row with a missing feature has NULL for its
+    prediction and its attributions.
     """
     scored, baseline = _explained(model, df)
     top = F.transform(

@@ -16,7 +16,7 @@ from ..session import scratch_path, store
 from ..sources import readers as R
 from ..sources import writers as W
 from .fixtures import CALLS_CTE, CODES_CTE, COUNTRY_CTE, CUTS, FEATURES, calls, clean_calls, labelled_cte
-from .prepare import normalize_calls, prepare_calls
+from .prepare import PrepareParams, normalize_calls, prepare_calls, run_prepare
 from .registry import query, table
 
 CLEAN = f"with {CALLS_CTE} "
@@ -121,7 +121,7 @@ select true as is_text, sum(octet_length(encode(html)) + 1)::bigint as bytes,
 def scan_file_corpus(spark, sf):
     path = scratch_path(spark, "pages")
     table(spark, sf, "pages").select("html").write.option("maxRecordsPerFile", 100).text(path)
-    files = R.scan_file_corpus(spark, path, max_bytes=64 << 20).filter(F.col("path").endswith(".txt"))
+    files = R.scan_file_corpus(spark, path).filter(F.col("path").endswith(".txt"))
     return files.groupBy("is_text").agg(
         F.sum("size").alias("bytes"), F.sum(F.length("text")).cast("bigint").alias("chars")
     )
@@ -281,6 +281,23 @@ def country_of_number(spark, sf):
     return df.groupBy("from_number", "to_number", "from_country", "to_country").agg(F.count(F.lit(1)).alias("calls"))
 
 
+@query("country_of_area_code", """
+select country, count(*) as orders, min(o_orderkey) as first_order from (
+  select o_orderkey, case o_orderkey % 11 when 0 then 'Canada' when 1 then 'Dominican Republic' when 2 then 'Reunion'
+    when 3 then 'Faroe Islands' when 4 then 'Puerto Rico' when 5 then 'United States' when 6 then 'Jamaica'
+    when 7 then 'Sao Tome and Principe' when 8 then 'French Polynesia' when 9 then null else 'Canada' end as country from orders)
+group by country
+""")
+def country_of_area_code(spark, sf):
+    prefixes = ["1416", "1809", "262262", "298", "001787", "1212", "+1876", "239", "00689", "0155", "00" + "1604"]
+    prefix = F.element_at(F.array(*map(F.lit, prefixes)), (F.col("o_orderkey") % len(prefixes) + 1).cast("int"))
+    # More digits behind the prefix than any number has: all of them are compared.
+    numbers = table(spark, sf, "orders").select("o_orderkey", F.concat(prefix, F.repeat(F.lit("5"), 80)).alias("number"))
+    return J.country_of_number(numbers, "number").groupBy("country").agg(
+        F.count(F.lit(1)).alias("orders"), F.min("o_orderkey").alias("first_order")
+    )
+
+
 @query("filter_valid_country", LOCATED + """
 select from_country, to_country, count(*) as calls, round(avg(mos), 6) as mean_mos
 from located where from_country is not null and to_country is not null group by 1, 2
@@ -359,3 +376,41 @@ def normalize_query(spark, sf):
     labelled = prepare_calls(calls(spark, sf)).select("call_id", "label", *FEATURES)
     scaled = normalize_calls(labelled, FEATURES)
     return scaled.select("call_id", "label", *[F.round(c, 6).alias(c) for c in FEATURES])
+
+
+NORMALIZED_COLUMNS = "call_id,duration,from_country,from_number,jitter,mos,organization_id,packet_loss,start_time,to_country,to_number"
+
+
+@query("run_prepare", f"""
+with {CALLS_CTE}, {COUNTRY_CTE},
+valid as (select * from located where from_country is not null and to_country is not null),
+{labelled_cte('valid')}, k as (select * from labelled where label <> 'none')
+select call_id, label, from_number, to_number, organization_id, from_country, to_country, {_NORMALIZED},
+       '{NORMALIZED_COLUMNS}' as columns,
+       (select count(*) from calls)::bigint as accepted, 1::bigint as rejected from k
+""")
+def run_prepare_query(spark, sf):
+    """The whole job over written CSV: columns in another order, numbers with leading zeros, a row that does not fit."""
+    path, out = scratch_path(spark, "calls-csv"), scratch_path(spark, "prepared")
+    unassigned = F.col("from_number").startswith("999000")
+    number = F.when(unassigned, F.concat(F.lit("0155"), F.col("from_number"))).otherwise(F.col("from_number"))
+    raw = calls(spark, sf).withColumn("from_number", number).withColumnsRenamed({"mos": "mean_opinion_score", "from_number": "e164_from_caller_id"})
+    text = raw.select(*[F.col(c).cast("string") for c in reversed(raw.columns)])
+    broken = text.limit(1).withColumns({"jitter": F.lit("not a number"), "call_id": F.lit("broken")})
+    W.write_csv(text.unionByName(broken), path)
+    params = PrepareParams(
+        path, f"{out}/labelled", anomaly_normalized_output=f"{out}/anomaly", normal_normalized_output=f"{out}/normal", rejected_output=f"{out}/rejected"
+    )
+    run_prepare(spark, params)
+    found = None
+    for label in ("anomaly", "normal"):
+        scaled = spark.read.option("header", True).csv(f"{out}/{label}")
+        names = ",".join(sorted(set(scaled.columns) - {"day", "hour"}))
+        one = scaled.withColumns({"label": F.lit(label), "columns": F.lit(names)})
+        found = one if found is None else found.unionByName(one)
+    rejected = spark.read.text(f"{out}/rejected").count()
+    return found.select(
+        "call_id", "label", "from_number", "to_number", "organization_id", "from_country", "to_country",
+        *[F.round(F.col(c).cast("double"), 6).alias(c) for c in FEATURES], "columns",
+        F.lit(spark.read.option("header", True).csv(path).count() - rejected).alias("accepted"), F.lit(rejected).cast("bigint").alias("rejected"),
+    )

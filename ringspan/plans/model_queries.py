@@ -10,6 +10,7 @@ from ..operators import autoencoder as N
 from ..operators import columns as C
 from ..operators import features as X
 from ..operators import trees as M
+from ..operators.ordered import train_test_split
 from ..session import scratch_path, store
 from ..sources import writers as W
 from ..streaming import latest_rows, score_stream, sync_latest, write_stream
@@ -33,10 +34,15 @@ def _scored_calls(spark, sf):
 
 
 def _trees(rows, **options):
-    settings = {"max_iter": 5, "max_depth": 4, **options}
+    settings = {"track_history": False, **options}  # only the training log reads it
     return M.fit_boosted_tree_regressor(rows, LABEL, X.FeatureTransform(SPECS), **settings)
 
 
+def _held_out(rows):
+    """(train, test) of the scored calls by their key."""
+    return train_test_split(rows, 0.8, "call_id", "held out")
+
+
 def _labelled(spark, sf):
     clean = store(clean_calls(spark, sf).select("call_id", *FEATURES))
     known = C.label_calls(clean, keep_unlabelled=False)
@@ -44,14 +50,14 @@ def _labelled(spark, sf):
 
 
 def _autoencoder(rows, **options):
-    return N.fit_autoencoder(rows, FEATURES, **{"max_iter": 4, **options})
+    return N.fit_autoencoder(rows, FEATURES, **options)
 
 
 # boosted trees
 @query("fit_boosted_tree_regressor")
 def fit_boosted_tree_regressor(spark, sf):
-    rows = _scored_calls(spark, sf)
-    return D.evaluate(_trees(rows, num_parallel_tree=2), rows)
+    train, test = _held_out(_scored_calls(spark, sf))
+    return D.evaluate(_trees(train, num_parallel_tree=2), test)
 
 
 @query("predict")
@@ -62,13 +68,13 @@ def predict(spark, sf):
 
 @query("training_info")
 def training_info(spark, sf):
-    return N.training_info(_trees(_scored_calls(spark, sf)))
+    return N.training_info(_trees(_scored_calls(spark, sf), track_history=True))
 
 
 @query("evaluate")
 def evaluate(spark, sf):
-    rows = _scored_calls(spark, sf)
-    return D.metric_rows(D.evaluate(_trees(rows), rows), "trees")
+    train, test = _held_out(_scored_calls(spark, sf))
+    return D.metric_rows(D.evaluate(_trees(train), test), "trees")
 
 
 @query("save_model")
@@ -111,12 +117,14 @@ def global_explain(spark, sf):
 
 @query("fit_multiclass_boosted_tree")
 def fit_multiclass_boosted_tree(spark, sf):
-    names = [f"x{i}" for i in range(4)]
+    dim = table(spark, sf, "embeddings").agg(F.max(F.size("embedding"))).scalar()
+    names = [f"x{i}" for i in range(dim)]
     rows = table(spark, sf, "embeddings").select(
         "vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)]
-    ).withColumn("label", F.col("label") % 3)
-    model = M.fit_multiclass_boosted_tree(rows, "label", names, max_iter=3)
-    return A.multiclass_error(M.predict(model, rows), "label", "predicted_label")
+    )
+    train, test = train_test_split(store(rows), 0.8, "vec_id", "held out")
+    model = M.fit_multiclass_boosted_tree(train, "label", names)
+    return A.multiclass_error(M.predict(model, test), "label", "predicted_label")
 
 
 # autoencoder
@@ -146,7 +154,7 @@ def detect_anomalies(spark, sf):
 
 def _search(rows):
     grid = {"activation": ["relu", "sigmoid"], "optimizer": ["adam", "sgd"]}
-    return N.hyperparameter_search(rows, FEATURES, grid, num_trials=4, max_iter=2)
+    return N.hyperparameter_search(rows, FEATURES, grid, num_trials=4)
 
 
 @query("hyperparameter_search")
@@ -157,14 +165,16 @@ def hyperparameter_search(spark, sf):
 
 @query("trial_info")
 def trial_info(spark, sf):
-    return N.trial_info(_search(_labelled(spark, sf)))
+    path = scratch_path(spark, "search")
+    _search(_labelled(spark, sf)).save(path)
+    return N.trial_info(N.Search.load(path))
 
 
 @query("train_gate")
 def gate(spark, sf):
     rows = _labelled(spark, sf)
     blessed = N.fit_pca_reconstructor(rows, FEATURES, 2)
-    params = GateParams(FEATURES, challenger={"max_iter": 3}, model_path=scratch_path(spark, "gate"))
+    params = GateParams(FEATURES, model_path=scratch_path(spark, "gate"))
     decision, _ = train_gate(rows.filter("is_anomaly"), rows.filter("not is_anomaly"), params, blessed)
     return decision
 

@@ -372,7 +372,7 @@ select 'content' as part, sum(length(html) + 1)::bigint as body_chars from pages
 def corpus_content(spark, sf):
     path = scratch_path(spark, "tree")
     table(spark, sf, "pages").select("html").write.option("maxRecordsPerFile", 100).text(path)
-    files = R.scan_file_corpus(spark, path, max_bytes=64 << 20).filter(F.col("path").endswith(".txt"))
+    files = R.scan_file_corpus(spark, path).filter(F.col("path").endswith(".txt"))
     # heading and closing line of each file are taken off again, so the sum does not depend on the file layout
     extra = files.agg(F.sum(F.length("path") + len(X.FILE_HEAD + X.FILE_NAME_END + X.FILE_END))).scalar()
     content = X.corpus_index(files).filter("part = 'content'")

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +23,7 @@ def build_session(app: str = "ringspan", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -38,16 +42,41 @@ def shared_dir(spark: SparkSession) -> str:
         return os.path.dirname(current.rstrip("/"))
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not context.master.startswith("local"):
+        # local-cluster has executors of its own, which do not share a folder made here.
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="ringspan-")
     context.setCheckpointDir(base)
     return base
 
 
+#: Scratch paths given out and not yet released.
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; ``scratch`` or ``release`` removes what is written there."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch paths given out from the ``since``-th on. Frames that read them end there."""
+    paths, _scratch[since:] = _scratch[since:], []
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Stored rows and models made inside are deleted at the end, so write the results elsewhere before it."""
+    since = len(_scratch)
+    try:
+        yield
+    finally:
+        release(spark, since)
 
 
 def store(df: DataFrame, name: str = "rows") -> DataFrame:

@@ -32,15 +32,24 @@ def scan_csv(
 ) -> DataFrame:
     """CSV files with a header. Without a schema types are inferred, at the cost of one more scan.
 
+    A schema is matched by header name, whatever the order; columns it does not name are not read, and a named
+    column that the header lacks is a ValueError. Files whose header differs from the first one's end the job.
     With ``corrupt_col`` rows that do not fit the schema keep their raw text there.
     """
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
+    declared = {f.name: f for f in schema.fields}
+    header = reader.csv(path).columns
+    missing = [n for n in declared if n not in header]
+    if missing and header:
+        raise ValueError(f"the header of {path} has no column {missing}")
+    in_order = [declared.get(n, T.StructField(n, T.StringType())) for n in header or declared]
     if corrupt_col:
-        schema = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
+        in_order.append(T.StructField(corrupt_col, T.StringType()))
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
-    return reader.schema(schema).csv(path)
+    found = reader.option("enforceSchema", not header).schema(T.StructType(in_order)).csv(path)
+    return found.select(*[f"`{n}`" for n in [*declared, *([corrupt_col] if corrupt_col else [])]])
 
 
 def scan_external_table(
@@ -87,27 +96,36 @@ def _literal_pattern(text: str) -> str:
     return r"\Q" + text + r"\E"
 
 
-def scan_file_corpus(spark: SparkSession, path: str, max_bytes: int = 1 << 20) -> DataFrame:
-    """Every file with content below ``path`` as (path, size, is_text, text); Spark's reader skips empty ones.
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """Every file below ``path`` as (path, size), by the file system's own recursive listing."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = system.makeQualified(root).toUri().getPath().rstrip("/") + "/"
+    found, files = [], system.listFiles(root, True)
+    while files.hasNext():
+        status = files.next()
+        found.append((status.getPath().toUri().getPath().removeprefix(base), status.getLen()))
+    return spark.createDataFrame(found, "path string, size long")
 
-    Content that holds a NUL byte or is not UTF-8 is not text; files above
-    ``max_bytes`` are listed with NULL text, since one row must fit in memory.
+
+def scan_file_corpus(spark: SparkSession, path: str) -> DataFrame:
+    """Every file below ``path``, empty ones too, as (path, size, is_text, text).
+
+    Content that holds a NUL byte or is not UTF-8 is not text and has NULL there; an empty file is an empty text.
+    Files are read whole: one that Spark cannot hold in a row ends the job and names its path.
     """
     base = path.rstrip("/").removeprefix("file:")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     text = F.try_validate_utf8(F.col("content").cast("string"))
     is_text = text.isNotNull() & (F.instr(text, "\x00") == 0)
     relative = F.regexp_replace(F.col("path"), "^[a-z]+:/*" + _literal_pattern(base.lstrip("/")) + "/", "")
-    # The length filter reaches the reader, so the content of a large file is never loaded.
-    read = files.filter(F.col("length") <= max_bytes).select(
+    read = files.select(
         relative.alias("path"), F.col("length").alias("size"), F.coalesce(is_text, F.lit(False)).alias("is_text"),
         F.when(is_text, text).alias("text"),
     )
-    large = files.filter(F.col("length") > max_bytes).select(
-        relative.alias("path"), F.col("length").alias("size"), F.lit(False).alias("is_text"),
-        F.lit(None).cast("string").alias("text"),
-    )
-    return read.unionByName(large)
+    # Spark's reader leaves out empty files; they come from the listing.
+    empty = list_files(spark, path).filter("size = 0").select("path", "size", F.lit(True).alias("is_text"), F.lit("").alias("text"))
+    return read.unionByName(empty)
 
 
 def generate_rows(spark: SparkSession, n: int, **column_exprs: Column) -> DataFrame:

@@ -21,21 +21,36 @@ def sync_latest(
 ) -> StreamingQuery:
     """Starts copying a stream into a serving table keyed by entity, with all that is available.
 
-    Each batch writes its newest rows per key below its own number, so a repeated batch replaces its
-    own files and work follows the batch, not the table. ``latest_rows`` reads the table.
+    Each batch writes its newest rows per key below the query's own id and its number: a repeated batch replaces its
+    own files, and a query that starts anew without its checkpoint never replaces those of another. Work follows the
+    batch, not the table. ``latest_rows`` reads the table and ``compact`` folds its batches into one.
     """
     key, order = _list(key), _list(order)
+    run_of: dict[str, str] = {}
 
     def write(batch: DataFrame, number: int) -> None:
-        newest(batch, key, order).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        # The id is kept in the checkpoint, so a restart with it goes on under the same name.
+        run = run_of.setdefault("id", _run_id(batch.sparkSession, checkpoint))
+        newest(batch, key, order).write.mode("overwrite").parquet(f"{path}/run={run}/batch={number}")
 
     run = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return run.trigger(availableNow=True).start()
 
 
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the streaming query that owns a checkpoint."""
+    return spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+
+
 def latest_rows(spark: SparkSession, path: str, key: Sequence[str] | str, order: Sequence[str] | str) -> DataFrame:
     """The serving table: one row per key."""
-    return newest(spark.read.parquet(path).drop("batch"), _list(key), _list(order))
+    return newest(spark.read.parquet(path).drop("run", "batch"), _list(key), _list(order))
+
+
+def compact(spark: SparkSession, path: str, key: Sequence[str] | str, order: Sequence[str] | str, target: str) -> DataFrame:
+    """Write the serving table to ``target`` as one batch, to be read and synced to from then on."""
+    latest_rows(spark, path, key, order).write.mode("errorifexists").parquet(f"{target}/run=compacted/batch=0")
+    return latest_rows(spark, target, key, order)
 
 
 def _list(names: Sequence[str] | str) -> list[str]:

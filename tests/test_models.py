@@ -14,7 +14,7 @@ from ringspan.operators import features as X
 from ringspan.operators import trees as M
 from ringspan.plans.gate import GateParams, train_gate
 from ringspan.sources import writers as W
-from ringspan.streaming import latest_rows, score_stream, sync_latest, write_stream
+from ringspan.streaming import compact, latest_rows, score_stream, sync_latest, write_stream
 
 COLS = ["a", "b", "c"]
 
@@ -243,3 +243,50 @@ def test_sync_latest_over_batches(spark, tmp_path):
     spark.createDataFrame([("a", 1, "late"), ("b", 5, "new"), ("c", 1, "c")], schema).write.mode("append").parquet(source)
     sync()
     assert rows(latest_rows(spark, table, "key", "t")) == [("a", 2, "y"), ("b", 5, "new"), ("c", 1, "c")]
+
+
+def test_without_early_stop_all_trees_are_fitted(data):
+    model = M.fit_boosted_tree_regressor(data, "y", X.FeatureTransform(SPECS), max_iter=4, max_depth=2, early_stop=False)
+    assert len(model.models[0].stages[-1].trees) == 4 and len(model.history) == 4
+
+
+def test_rows_with_a_missing_feature_are_explained_as_null(data, trees):
+    first = "a"
+    broken = data.withColumn(first, F.when(F.col("id") % 5 > 0, F.col(first)))
+    found = M.explain_predict(trees, broken)
+    assert found.count() == data.count()
+    empty = found.filter("predicted_y is null")
+    assert empty.count() > 0 and empty.filter("top_feature_attributions is not null").count() == 0
+
+
+def test_thresholds_of_scored_rows_are_not_kept(spark):
+    train = spark.range(400).select(*[(F.rand(i) * 10).alias(c) for i, c in enumerate("abc")])
+    model = N.fit_pca_reconstructor(train, ["a", "b", "c"], 1)
+    wild, calm = train.select(*[(F.col(c) * 1000).alias(c) for c in "abc"]), train
+    assert D.detect_anomalies(model, wild, 0.04).filter("is_anomaly").count() == 16 and not model.thresholds
+    assert D.detect_anomalies(model, calm, 0.04).filter("is_anomaly").count() == 16
+
+
+def test_columns_without_values_are_named(spark):
+    empty = spark.range(50).select(F.col("id").cast("double").alias("a"), F.lit(None).cast("double").alias("b"))
+    with pytest.raises(ValueError, match="b"):
+        N.fit_autoencoder(empty, ["a", "b"])
+
+
+def test_search_reload(spark, tmp_path):
+    train = spark.range(300).select(*[(F.rand(i) * 10).alias(c) for i, c in enumerate("ab")])
+    search = N.hyperparameter_search(train, ["a", "b"], {"activation": ["relu", "sigmoid"]}, max_iter=1)
+    search.save(str(tmp_path / "s"))
+    again = N.Search.load(str(tmp_path / "s"))
+    assert again.trials == search.trials and N.np.allclose(again.model().weights, search.model().weights)
+
+
+def test_serving_table_survives_a_lost_checkpoint(spark, tmp_path):
+    schema = "k int, t int, v string"
+    for n, batch in enumerate(([(1, 1, "a"), (2, 1, "b")], [(1, 2, "c")])):
+        spark.createDataFrame(batch, schema).write.parquet(str(tmp_path / f"in{n}"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / f"in{n}"))
+        sync_latest(stream, "k", "t", str(tmp_path / "serving"), str(tmp_path / f"state{n}")).awaitTermination()
+    assert rows(latest_rows(spark, str(tmp_path / "serving"), "k", "t")) == [(1, 2, "c"), (2, 1, "b")]
+    folded = compact(spark, str(tmp_path / "serving"), "k", "t", str(tmp_path / "new"))
+    assert rows(folded) == [(1, 2, "c"), (2, 1, "b")]

@@ -1,5 +1,7 @@
 """Numbering, running sums, top-k, quantiles and statistics, also on their paths for large data."""
 
+import os
+
 import numpy as np
 import pytest
 from conftest import rows
@@ -11,6 +13,7 @@ from ringspan.operators import aggregates as A
 from ringspan.operators import features as X
 from ringspan.operators import joins as J
 from ringspan.operators import ordered as O
+from ringspan.session import scratch, store
 
 
 @pytest.fixture(scope="module")
@@ -135,13 +138,44 @@ def test_confusion_ignores_unknown(spark):
     assert row["precision"] == 0.5 and row["recall"] == 1.0
 
 
-def test_cross_join_is_a_generator_and_refuses_large_sides(spark, skewed):
+def test_cross_join_is_a_generator_for_small_sides_only(spark, skewed):
     small = spark.createDataFrame([(1,), (2,)], "r int")
     product = J.cross_join(skewed, small)
     plan = product._jdf.queryExecution().executedPlan().toString()
     assert product.count() == 6000 and "NestedLoop" not in plan and "Cartesian" not in plan
-    with pytest.raises(ValueError):
-        J.cross_join(small, spark.range(J.SMALL_ROWS + 1))
+    assert J.cross_join(small, spark.range(J.SMALL_ROWS + 1)).count() == 2 * (J.SMALL_ROWS + 1)
+    wide = spark.createDataFrame([("x" * 4_000_000,)] * 3, "t string")
+    assert "Generate" not in J.cross_join(small, wide)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_wide_small_tables_are_not_broadcast(spark):
+    dim = spark.range(40).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1_000_000).alias("name"))
+    facts = spark.range(100).select((F.col("id") % 40).alias("k"))
+    plan = J.lookup_label(facts, dim, "k", "name")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan
+    narrow = J.lookup_label(facts, dim.withColumn("name", F.lit("x")), "k", "name")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in narrow
+
+
+def test_large_k_takes_the_same_path_as_small(spark):
+    df = spark.range(3000).select((F.col("id") % 2).alias("g"), "id", F.create_map(F.lit("a"), "id").alias("m"))
+    for k in (3, 1000, 2000):
+        found = O.top_k_per_group(df, "g", ["id"], k)
+        assert found.groupBy("g").count().select("count").distinct().collect() == [(min(k, 1500),)] and found.columns == df.columns
+
+
+def test_split_keeps_rows_without_a_key(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,), (None,)], "k int")
+    train, test = O.train_test_split(df, 0.5, "k", 1)
+    assert train.count() + test.count() == 4 and test.filter("k is null").count() == 2
+
+
+def test_scratch_is_removed(spark):
+    with scratch(spark):
+        kept = store(spark.range(5), "kept")
+        path = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(path)
+    assert not os.path.exists(path)
 
 
 def test_join_unnest_outer(spark):

@@ -3,13 +3,14 @@
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ringspan.operators import aggregates as A
 from ringspan.operators import columns as C
 from ringspan.operators import features as X
 from ringspan.operators import joins as J
 from ringspan.plans.fixtures import calls, clean_calls
-from ringspan.plans.prepare import PrepareParams, prepare_calls, run_prepare
+from ringspan.plans.prepare import PrepareParams, main, prepare_calls, run_prepare
 from ringspan.sources import readers as R
 from ringspan.sources import writers as W
 
@@ -51,8 +52,13 @@ def test_country_legacy_and_own_prefixes(spark):
 
 def test_calling_codes_are_well_formed():
     codes = J.calling_codes()
-    assert all(p.isdigit() and 1 <= len(p) <= 4 and c for p, c in codes.items())
-    assert len(codes) <= 200
+    assert all(p.isdigit() and 1 <= len(p) <= 7 and c for p, c in codes.items())
+    # Assigned codes that were missing, area codes behind 1, and the same rule with any table of one's own.
+    for code in "239 247 262 290 298 500 508 590 594 596 599 670 672 674 680 681 682 683 687 688 689 690 691 692".split():
+        assert code in codes
+    assert [codes[p] for p in ("1416", "1604", "1809", "1787", "262", "298", "1")] == [
+        "Canada", "Canada", "Dominican Republic", "Puerto Rico", "Reunion", "Faroe Islands", "United States"
+    ]
 
 
 def test_country_has_no_python_and_no_shuffle(spark, sf):
@@ -116,6 +122,10 @@ def test_run_prepare_writes_every_output(spark, sf, tmp_path):
     both = R.scan_csv(spark, paths["anomaly_normalized_output"]).unionByName(
         R.scan_csv(spark, paths["normal_normalized_output"])
     )
+    identifiers = ("call_id", "organization_id", "from_number", "to_number")
+    text = spark.read.option("header", True).csv(paths["anomaly_normalized_output"])
+    assert set(rows(text.select(*identifiers))) <= set(rows(calls(spark, sf).select(*identifiers)))
+    assert text.filter("from_number like '00%'").count() > 0
     stats = {r["column"]: r for r in A.column_stats(both, ["mos", "jitter"], quantiles=False).collect()}
     assert abs(stats["mos"]["mean"]) < 1e-9 and abs(stats["mos"]["std"] - 1) < 1e-9
 
@@ -135,6 +145,34 @@ def test_csv_keeps_zeros_and_corrupt_rows(spark, tmp_path):
     assert row["from_number"] == "0014155" and row["duration_seconds"] is None and row["_corrupt"].startswith("c1,")
 
 
+def test_csv_schema_goes_by_header_name(spark, tmp_path):
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "1.csv").write_text("b,extra,a\n1,z,2\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
+    assert rows(R.scan_csv(spark, str(tmp_path / "x"), schema)) == [(2, 1)]
+    with pytest.raises(ValueError):
+        R.scan_csv(spark, str(tmp_path / "x"), T.StructType([T.StructField("missing", T.StringType())]))
+
+
+def test_prepare_job_keeps_zeros_and_counts_what_does_not_fit(spark, tmp_path):
+    header = "jitter,mean_opinion_score,packet_loss,carrier_id,data_center,duration_seconds,start_time,status,e164_to_caller_id,e164_from_caller_id,organization_id,call_id"
+    line = "{},4.1,0.0,1,dc,60,2020-01-01T00:00:00,answered,{},{},007,{}"
+    lines = [line.format("0.5", "0014155550000", "0044791100000", "1"), line.format("0.7", "12125550000", "0155512345", "2"), line.format("bad", "1", "1", "3")]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("\n".join([header, *lines]) + "\n")
+    main(["--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"), "--rejected-output", str(tmp_path / "bad")])
+    found = spark.read.parquet(str(tmp_path / "out")).select("call_id", "organization_id", "from_number", "to_number", "from_country", "to_country")
+    assert rows(found) == [("1", "007", "0044791100000", "0014155550000", "United Kingdom", "United States")]
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "bad")).collect()] == [lines[2]]
+
+
+def test_file_corpus_holds_every_file_whole(spark, tmp_path):
+    (tmp_path / "empty.txt").write_text("")
+    (tmp_path / "large.txt").write_text("x" * ((1 << 20) + 1))
+    found = {r["path"]: (r["size"], r["is_text"], len(r["text"])) for r in R.scan_file_corpus(spark, str(tmp_path)).collect()}
+    assert found == {"empty.txt": (0, True, 0), "large.txt": ((1 << 20) + 1, True, (1 << 20) + 1)}
+
+
 def test_file_corpus(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "a.py").write_text("print('é')\n")

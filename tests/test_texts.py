@@ -84,6 +84,26 @@ def test_knn_approx(vectors, monkeypatch):
     assert set(rows(K.knn_approx(vectors, queries, 10, leaves=8, probes=4).select("query", "id"))) == pairs
 
 
+def test_short_leaves_are_made_up_for(spark):
+    points = spark.range(40).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("double"), F.lit(0.0)).alias("embedding"))
+    found = K.knn_approx(points, points, 10, leaves=16, probes=1).groupBy("query").count()
+    assert found.count() == 40 and found.filter("count <> 10").count() == 0
+
+
+def test_overlap_scores_of_nulls_and_repeated_ids(spark):
+    df = spark.createDataFrame([(1, "a b c", "a b"), (1, "x y", "z"), (2, None, "a"), (3, "a", None)], "id int, t string, p string")
+    one = sorted(tuple(r) for r in X.rouge_n(df, "id", "t", "p", 1).select("id", "rouge1_precision", "rouge1_recall").collect())
+    assert one == [(1, 0.0, 0.0), (1, 1.0, 2 / 3), (2, 0.0, 0.0), (3, 0.0, 0.0)]
+    longest = sorted(tuple(r) for r in X.rouge_l(df, "id", "t", "p").select("id", "rougeL_precision", "rougeL_recall").collect())
+    assert longest == one
+
+
+def test_tuning_split_is_null_safe(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c")], "k int, v string")
+    train, held = X.split_tuning_rows(df, ["k"], n=2)
+    assert train.count() + held.count() == 3 and train.unionByName(held).distinct().count() == 3
+
+
 def test_index_reads_only_probed_leaves(spark, vectors, tmp_path):
     K.build_index(vectors, str(tmp_path / "index"), leaves=8)
     found = K.search_index(spark, str(tmp_path / "index"), vectors.filter("vec_id = 7"), 3, probes=2)
