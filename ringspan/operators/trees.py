@@ -106,16 +106,16 @@ def fit_boosted_tree_regressor(
 
 def fit_multiclass_boosted_tree(
     df: DataFrame, label: str, features: Sequence[str], max_iter: int = 20, max_depth: int = 5,
-    learn_rate: float = 0.05, feature_fraction: float = 0.9, subsample: float = 0.8, seed: int = 0,
+    learn_rate: float = 0.05, feature_fraction: float = 0.9, subsample: float = 0.8, seed: int = 0, parallelism: int = 8,
 ) -> TreeModel:
-    """Boosted trees for integer classes from 0: one model per class against the rest."""
+    """Boosted trees for integer classes from 0: one model per class against the rest, ``parallelism`` at a time."""
     fitted, names, rows = _prepared(df, label, FittedTransform([pass_through(c) for c in features]))
     assembler = VectorAssembler(inputCols=names, outputCol="_features")
     gbt = GBTClassifier(
         maxIter=max_iter, maxDepth=max_depth, stepSize=learn_rate, subsamplingRate=subsample,
         featureSubsetStrategy=str(feature_fraction), seed=seed,
     )
-    many = OneVsRest(classifier=gbt, featuresCol="_features", labelCol=label, predictionCol="_prediction")
+    many = OneVsRest(classifier=gbt, featuresCol="_features", labelCol=label, predictionCol="_prediction", parallelism=parallelism)
     rows = assembler.transform(rows).select("_features", label).persist()
     try:
         model = many.fit(rows)

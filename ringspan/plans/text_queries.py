@@ -96,16 +96,27 @@ def knn_exact(spark, sf):
     return found.withColumn("score", F.round("score", 6))
 
 
-@query("knn_approx")
+@query("knn_approx", f"""
+with {CENTROIDS}, {PAIRS}
+select query, vec_id as id, round(l2, 6) as score, rank::int as rank from (
+  select *, row_number() over (partition by query order by l2, vec_id) as rank from pairs) where rank <= 10
+""")
 def knn_approx(spark, sf):
-    return K.knn_approx(
-        _embeddings(spark, sf), _centroids(spark, sf), 10, leaves=16, probes=8, query_id="label", query_vec="centroid"
+    """With as many probes as leaves the index finds what a full search finds."""
+    found = K.knn_approx(
+        _embeddings(spark, sf), _centroids(spark, sf), 10, leaves=16, probes=16, query_id="label", query_vec="centroid"
     )
+    return found.withColumn("score", F.round("score", 6))
 
 
-@query("project_2d")
+@query("project_2d", "select count(*) as n, true as uncorrelated, true as first_axis_is_wider from embeddings")
 def project_2d(spark, sf):
-    return E.project_2d(_embeddings(spark, sf), "embedding").select("vec_id", "label", "x", "y")
+    """The axes of the plane carry no common variance, the first one the most."""
+    plane = E.project_2d(_embeddings(spark, sf), "embedding")
+    return plane.agg(
+        F.count(F.lit(1)).alias("n"), (F.abs(F.corr("x", "y")) < 1e-6).alias("uncorrelated"),
+        (F.variance("x") >= F.variance("y")).alias("first_axis_is_wider"),
+    )
 
 
 @query("parse_embeddings", """
@@ -273,7 +284,19 @@ def rouge_2(spark, sf):
     return _rounded_scores(X.rouge_n(_pairs(spark, sf), "id", "target", "prediction", 2))
 
 
-@query("rouge_l")
+@query("rouge_l", f"""
+with recursive {PAIRS_SQL}, dp(id, i, row) as (
+  select id, 0, list_transform(range(0, len(p)), lambda x: 0) from tokens
+  union all
+  select id, i + 1, list_transform(range(1, len(cand) + 1), lambda j: list_max(cand[1:j])) from (
+    select dp.id as id, dp.i as i, list_transform(range(1, len(p) + 1), lambda j: greatest(dp.row[j],
+             case when t[dp.i + 1] = p[j] then (case when j > 1 then dp.row[j - 1] else 0 end) + 1 else 0 end)) as cand
+    from dp join tokens on dp.id = tokens.id where dp.i < len(t))),
+scores as (select id, case when len(p) > 0 then coalesce(list_max(row), 0) / len(p) else 0 end as pr,
+                  case when len(t) > 0 then coalesce(list_max(row), 0) / len(t) else 0 end as re from dp join tokens using (id) where i = len(t))
+select id, round(pr, 6) as rougeL_precision, round(re, 6) as rougeL_recall,
+       round(case when pr + re > 0 then 2 * pr * re / (pr + re) else 0 end, 6) as rougeL_fmeasure from scores
+""")
 def rouge_l(spark, sf):
     return _rounded_scores(X.rouge_l(_pairs(spark, sf), "id", "target", "prediction"))
 
