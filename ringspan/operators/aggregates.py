@@ -30,21 +30,24 @@ def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
 
 
 # quantiles
-def quantile_exact(df: DataFrame, col: Sequence[str] | str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def quantile_exact(
+    df: DataFrame, col: Sequence[str] | str, probs: Sequence[float], by: Sequence[str] = (), distinct_rows: int | None = None
+) -> DataFrame:
     """Linear-interpolated quantiles: one row (by..., column, prob, value) per column and probability.
 
     Over a whole large table a mergeable sketch first brackets every wanted rank, and only values
     inside a bracket are shuffled. Per group, or for little data, all values are counted (combined
     before the shuffle, so a frequent value costs one row) and ranked. No task ever holds all values
-    of a column.
+    of a column. ``distinct_rows`` is how many values count as little data; the result does not depend on it.
     """
     by, cols, probs = list(by), _list(col), [float(p) for p in probs]
-    return _quantiles_ranked(df, cols, probs, by) if by else _quantiles_bracketed(df, cols, probs)
+    few = DISTINCT_ROWS if distinct_rows is None else distinct_rows
+    return _quantiles_ranked(df, cols, probs, by, few) if by else _quantiles_bracketed(df, cols, probs, few)
 
 
-def _ranks(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _ranks(counts: DataFrame, keys: Sequence[str], few: int) -> DataFrame:
     """Stored counts (keys..., value, n) with ``upto``, the number of values up to and including this one."""
-    if counts.count() <= DISTINCT_ROWS:
+    if counts.count() <= few:
         return counts.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys).orderBy("value")))
     return prefix_sum(counts, F.col("n"), ["value"], keys, out="upto")
 
@@ -58,14 +61,14 @@ def _between(low: Column, high: Column, part: Column) -> Column:
     return low + (high - low) * part
 
 
-def _quantiles_ranked(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+def _quantiles_ranked(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str], few: int) -> DataFrame:
     keys = [*by, "column"]
     counts = _long(df, cols, by).filter(F.col("value").isNotNull()).groupBy(*keys, "value").agg(
         F.count(F.lit(1)).alias("n")
     )
     counts = cut_lineage(counts)
     totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
-    pairs = _ranks(counts, keys).alias("r").join(totals.alias("t"), same_key("r", "t", keys)).select("r.*", "t.total")
+    pairs = _ranks(counts, keys, few).alias("r").join(totals.alias("t"), same_key("r", "t", keys)).select("r.*", "t.total")
     picks = []
     for i, p in enumerate(probs):
         rank = F.lit(p) * (F.col("total") - 1)
@@ -78,15 +81,15 @@ def _quantiles_ranked(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
     return pairs.groupBy(*keys).agg(*picks).select(*keys, F.inline(F.array(*rows)))
 
 
-def _quantiles_bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def _quantiles_bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[float], few: int) -> DataFrame:
     margin = 2.0 / SKETCH_ACCURACY  # the sketch errs by half of this
     bounds = [b for p in probs for b in (max(p - margin, 0.0), min(p + margin, 1.0))]
     sketched = df.agg(*[
         a for i, c in enumerate(cols) for x in [F.col(c).cast("double")]
         for a in (F.count(x).alias(f"n{i}"), F.percentile_approx(x, bounds, SKETCH_ACCURACY).alias(f"s{i}"))
     ]).first()
-    if max(sketched[f"n{i}"] for i in range(len(cols))) <= DISTINCT_ROWS:
-        return _quantiles_ranked(df, cols, probs, [])
+    if max(sketched[f"n{i}"] for i in range(len(cols))) <= few:
+        return _quantiles_ranked(df, cols, probs, [], few)
     targets = []
     for i, c in enumerate(cols):
         for j, p in enumerate(probs):
@@ -109,12 +112,12 @@ def _quantiles_bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[flo
         [(t[0], t[1], t[2], t[3] - below[f"b{t[0]}"], t[4] - below[f"b{t[0]}"], t[5]) for t in targets],
         "target int, column string, prob double, low bigint, high bigint, part double",
     )
-    picked = _ranks(cut_lineage(counts), ["target"]).join(F.broadcast(wanted), "target").groupBy("target", "column", "prob", "part").agg(
+    picked = _ranks(cut_lineage(counts), ["target"], few).join(F.broadcast(wanted), "target").groupBy("target", "column", "prob", "part").agg(
         _value_at(F.col("low")).alias("low"), _value_at(F.col("high")).alias("high"), F.min("low").alias("first")
     )
     found = cut_lineage(picked)  # one row per column and probability
     if found.filter("low is null or high is null or first < 0").count() or found.count() < len(targets):
-        return _quantiles_ranked(df, cols, probs, [])  # a bracket missed its rank: NaN values, or very few rows
+        return _quantiles_ranked(df, cols, probs, [], few)  # a bracket missed its rank: NaN values, or very few rows
     return found.select("column", "prob", _between(F.col("low"), F.col("high"), F.col("part")).alias("value"))
 
 

@@ -16,7 +16,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, partitions_for
 from .features import FeatureTransform, FittedTransform, standard_scaler
 
 ACTIVATIONS = ("relu", "sigmoid", "tanh", "linear")
@@ -153,8 +153,7 @@ class AutoencoderModel:
 def _training_rows(df: DataFrame, cols: Sequence[str], scaler: FittedTransform) -> DataFrame:
     """Scaled arrays of the complete rows, spread evenly and kept, so that iterations do not recompute them."""
     complete = df.dropna("any", subset=list(cols))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_lineage(complete.select(F.array(*scaler.columns(cols)).alias("x")).repartition(parts))
+    return cut_lineage(complete.select(F.array(*scaler.columns(cols)).alias("x")).repartition(partitions_for(complete)))
 
 
 def fit_autoencoder(

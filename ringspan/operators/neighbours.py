@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, scratch_path, store
+from ..session import cut_lineage, partitions_for, scratch_path, store
 from .ordered import top_k_per_group
 
 # Query vectors sent to every task may hold this many numbers (8 bytes each); more go block by block.
@@ -92,23 +92,26 @@ def _rank(found: DataFrame, k: int, metric: str, crowding: int | None) -> DataFr
 def knn_exact(
     base: DataFrame, queries: DataFrame, k: int, metric: str = "l2", id_col: str = "vec_id",
     vec_col: str = "embedding", where: Column | str | None = None, crowd_col: str | None = None,
-    crowding: int | None = None, query_id: str | None = None, query_vec: str | None = None,
+    crowding: int | None = None, query_id: str | None = None, query_vec: str | None = None, block_numbers: int | None = None,
 ) -> DataFrame:
     """(query, id, score, rank): the k nearest base rows of each query vector, ties by id.
 
     ``where`` filters base rows; with ``crowding`` at most that many neighbours share a ``crowd_col``
-    value. Queries of bounded size are sent to every task, which keeps its k best over all its
-    batches, so base rows never move. More queries meet the base in hash blocks of bounded size.
+    value. Queries go to the tasks in blocks of bounded size, and a task keeps its k best of a block over all its
+    batches, so base rows never move and are never copied; the base is scanned once per block. ``block_numbers`` bounds the numbers of a block.
     """
     if metric not in METRICS:
         raise ValueError(f"metric is one of {METRICS}")
     rows = _base_rows(base, id_col, vec_col, where, crowd_col, crowding)
     asked, shape = _asked(queries, query_id or id_col, query_vec or vec_col)
-    if shape["n"] * (shape["dim"] or 1) <= QUERY_NUMBERS:
-        found = _search_all(rows, asked, k, metric, crowding, None)
-    else:
-        found = _search_blocks(rows, asked, k, metric, crowding, shape["n"], rows.count())
-    return _rank(found, k, metric, crowding)
+    blocks = max(1, math.ceil(shape["n"] * (shape["dim"] or 1) / (block_numbers or QUERY_NUMBERS)))
+    if blocks == 1:
+        return _rank(_search_all(rows, asked, k, metric, crowding, None), k, metric, crowding)
+    path, block = scratch_path(base.sparkSession, "neighbours"), F.pmod(F.xxhash64("_query"), F.lit(2 * blocks))
+    for i in range(2 * blocks):  # blocks of half the bound, as a hash does not deal them evenly
+        part = _search_all(rows, asked.filter(block == i), k, metric, crowding, None)
+        part.write.mode("append").parquet(path)
+    return _rank(base.sparkSession.read.parquet(path), k, metric, crowding)
 
 
 def _asked(queries: DataFrame, id_col: str, vec_col: str):
@@ -206,7 +209,7 @@ def build_index(
     if leaves is None:
         leaves = max(1, math.isqrt(rows.count()))
     model = KMeans(k=leaves, seed=seed, featuresCol="_features", predictionCol="_leaf", maxIter=10).fit(rows)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions_for(rows)
     salt = F.pmod(F.xxhash64("_id"), F.lit(LEAF_SALTS))
     leafed = model.transform(rows).drop("_features").repartition(parts, "_leaf", salt)
     leafed.write.mode("overwrite").partitionBy("_leaf").parquet(f"{path}/rows")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import hash_uniform
-from ..session import cut_lineage
+from ..session import cut_lineage, partitions_for
 
 # Spark limits each partition before the shuffle when the rank bound stays below this setting's default.
 GROUP_LIMIT = 1000
@@ -68,8 +68,7 @@ def prefix_sum(
 
     ``order_by`` must be unique within a group for a determined result.
     """
-    spark = df.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = partitions_for(df)
     by, order = list(by), _as_cols(order_by)
     # The checkpoint fixes the range of every row: a recomputed range partitioning may cut elsewhere.
     rows = cut_lineage(

@@ -161,6 +161,27 @@ def quantile_exact(spark, sf):
     return quantiles.withColumn("value", F.round("value", 6))
 
 
+# the paths that large tables take, whatever the size of these
+@query("quantile_exact_bracketed", " union all ".join(
+    f"select '{c}' as \"column\", {p}::double as prob, round(quantile_cont({c}, {p}), 6) as value from lineitem"
+    for c in ("l_extendedprice", "l_discount") for p in (0.0, 0.05, 0.5, 0.96, 1.0)
+))
+def quantile_exact_bracketed(spark, sf):
+    quantiles = A.quantile_exact(
+        table(spark, sf, "lineitem"), ["l_extendedprice", "l_discount"], [0.0, 0.05, 0.5, 0.96, 1.0], distinct_rows=0
+    )
+    return quantiles.withColumn("value", F.round("value", 6))
+
+
+@query("quantile_exact_by_ranges", """
+select l_returnflag, 'l_extendedprice' as "column", 0.5::double as prob, round(quantile_cont(l_extendedprice, 0.5), 6) as value
+from lineitem group by 1
+""")
+def quantile_exact_by_ranges(spark, sf):
+    quantiles = A.quantile_exact(table(spark, sf, "lineitem"), "l_extendedprice", [0.5], by=["l_returnflag"], distinct_rows=0)
+    return quantiles.withColumn("value", F.round("value", 6))
+
+
 @query("describe", _stats_sql("orders", ["o_totalprice", "o_custkey"]))
 def describe(spark, sf):
     return _rounded(A.describe(table(spark, sf, "orders"), ["o_totalprice", "o_custkey"]))

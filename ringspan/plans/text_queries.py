@@ -96,11 +96,21 @@ def knn_exact(spark, sf):
     return found.withColumn("score", F.round("score", 6))
 
 
-@query("knn_approx", f"""
+NEAREST = f"""
 with {CENTROIDS}, {PAIRS}
 select query, vec_id as id, round(l2, 6) as score, rank::int as rank from (
   select *, row_number() over (partition by query order by l2, vec_id) as rank from pairs) where rank <= 10
-""")
+"""
+
+
+@query("knn_exact_in_blocks", NEAREST)
+def knn_exact_in_blocks(spark, sf):
+    """The path of more queries than go to the tasks at once."""
+    found = K.knn_exact(_embeddings(spark, sf), _centroids(spark, sf), 10, query_id="label", query_vec="centroid", block_numbers=200)
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query("knn_approx", NEAREST)
 def knn_approx(spark, sf):
     """With as many probes as leaves the index finds what a full search finds."""
     found = K.knn_approx(
@@ -184,7 +194,7 @@ def chunk_text(spark, sf):
     return chunks.select("chunk_id", "doc_id", "chunk", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
-@query("retrieve_documents", r"""
+RETRIEVED = r"""
 with q as (select distinct item_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) as term from benchmark),
 words as (select doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) as term from documents),
 tf as (select doc_id, term, count(*) as tf from words where term <> '' group by all),
@@ -193,12 +203,21 @@ scored as (select item_id, doc_id, round(sum((1 + ln(tf)) * idf), 6) as score
            from tf join idf using (term) join q using (term) group by all)
 select item_id, doc_id, score, rank::int as rank from (
   select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored) where rank <= 10
-""")
+"""
+
+
+@query("retrieve_documents", RETRIEVED)
 def retrieve_documents(spark, sf):
     # The operator rounds scores to 6 places, so that equal scores rank by document; they are rounded only once.
     return X.retrieve_documents(_documents(spark, sf), table(spark, sf, "benchmark"), 10, "doc_id", "item_id")
 
 
+@query("retrieve_documents_shuffled", RETRIEVED)
+def retrieve_documents_shuffled(spark, sf):
+    """The path of questions with more words than are broadcast."""
+    return X.retrieve_documents(_documents(spark, sf), table(spark, sf, "benchmark"), 10, "doc_id", "item_id", max_broadcast_terms=0)
+
+
 @query("build_prompts", """
 with lines as (
   select o_orderpriority, o_orderkey, concat(cast(o_orderkey as varchar), ',', cast(o_custkey as varchar), ',', o_orderstatus) as line

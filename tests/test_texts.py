@@ -54,8 +54,7 @@ def test_knn_equals_brute_force(vectors, metric, cost):
 def test_knn_in_blocks_equals_one_block(vectors, monkeypatch):
     queries = vectors.filter("vec_id % 40 = 0")
     expected = rows(K.knn_exact(vectors, queries, 5))
-    monkeypatch.setattr(K, "QUERY_NUMBERS", 0)
-    monkeypatch.setattr(K, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(K, "QUERY_NUMBERS", 200)
     assert rows(K.knn_exact(vectors, queries, 5)) == expected
 
 
