@@ -98,8 +98,8 @@ def blocks_of(page: str | None) -> list[Block]:
                 text.append(part)
                 if links:
                     linked += len(part.strip())
-            elif not part.startswith("<!--"):
-                text.append(" ") if m[1] else None
+            elif m[1]:
+                text.append(" ")
             continue
         closing, tag = m[2] or m[5], tag.lower()
         if tag == "a":

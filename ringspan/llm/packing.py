@@ -102,9 +102,10 @@ def greedy_patterns(left: np.ndarray, window: int) -> list[tuple[tuple[int, ...]
 
 
 def plan_windows(counts: np.ndarray, window: int) -> dict[str, np.ndarray]:
-    """Where the pieces of each length go: rows (length * RANKS + first rank, sequence or -1, offset), sorted.
+    """Where the pieces of each length go: rows (length * RANKS + first rank, sequence or -1, offset, ...), sorted.
 
-    A sequence of -1 says that the piece is cut at powers of two, whose ranks start at ``part`` for each bit.
+    A sequence of -1 says that the piece is cut at powers of two; the further columns are the first rank of each bit's
+    part, which ``parts`` places in the same way.
     """
     left = counts.copy()
     whole = int(left[window])
@@ -132,11 +133,13 @@ def plan_windows(counts: np.ndarray, window: int) -> dict[str, np.ndarray]:
             parts[p] += n
     rows, cut_rows, used, cut_used, sequence = [], [], Counter(), Counter(), 0
 
+    bits = window.bit_length()
+
     def place(pattern, repeats, into, ranks):
         nonlocal sequence
         offset = 0
         for k in pattern:
-            into.append((k * RANKS + ranks[k], sequence, offset) + (0,) * 64)
+            into.append((k * RANKS + ranks[k], sequence, offset) + (0,) * bits)
             ranks[k] += repeats
             offset += k
         sequence += repeats
@@ -147,12 +150,12 @@ def plan_windows(counts: np.ndarray, window: int) -> dict[str, np.ndarray]:
         place(lengths, repeats, cut_rows, cut_used)
     taken: Counter = Counter()
     for k, n in opened.items():
-        first = [0] * 64
+        first = [0] * bits
         for p in binary_parts(k):
             first[p.bit_length() - 1] = taken[p]
             taken[p] += n
         rows.append((k * RANKS + used[k], -1, 0, *first))
-    as_array = lambda r: np.array(sorted(r), np.int64).reshape(-1, 67)
+    as_array = lambda r: np.array(sorted(r), np.int64).reshape(-1, 3 + bits)
     return {"pieces": as_array(rows), "parts": as_array(cut_rows)[:, :3]}
 
 

@@ -38,12 +38,12 @@ def test_contaminated_odd_rows(spark):
     filler = "some words of no import stand here and there in every single file we read "
     rows = [
         (1, filler + ITEM + " " + filler), (2, filler + other), (3, filler + crossed), (4, filler * 50), (5, None), (6, ""), (7, ITEM[: len(ITEM) // 2]),
-        (8, ITEM), (8, ITEM), (9, "yes no"), (10, "yes it is"), (None, filler + ITEM), (11, filler * 3000 + ITEM + filler * 3000), (12, "12 12 12 12 12 12 12"),
+        (8, ITEM), (8, ITEM), (9, "yes no"), (10, "yes it is"), (13, "Yes, NO!"), (None, filler + ITEM), (11, filler * 3000 + ITEM + filler * 3000), (12, "12 12 12 12 12 12 12"),
     ]
     bench = [(1, ITEM), (2, "yes no"), (3, None), (4, ""), (5, "12 13 14 15 16 17"), (1, ITEM), (None, "a question that has no number of its own in the table")]
     found = decontaminate.contaminated_pairs(docs(spark, rows).repartition(5), items(spark, bench)).collect()
     got = {(r["doc_id"], r["item_id"], r["reparameterised"]) for r in found}
-    assert got == {(1, 1, False), (2, 1, True), (8, 1, False), (9, 2, False), (None, 1, False), (11, 1, False)}
+    assert got == {(1, 1, False), (2, 1, True), (8, 1, False), (9, 2, False), (13, 2, False), (None, 1, False), (11, 1, False)}
     kept = decontaminate.drop_contaminated(docs(spark, rows), items(spark, bench))
     assert kept.columns == ["doc_id", "text", "item_id", "share", "windows"]
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5, 6, 7, 10, 12]
