@@ -1,9 +1,9 @@
 """Benchmark decontamination by template canonicalisation, in built-in functions only.
 
 Numbers, names and units become typed placeholders, so a question with other numbers or names keeps its template.
-Both sides are cut into windows of template tokens. Of each benchmark item only its rarest windows are joined, by
-hash: a document with at least ``share`` of an item's windows must hold one of any ``1 - share`` of them (and one
-more), so the join stays small and loses nothing. Candidates are then verified on the whole document: the share of
+Both sides are cut into windows of template tokens. Of each benchmark item only the windows that start with its rarest
+words are joined, by hash: a document with at least ``share`` of an item's windows must hold one of any ``1 - share``
+of them (and one more), so documents hash only where such a word stands, and nothing is lost. Candidates are then verified on the whole document: the share of
 the item's windows, and whether the slots that line up with the item's are filled consistently (equal values by equal
 ones, different by different).
 """
@@ -25,9 +25,12 @@ UNIT_WORDS = tuple(
 UNIT_SIGNS = "km/h|m/s|mi|ft|oz|sec|min|hrs?|°[cf]?|[$€£%]|kj|cal|pa|[mglshwvjn]"
 _NUMBER = r"(?<![\p{L}\p{Nd}])\p{Nd}+(?:[.,]\p{Nd}+)*"
 _NAME = r"\p{Lu}(?<=[\p{Ll}\p{Nd},;)] .)\p{Ll}+"
-_BETWEEN = r"[^\p{L}\p{M}\p{Nd}<>=_]+"
-#: Broadcast the item windows up to this many rows (16 bytes each), else let both sides shuffle.
-BROADCAST_ROWS = 1_000_000
+#: ASCII other than digits, letters and ``<=>_``, and the general and CJK punctuation beyond it.
+_BETWEEN = r"[\x00-\x2F\x3A\x3B\x3F\x40\x5B-\x5E\x60\x7B-\x7F\u00A0-\u00A9\u00AB-\u00B4\u00B6-\u00B9\u00BB-\u00BF\u2000-\u206F\u3000-\u303F]+"
+#: Broadcast the item windows, or the candidate documents, up to this many rows (some 50 bytes each), else shuffle.
+BROADCAST_ROWS = 500_000
+#: First words of the joined windows up to this number are a filter in the scan; beyond it every window is joined.
+LISTED_WORDS = 5_000
 
 
 def template_tokens(text: Column, values: bool = False) -> Column:
@@ -37,37 +40,37 @@ def template_tokens(text: Column, values: bool = False) -> Column:
     placeholder holds what it stands for, as in ``<num=12>``.
     """
     put = lambda kind, group: f"<{kind}=${group}>" if values else f"<{kind}>"
-    text = F.regexp_replace(text, r"[<>=_]+", " ")
+    odd = text.contains("<") | text.contains(">") | text.contains("=") | text.contains("_")
+    text = F.when(odd, F.regexp_replace(text, r"[<>=_]+", " ")).otherwise(text)
     text = F.regexp_replace(text, rf"({_NAME})", put("name", 1))
-    text = F.regexp_replace(text, rf"([$€£])\s?(?=\p{{Nd}})", f" {put('unit', 1)} ")
-    text = F.regexp_replace(text, rf"({_NUMBER})\s?(?i:({UNIT_SIGNS}))(?![\p{{L}}\p{{Nd}}])", f" {put('num', 1)} {put('unit', 2)} ")
+    counted = F.regexp_replace(text, r"([$€£])\s?(?=\p{Nd})", f" {put('unit', 1)} ")
+    counted = F.regexp_replace(counted, rf"({_NUMBER})\s?(?i:({UNIT_SIGNS}))(?![\p{{L}}\p{{Nd}}])", f" {put('num', 1)} {put('unit', 2)} ")
     # A number in a placeholder already written follows "=", which the pattern below does not accept.
-    text = F.regexp_replace(text, rf"(?<!=)({_NUMBER})(?![^<]*>)" if values else rf"({_NUMBER})", f" {put('num', 1)} ")
+    counted = F.regexp_replace(counted, rf"(?<!=)({_NUMBER})(?![^<]*>)" if values else rf"({_NUMBER})", f" {put('num', 1)} ")
     if values:
-        for sign, name in (("[$]", "usd"), ("€", "eur"), ("£", "gbp"), ("%", "percent"), ("°", "degrees"), ("[/.,]", "_")):
-            text = F.regexp_replace(text, rf"(?<==[^<> ]{{0,40}}){sign}(?=[^<> ]*>)", name)
+        # "=" stands in placeholders only. Signs in their values become words, as they would part the placeholder.
+        for sign, name in (("[$]", "usd"), ("€", "eur"), ("£", "gbp"), ("%", "percent"), ("°", "degrees"), *[("[/.,]", "_")] * 6):
+            counted = F.regexp_replace(counted, rf"(=[^<> ]*?){sign}([^<> ]*>)", f"$1{name}$2")
+    text = F.when(text.rlike(r"\p{Nd}"), counted).otherwise(text)
     words = F.array_remove(F.split(F.lower(text), _BETWEEN), "")
     return F.transform(words, lambda w: F.when(w.isin(*UNIT_WORDS), F.concat(F.lit("<unit="), w, F.lit(">")) if values else F.lit("<unit>")).otherwise(w))
 
 
-def _windows(tokens: Column, size: int) -> Column:
-    """Hashes of the windows with at least two literal words (one if shorter), NULL elsewhere; short texts are one window."""
+def _window(tokens: Column, i: Column, size: int) -> Column:
+    """The hash of the window at ``i`` if it has two literal words; a text shorter than a window is one with its literal."""
+    parts = [F.get(tokens, i + k) for k in range(size)]
+    literal = sum((F.when(p.startswith("<"), 0).otherwise(1) for p in parts), F.lit(0))
+    short = F.exists(tokens, lambda t: ~t.startswith("<"))
+    return F.when(i + size <= F.size(tokens), F.when(literal >= 2, F.xxhash64(*parts))).when((F.size(tokens) < size) & (i == 0) & short, F.xxhash64(tokens))
 
-    def window(i):
-        parts = [F.get(tokens, i + k) for k in range(size)]
-        literal = sum((F.when(p.startswith("<"), 0).otherwise(1) for p in parts), F.lit(0))
-        return F.when(literal >= 2, F.xxhash64(*parts))
 
-    count = F.size(tokens)
-    short = F.exists(tokens, lambda t: ~t.startswith("<"))
-    return (
-        F.when(count >= size, F.transform(F.sequence(F.lit(0), F.greatest(count - size, F.lit(0))), window))
-        .when((count > 0) & short, F.array(F.xxhash64(tokens))).otherwise(F.array().cast("array<bigint>"))
-    )
+def _windows(tokens: Column, size: int) -> Column:
+    """The windows' hashes by place, NULL where there is none."""
+    return F.transform(tokens, lambda t, i: _window(tokens, i, size))
 
 
 def _items(benchmark: DataFrame, size: int, share: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Per item what verification needs, and the (window, item) rows to join: of each item its rarest windows."""
+    """Per item what verification needs, and the (window, first, item) rows to join: those with its rarest first words."""
     rows = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), text_column(text_col).alias("item_text"))
     rows = rows.select("item_id", F.xxhash64("item_text").alias("item"), template_tokens(F.col("item_text"), True).alias("item_values"))
     tokens = F.transform("item_values", lambda v: F.when(v.startswith("<"), F.concat(F.substring_index(v, "=", 1), F.lit(">"))).otherwise(v))
@@ -75,11 +78,13 @@ def _items(benchmark: DataFrame, size: int, share: float, id_col: str, text_col:
     rows = rows.withColumn("item_all", _windows(F.col("item_tokens"), size))
     rows = rows.withColumn("item_windows", F.array_distinct(F.array_compact("item_all"))).filter(F.size("item_windows") > 0)
     rows = store(rows.dropDuplicates(["item_id", "item"]), "benchmark-items")
-    each = rows.select("item_id", "item", F.size("item_windows").alias("n"), F.explode("item_windows").alias("window"))
-    often = each.groupBy("window").agg(F.count(F.lit(1)).alias("often"))
-    ranked = each.join(often, "window").groupBy("item_id", "item").agg(F.array_sort(F.collect_list(F.struct("often", "window"))).alias("w"))
+    firsts = F.transform("item_windows", lambda w: F.struct(w.alias("window"), F.element_at("item_tokens", F.array_position("item_all", w).cast("int")).alias("first")))
+    each = rows.select("item_id", "item", F.explode(firsts).alias("w")).select("item_id", "item", "w.*")
+    often = each.groupBy("first").agg(F.count(F.lit(1)).alias("often"))
+    order = F.struct("often", (-F.length("first")).alias("short"), "window", "first")
+    ranked = each.join(often, "first").groupBy("item_id", "item").agg(F.array_sort(F.collect_list(order)).alias("w"))
     needed = F.floor(F.size("w") * F.lit(round(1 - share, 9)) + F.lit(1e-9)).cast("int") + 1
-    joined = ranked.select("item_id", "item", F.explode(F.slice("w", F.lit(1), needed)).alias("w")).select("item_id", "item", "w.window")
+    joined = ranked.select("item_id", "item", F.explode(F.slice("w", F.lit(1), needed)).alias("w")).select("item_id", "item", "w.window", "w.first")
     return rows, store(joined, "benchmark-windows")
 
 
@@ -95,34 +100,45 @@ def contaminated_pairs(
     pairs with NULL; repeated rows count once, with their best share; other columns are ignored.
     """
     items, wanted = _items(benchmark, size, share, item_col, item_text_col)
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+    listed = [r["first"] for r in wanted.select("first").distinct().limit(LISTED_WORDS + 1).collect()]
+    few = wanted.count() <= BROADCAST_ROWS
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_column(text_col).alias("doc_text"))
     tokens = source.select("doc_id", template_tokens(F.col("doc_text")).alias("tokens"))
-    windows = tokens.select("doc_id", F.explode(_windows(F.col("tokens"), size)).alias("window")).filter("window IS NOT NULL")
-    pairs = store(windows.join(wanted, "window").select("doc_id", "item_id", "item").distinct(), "contamination-candidates")
-
-    known = pairs.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "item")).alias("items"))
-    texts = source.alias("d").join(known.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")))
-    texts = texts.select(
-        "d.doc_id", "items", template_tokens(F.col("doc_text"), True).alias("values"), template_tokens(F.col("doc_text")).alias("tokens")
-    ).select("doc_id", "values", _windows(F.col("tokens"), size).alias("windows"), F.explode("items").alias("i"))
-    both = texts.select("doc_id", "values", "windows", F.col("i.item_id").alias("item_id"), F.col("i.item").alias("item")).alias("t").join(
+    if len(listed) <= LISTED_WORDS:
+        at = F.transform("tokens", lambda t, i: F.when(t.isin(listed), _window(F.col("tokens"), i, size)))
+    else:
+        at = _windows(F.col("tokens"), size)
+    windows = tokens.select("doc_id", F.explode(F.array_compact(at)).alias("window"))
+    pairs = windows.join(F.broadcast(wanted) if few else wanted, "window").select("doc_id", "item_id", "item").distinct()
+    pairs = store(pairs, "contamination-candidates")
+
+    known = store(pairs.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "item")).alias("items")), "candidate-documents")
+    some = known if known.count() > BROADCAST_ROWS else F.broadcast(known)
+    texts = source.alias("d").join(some.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")))
+    texts = texts.select("d.doc_id", "doc_text", "items", template_tokens(F.col("doc_text")).alias("tokens")).select(
+        "doc_id", "doc_text", _windows(F.col("tokens"), size).alias("windows"), F.explode("items").alias("i")
+    )
+    both = texts.select("doc_id", "doc_text", "windows", F.col("i.item_id").alias("item_id"), F.col("i.item").alias("item")).alias("t").join(
         items.alias("b"), (F.col("t.item") == F.col("b.item")) & F.col("t.item_id").eqNullSafe(F.col("b.item_id"))
     )
     matched = F.size(F.array_intersect("windows", "item_windows"))
-    # Where the item lies in the document: the commonest distance between matched windows.
-    places = F.transform("item_all", lambda w, i: F.when(F.array_contains("windows", w), F.array_position("windows", w) - 1 - i))
     found = both.select(
-        "doc_id", "t.item_id", "values", "item_values", F.size("item_windows").alias("n"), matched.alias("matched"),
-        F.array_compact(places).alias("places"),
+        "doc_id", "t.item_id", "doc_text", "windows", "item_all", "item_values", F.size("item_windows").alias("n"), matched.alias("matched"),
     ).withColumn("share", F.col("matched") / F.col("n")).filter(F.col("share") >= share - 1e-9)
+    # Only items with slots need to be lined up: at the commonest distance between matched windows.
+    slotted = F.exists("item_values", lambda v: v.startswith("<"))
+    ahead = F.transform("item_all", lambda w, i: F.nullif(F.array_position("windows", w), F.lit(0)) - 1 - i)
+    found = found.withColumn("places", F.when(slotted, F.array_compact(ahead)))
     common = F.array_max(F.transform(F.array_distinct("places"), lambda p: F.struct(F.size(F.filter("places", lambda q: q == p)).alias("n"), (-p).alias("p"))))
-    found = found.withColumn("at", -common["p"])
+    found = found.select(
+        "doc_id", "item_id", "item_values", "n", "matched", "share", (-common["p"]).alias("at"),
+        F.when(slotted, template_tokens(F.col("doc_text"), True)).alias("values"),
+    )
     lined = F.transform("item_values", lambda v, i: F.struct(v.alias("a"), F.get("values", (F.col("at") + i).cast("int")).alias("b")))
     kind = lambda v: F.substring_index(v, "=", 1)
     slots = F.filter(lined, lambda p: p["a"].startswith("<") & (kind(p["a"]) == kind(F.coalesce(p["b"], F.lit("")))))
-    found = found.withColumn("pairs", F.array_distinct(slots))
+    # Two references keep the optimizer from computing the values anew for every element.
+    found = found.withColumn("pairs", F.when(F.col("values").isNotNull(), F.array_distinct(slots)).otherwise(F.array().cast("array<struct<a:string,b:string>>")))
     distinct = F.size("pairs")
     consistent = (F.size(F.array_distinct("pairs.a")) == distinct) & (F.size(F.array_distinct("pairs.b")) == distinct)
     found = found.filter(consistent).select(
