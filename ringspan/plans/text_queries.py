@@ -392,20 +392,27 @@ def validate_tuning_rows(spark, sf):
     return X.validate_tuning_rows(X.build_tuning_pairs(table(spark, sf, "conversations")), "chat")
 
 
-@query("corpus_index", """
-with placed as (
-  select page_id, url, sum(length(url) + 1) over (order by lpad(cast(page_id as varchar), 12, '0')) as upto,
-         sum(length(url) + length(html) + 52) over (order by lpad(cast(page_id as varchar), 12, '0')) as upto_text, html
-  from pages)
-select 'index' as part, cast(floor((upto - length(url) - 1) / 20000) as bigint) as chunk,
-       md5(string_agg(url, chr(10) order by lpad(cast(page_id as varchar), 12, '0'))) as digest from placed group by all
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@query("corpus_index", f"""
+with files as (select lpad(cast(page_id as varchar), 12, '0') as path, html from pages),
+bodies as (select path, {_literal(X.FILE_HEAD)} || path || {_literal(X.FILE_NAME_END)} || html || {_literal(X.FILE_END)} as body from files),
+placed as (select path, body, (row_number() over (order by path) - 1) * 13 as before_path,
+                  sum(length(body)) over (order by path) - length(body) as before_body from bodies)
+select 'index' as part, cast(floor(before_path / 20000) as bigint) as chunk, md5(string_agg(path, chr(10) order by path)) as digest
+from placed group by all
+union all
+select 'content', cast(floor(before_body / 20000) as bigint), md5(string_agg(body, '' order by path)) from placed group by all
 """)
 def corpus_index(spark, sf):
-    pages = table(spark, sf, "pages").select(
-        F.lpad(F.col("page_id").cast("string"), 12, "0").alias("page"), "url"
+    """Every page as a file named by its number: the list of paths, and all contents under their headings."""
+    files = table(spark, sf, "pages").select(
+        F.lpad(F.col("page_id").cast("string"), 12, "0").alias("path"), F.lit(True).alias("is_text"), F.col("html").alias("text")
     )
-    index = A.string_agg(pages, F.col("url"), "\n", ["page"], max_chars=20_000)
-    return index.select(F.lit("index").alias("part"), "chunk", F.md5(F.col("text").cast("binary")).alias("digest"))
+    index = X.corpus_index(files, max_chars=20_000)
+    return index.select("part", "chunk", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
 @query("corpus_content", """
