@@ -94,7 +94,8 @@ def _classes(split: _Split) -> DataFrame:
     """(row, class) of the leading rows that equal a leading row of another batch."""
     leads = split.leads()
     first = leads.groupBy(split.digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"), F.min(split.row).alias("next"))
-    again = first.filter("n > 1").select("digit", "next")
+    # Stored, so that the join on it can split the rows of a prefix that very many texts share.
+    again = store(first.filter("n > 1").select("digit", "next"), "radix-digits")
     key = F.regexp_replace(F.coalesce(F.col(f"`{split.text}`").cast("string"), F.lit("")), SPACE, "").cast("binary")
     active = store(
         leads.select(split.row.alias("row"), split.digit.alias("digit"), key.alias("key")).join(again, "digit")
@@ -112,8 +113,9 @@ def _classes(split: _Split) -> DataFrame:
             break
         deeper = deeper.select("row", "class", F.substring("key", start + 1, width).alias("digit"), "key")
         groups = deeper.groupBy("class", "digit").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("next"))
+        groups = store(groups.filter("n > 1").select("class", "digit", "next"), "radix-digits")
         active = store(
-            deeper.join(groups.filter("n > 1"), ["class", "digit"]).select("row", F.col("next").alias("class"), "digit", "key"),
+            deeper.join(groups, ["class", "digit"]).select("row", F.col("next").alias("class"), "digit", "key"),
             "radix-shared",
         )
         depth += 1
