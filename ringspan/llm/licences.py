@@ -137,5 +137,41 @@ def scan_licences(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id",
     return found.select(
         "doc_id", "n_words", F.size(starts).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
         F.array_max(starts).alias("last_word"), given(base_labels).alias("base_labels"), given(labels).alias("labels"),
-        F.array_max(best).alias("score"),
+        F.round(F.array_max(best), 6).alias("score"),
     )
+
+
+def licence_sql(templates=TEMPLATES, share: float = SHARE) -> str:
+    """The same scan over ``documents`` as DuckDB SQL: key phrases by joins on relative positions."""
+    rows = []
+    for t, template in enumerate(templates):
+        words, key = template.words.split(), template.key.split()
+        at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
+        rows += [f"({t}, '{template.label}', {template.base}, {at}, {i}, '{w}', {int(at <= i < at + len(key))})" for i, w in enumerate(words)]
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{BETWEEN}'), lambda x: x <> '') AS ws FROM documents
+), w AS (
+  SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM d
+), tw(t, label, base, ahead, i, word, is_key) AS (VALUES {', '.join(rows)}
+), weights AS (
+  SELECT word, ln(((SELECT count(*) FROM documents) + 1) / (count(DISTINCT rid) + 0.5::double)) AS weight
+  FROM (SELECT DISTINCT word FROM tw) LEFT JOIN w USING (word) GROUP BY word
+), totals AS (
+  SELECT t, sum(weight) AS total, sum(is_key) AS n_key FROM tw JOIN weights USING (word) GROUP BY t
+), hits AS (
+  SELECT rid, t, pos - i AS s, sum(is_key) AS n_key, sum(weight) AS weight FROM w JOIN tw USING (word) JOIN weights USING (word) GROUP BY ALL
+), places AS (
+  SELECT DISTINCT rid, hits.t, label, base, s + ahead AS start, least(1.0, weight / total) AS share
+  FROM hits JOIN totals ON hits.t = totals.t AND hits.n_key = totals.n_key JOIN (SELECT DISTINCT t, label, base, ahead FROM tw) x ON x.t = hits.t
+), found AS (
+  SELECT rid, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (share >= {share}) AS labels, max(share) AS score
+  FROM places GROUP BY rid
+)
+SELECT doc_id, len(ws)::bigint AS n_words, coalesce(n_base, 0)::bigint AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, round(coalesce(score, 0), 6)::double AS score
+FROM d LEFT JOIN found USING (rid)
+"""

@@ -64,7 +64,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op9_licences")
+@query("op9_licences", licences.licence_sql())
 def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(table(spark, sf_dir, "documents"))
 

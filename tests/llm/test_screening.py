@@ -3,6 +3,7 @@
 import re
 import zlib
 
+import duckdb
 import pytest
 
 from ringspan.llm import decontaminate, licences, queries, toxicity
@@ -114,6 +115,15 @@ def test_licences_query(spark):
     check_licences(queries.QUERIES["op9_licences"](spark, LARGER).collect(), rows)
 
 
+def test_licences_query_matches_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{LARGER}/documents.parquet'")
+    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    want = con.execute(f"select {','.join(names)} from ({queries.ORACLES['op9_licences']})").fetchall()
+    found = [tuple(r[n] for n in names) for r in queries.QUERIES["op9_licences"](spark, LARGER).collect()]
+    assert sorted(found, key=str) == sorted(want, key=str)
+
+
 def test_licences_are_native(spark):
     plan = queries.QUERIES["op9_licences"](spark, SMALL)._jdf.queryExecution().toString()
     plan += queries.QUERIES["op8_decontamination"](spark, SMALL)._jdf.queryExecution().toString()

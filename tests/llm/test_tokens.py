@@ -177,3 +177,13 @@ def test_token_files_query(spark, library):
     docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
     rows = sorted(tuple(r) for r in queries.QUERIES["op6_token_files"](spark, SMALL).collect())
     assert rows == sorted(brute_files(library, docs, 2))
+
+
+@pytest.mark.parametrize("chars", [20_000, 300_000])
+def test_batches_do_not_change_ids(spark, monkeypatch, chars):
+    from ringspan.llm import tokens
+
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    tool = tokens.Encoder(vocabulary_path(), remembered=5000)
+    monkeypatch.setattr(tokens, "BATCH_CHARS", chars)
+    assert [f.tobytes() for f in tool.documents(pa.array(texts))] == [tool.whole(t or "") for t in texts]
