@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from .common import arrow_schema
 
-#: Elements whose content is never text of the page.
-DROPPED = ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "object", "select", "button", "math", "canvas")
+#: Elements whose content is never text of the page: those without markup inside, which run to the end if unclosed,
+RAW = ("script", "style", "textarea", "title")
+#: and those that are dropped where they are closed. An unclosed one is passed over as a tag, and what follows is read.
+DROPPED = ("noscript", "template", "svg", "iframe", "object", "select", "button", "canvas")
 BLOCKS = frozenset(
     "html body head div section article main nav header footer aside ul ol li dl dt dd table thead tbody tfoot tr td th caption form "
     "fieldset p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption address details summary hr center legend".split()
@@ -46,10 +48,11 @@ CONTENT_TAGS = frozenset(("article", "main"))
 CONTENT_WORDS = frozenset("article main content post entry story body text".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(DROPPED) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?/][^>]*>|[^<]+|<",
     re.S | re.I,
 )
+_DROPS = re.compile(r"<(?:" + "|".join(DROPPED) + r")[\s/>]", re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
@@ -71,6 +74,24 @@ def _words_of(tag: str, attributes: str) -> tuple:
     return (*found, "hidden") if _HIDDEN.search(attributes) else tuple(found)
 
 
+def _dropped(tokens: list[re.Match]) -> dict[int, int]:
+    """Of each closed element to drop the places of its tags."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for i, m in enumerate(tokens):
+        tag = (m[3] or m[6] or "").lower()
+        if tag not in DROPPED:
+            continue
+        if m[2] or m[5]:
+            if opened.get(tag):
+                ends[opened[tag].pop()] = i
+        elif tag in ("button", "select"):
+            opened[tag] = [i]  # these do not nest
+        elif tag != "svg" or not (m[4] or m[7] or "").rstrip().endswith("/"):
+            opened.setdefault(tag, []).append(i)
+    return ends
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """The leaf blocks of a page in order; character references decoded, white space single."""
     found: list[Block] = []
@@ -90,7 +111,17 @@ def blocks_of(page: str | None) -> list[Block]:
             text.clear()
         linked = 0
 
-    for m in _TOKEN.finditer(page or ""):
+    page = page or ""
+    tokens = list(_TOKEN.finditer(page))
+    ends = _dropped(tokens) if _DROPS.search(page) else {}
+    upto = -1
+    for i, m in enumerate(tokens):
+        if i <= upto:
+            continue
+        if i in ends:
+            upto = ends[i]
+            text.append(" ")
+            continue
         tag = m[3] or m[6]
         if tag is None:
             part = m[0]

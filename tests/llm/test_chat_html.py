@@ -80,6 +80,19 @@ def test_blocks_of_broken_pages():
     assert texts(long) == ["deep"]
 
 
+def test_dropped_elements_end_where_they_are_closed():
+    texts = lambda page: [b.text for b in html.blocks_of(page)]
+    assert texts('<p>one</p><svg class="i"/><p>two</p>') == ["one", "two"]
+    for tag in html.DROPPED:
+        assert texts(f"<p>one</p><{tag}><p>two</p>")[-1] == "two"
+        assert texts(f"<p>one</p><{tag}>x<p>two</p><{tag} a=b>no</{tag}><p>three</p>")[-2:] == ["two", "three"]
+        assert texts(f"<p>one<{tag}><b>no</b></{tag}>two</p><{tag}-x>three</{tag}-x>") == ["one two", "three"]
+    assert texts("<svg><svg>no</svg>no</svg>yes<title-bar>bar</title-bar><style-x>too</style-x>") == ["yesbartoo"]
+    assert texts("<p>so <math><mi>x</mi>=<mn>2</mn></math> holds<math/></p><p>on</p>") == ["so x=2 holds", "on"]
+    assert texts("<button><script>'</button>'</script>no</button><p>yes</p>") == ["yes"]
+    assert texts("yes<title>never closed <p>no") == ["yes"]
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     net = html.Labeller.fresh(3, 1)
