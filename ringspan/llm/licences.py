@@ -3,8 +3,8 @@
 Templates are short word sequences with a key phrase that must stand. One pass over the texts keeps of each file
 the places of the licence words (``place * 256 + word``) and counts in how many files each word is. A template is
 looked up by the word of its key phrase with the highest inverse document frequency; every place of that word gives
-a start, the postings of the template's other words are intersected there by relative position, and the key phrase
-is verified word by word. So a file costs its rare words, and no place of a key phrase is missed: each holds its
+a start, the key phrase is verified there word by word, and the postings of the template's other words are looked up
+by relative position where it stands, also between foreign words. So a file costs its rare words, and no place of a key phrase is missed: each holds its
 rarest word.
 """
 
@@ -60,7 +60,10 @@ def _vocabulary(templates) -> list[str]:
 
 
 def licence_places(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, seen (licence words of the file) and hits (place * 256 + word, beside another licence word)."""
+    """doc_id, n_words, seen (licence words of the file), all_hits (place * 256 + word) and hits (those a key phrase can hold).
+
+    A word of a key phrase stands beside another licence word, unless a key phrase is a single word.
+    """
     vocabulary = _vocabulary(templates)
     if len(vocabulary) > 256:
         raise ValueError("more than 256 licence words")
@@ -74,7 +77,10 @@ def licence_places(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id",
     )
     beside = lambda c, d: F.coalesce(F.shiftright(c, 8) + 1 == F.shiftright(d, 8), F.lit(False))
     hits = F.filter("all_hits", lambda c, i: beside(c, F.get("all_hits", i + 1)) | beside(F.get("all_hits", i - 1), c))
-    return read.select("doc_id", "n_words", F.array_distinct(F.transform("all_hits", lambda c: c.bitwiseAND(255))).alias("seen"), hits.alias("hits"))
+    if any(len(t.key.split()) == 1 for t in templates):
+        hits = F.col("all_hits")
+    seen = F.array_distinct(F.transform("all_hits", lambda c: c.bitwiseAND(255)))
+    return read.select("doc_id", "n_words", seen.alias("seen"), "all_hits", hits.alias("hits"))
 
 
 def _weights(places: DataFrame, vocabulary: list[str]) -> dict[str, float]:
@@ -92,7 +98,7 @@ def _find(template: Template, weights: dict[str, float], number: dict[str, int])
     anchor = max(range(at, at + len(key)), key=lambda i: (weights[words[i]], -i))
     rare = F.filter("hits", lambda c: c.bitwiseAND(255) == number[words[anchor]])
     starts = F.transform(rare, lambda c: F.shiftright(c, 8) - anchor)
-    stands = lambda s, i: F.array_contains("hits", (s + i) * 256 + number[words[i]])
+    stands = lambda s, i, hits="hits": F.array_contains(hits, (s + i) * 256 + number[words[i]])
 
     def verified(s):
         found = F.lit(True)
@@ -105,7 +111,7 @@ def _find(template: Template, weights: dict[str, float], number: dict[str, int])
         found = F.lit(0.0)
         for i, w in enumerate(words):
             known = at <= i < at + len(key)
-            found = found + (F.lit(weights[w]) if known else F.when(stands(s, i), F.lit(weights[w])).otherwise(F.lit(0.0)))
+            found = found + (F.lit(weights[w]) if known else F.when(stands(s, i, "all_hits"), F.lit(weights[w])).otherwise(F.lit(0.0)))
         total = sum(weights[w] for w in words)
         return F.least(F.lit(1.0), found / total if total else F.lit(1.0))
 

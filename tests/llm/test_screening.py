@@ -124,6 +124,23 @@ def test_licences_query_matches_sql(spark):
     assert sorted(found, key=str) == sorted(want, key=str)
 
 
+def test_licences_of_reworded_notices_match_sql(spark):
+    """Template words that stand at their places between foreign words count."""
+    rows = [
+        (1, "Released through the MIT License."), (2, "It is licensed, per the Apache License, Version 2.0"), (3, "Redistribution x use y source and binary forms, z or q modification"),
+        (4, "subject q the terms w the Mozilla Public License, v. 2.0"), (5, "Licensed q CC BY-SA 4.0 and licensed w cc by nc x 0"), (6, "the mit license"), (7, None), (8, "plain words of the day"),
+    ]
+    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    want = con.execute(f"select {','.join(names)} from ({licences.licence_sql()})").fetchall()
+    found = [tuple(r[n] for n in names) for r in licences.scan_licences(docs(spark, rows)).collect()]
+    assert sorted(found, key=str) == sorted(want, key=str)
+    one = (*licences.TEMPLATES, licences.Template("x", "the zlib notice", "zlib"))
+    assert [r["labels"] for r in licences.scan_licences(docs(spark, [(1, "a zlib b")]), one, share=0.05).collect()] == ["x"]
+
+
 def test_licences_are_native(spark):
     plan = queries.QUERIES["op9_licences"](spark, SMALL)._jdf.queryExecution().toString()
     plan += queries.QUERIES["op8_decontamination"](spark, SMALL)._jdf.queryExecution().toString()
