@@ -5,7 +5,7 @@ Both sides are cut into windows of template tokens. Of each benchmark item only
 words are joined, by hash: a document with at least ``share`` of an item's windows must hold one of any ``1 - share``
 of them (and one more), so documents hash only where such a word stands, and nothing is lost. Candidates are then verified on the whole document: the share of
 the item's windows, and whether the slots that line up with the item's are filled consistently (equal values by equal
-ones, different by different).
+ones) at any place where enough of its windows stand.
 """
 
 from __future__ import annotations
@@ -95,7 +95,7 @@ def contaminated_pairs(
     """The documents that hold a benchmark item: doc_id, item_id, windows, matched, share, slots, reparameterised.
 
     One row per pair with at least ``share`` of the item's distinct windows in the document and slots filled
-    consistently; ``reparameterised`` says that some slot holds another value than the item's. Windows need two
+    consistently at some place; ``reparameterised`` says that at none of them all slots hold the item's values. Windows need two
     literal words; texts shorter than a window are one window. NULL and empty texts match nothing; a NULL id gives
     pairs with NULL; repeated rows count once, with their best share; other columns are ignored.
     """
@@ -125,25 +125,32 @@ def contaminated_pairs(
     found = both.select(
         "doc_id", "t.item_id", "doc_text", "windows", "item_all", "item_values", F.size("item_windows").alias("n"), matched.alias("matched"),
     ).withColumn("share", F.col("matched") / F.col("n")).filter(F.col("share") >= share - 1e-9)
-    # Only items with slots need to be lined up: at the commonest distance between matched windows.
+    # Only items with slots need to be lined up: wherever ``share`` of the windows stand about one distance from the
+    # item's, and at the commonest distance. A word put in moves the windows behind it, so a slot goes with its window.
     slotted = F.exists("item_values", lambda v: v.startswith("<"))
-    ahead = F.transform("item_all", lambda w, i: F.nullif(F.array_position("windows", w), F.lit(0)) - 1 - i)
-    found = found.withColumn("places", F.when(slotted, F.array_compact(ahead)))
-    common = F.array_max(F.transform(F.array_distinct("places"), lambda p: F.struct(F.size(F.filter("places", lambda q: q == p)).alias("n"), (-p).alias("p"))))
-    found = found.select(
-        "doc_id", "item_id", "item_values", "n", "matched", "share", (-common["p"]).alias("at"),
-        F.when(slotted, template_tokens(F.col("doc_text"), True)).alias("values"),
+    spot = lambda w, i: F.transform("windows", lambda d, p: F.when(d == w, F.struct(i.alias("i"), (p - i).alias("d"))))
+    found = found.withColumn("spots", F.when(slotted, F.flatten(F.transform("item_all", lambda w, i: F.array_compact(spot(w, i))))))
+    found = found.withColumn("values", F.when(slotted, template_tokens(F.col("doc_text"), True))).drop("doc_text", "windows")
+    found = store(found, "contamination-spots")  # else the filter below would compute both anew for every element
+    about = lambda s: F.filter("spots", lambda q: F.abs(q["d"] - s) <= size)
+    starts = F.transform(F.array_distinct(F.col("spots.d")), lambda s: F.struct(
+        F.size(F.filter("spots", lambda q: q["d"] == s)).alias("n"), (-s).alias("p"),
+        F.size(F.array_distinct(F.transform(about(s), lambda q: q["i"]))).alias("about"),
+    ))
+    found = found.withColumn("starts", starts).withColumn("common", F.array_max("starts")).withColumn(
+        "chosen", F.filter("starts", lambda c: (c["about"] >= F.size(F.array_compact("item_all")) * share - 1e-9) | (c["p"] == F.col("common.p")))
     )
-    lined = F.transform("item_values", lambda v, i: F.struct(v.alias("a"), F.get("values", (F.col("at") + i).cast("int")).alias("b")))
+    off = lambda q, j: F.greatest(q["i"] - j, j - q["i"] - (size - 1), F.lit(0))
+    shift = lambda s, j: F.array_min(F.transform(about(s), lambda q: F.struct(off(q, j).alias("off"), F.abs(q["d"] - s).alias("gap"), q["d"].alias("d"))))["d"]
     kind = lambda v: F.substring_index(v, "=", 1)
-    slots = F.filter(lined, lambda p: p["a"].startswith("<") & (kind(p["a"]) == kind(F.coalesce(p["b"], F.lit("")))))
-    # Two references keep the optimizer from computing the values anew for every element.
-    found = found.withColumn("pairs", F.when(F.col("values").isNotNull(), F.array_distinct(slots)).otherwise(F.array().cast("array<struct<a:string,b:string>>")))
-    distinct = F.size("pairs")
-    consistent = (F.size(F.array_distinct("pairs.a")) == distinct) & (F.size(F.array_distinct("pairs.b")) == distinct)
-    found = found.filter(consistent).select(
+    lined = lambda s: F.transform("item_values", lambda v, j: F.when(v.startswith("<"), F.struct(v.alias("a"), F.get("values", (shift(s, j) + j).cast("int")).alias("b"))))
+    slots = lambda s: F.array_distinct(F.filter(F.array_compact(lined(s)), lambda p: kind(p["a"]) == kind(F.coalesce(p["b"], F.lit("")))))
+    found = found.withColumn("lined", F.when(F.col("values").isNotNull(), F.transform("chosen", lambda c: slots(-c["p"]))).otherwise(F.array(F.array().cast("array<struct<a:string,b:string>>"))))
+    consistent = F.filter("lined", lambda x: F.size(F.array_distinct(F.transform(x, lambda p: p["a"]))) == F.size(x))
+    fits = F.transform(consistent, lambda x: F.struct((F.size(x) > 0).alias("some"), (~F.exists(x, lambda p: p["a"] != p["b"])).alias("same"), F.size(x).alias("slots")))
+    found = found.withColumn("fit", F.array_max(fits)).filter(F.col("fit").isNotNull()).select(
         "doc_id", "item_id", F.col("n").cast("long").alias("windows"), F.col("matched").cast("long").alias("matched"), "share",
-        distinct.cast("long").alias("slots"), F.exists("pairs", lambda p: p["a"] != p["b"]).alias("reparameterised"),
+        F.col("fit.slots").cast("long").alias("slots"), (~F.col("fit.same")).alias("reparameterised"),
     )
     best = F.max(F.struct("share", "windows", "matched", "slots", (~F.col("reparameterised")).alias("same")))
     best = found.groupBy("doc_id", "item_id").agg(best.alias("best"))

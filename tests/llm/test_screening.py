@@ -52,6 +52,19 @@ def test_contaminated_odd_rows(spark):
     assert decontaminate.contaminated_pairs(docs(spark, rows), items(spark, [])).collect() == []
 
 
+def test_any_place_of_an_item_is_lined_up(spark):
+    crossed = ITEM.replace("at 12", "at 31")
+    equal = ITEM.replace("12", "45")
+    inserted = ITEM.replace("so how many", "so just how many")
+    filler = " some words of no import stand here and there "
+    rows = [
+        (1, crossed + filler + ITEM), (2, ITEM + filler + crossed), (3, crossed + filler + crossed), (4, filler + equal), (5, filler + inserted),
+        (6, (crossed + filler) * 20 + ITEM + filler), (7, filler + inserted.replace("12", "31")),
+    ]
+    found = decontaminate.contaminated_pairs(docs(spark, rows), items(spark, [(1, ITEM)])).collect()
+    assert {(r["doc_id"], r["reparameterised"]) for r in found} == {(1, False), (2, False), (4, True), (5, False), (6, False), (7, True)}
+
+
 def template(text):
     """The placeholder-free template words by other means: digits and names do not occur in the tables' items."""
     return [w for w in re.split(r"[^\w]+", (text or "").lower()) if w]
