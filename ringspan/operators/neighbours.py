@@ -219,11 +219,12 @@ def build_index(
 
 
 def search_index(
-    spark: SparkSession, path: str, queries: DataFrame, k: int, probes: int = 8, query_id: str = "vec_id",
+    spark: SparkSession, path: str, queries: DataFrame, k: int, probes: int | None = None, query_id: str = "vec_id",
     query_vec: str = "embedding",
 ) -> DataFrame:
     """(query, id, score, rank) by L2 distance among the ``probes`` leaves nearest to each query, or as many more as
-    hold k rows between them.
+    hold k rows between them. Without ``probes`` a quarter of the leaves, at least 8, so the share searched stays as
+    the table grows.
 
     A row is measured only against the queries that probe its leaf, and leaves nobody probes are not read.
     """
@@ -232,6 +233,7 @@ def search_index(
     rows = spark.read.parquet(f"{path}/rows").withColumn("_crowd", F.lit(None).cast("string"))
 
     sizes = np.array([r["size"] for r in stored])
+    probes = max(8, math.ceil(len(stored) / 4)) if probes is None else probes
 
     def probed(matrix: np.ndarray) -> np.ndarray:
         near = np.argsort(_scores(centres, matrix, "l2"), axis=1)
@@ -257,7 +259,7 @@ def search_index(
 
 
 def knn_approx(
-    base: DataFrame, queries: DataFrame, k: int, leaves: int | None = None, probes: int = 8, id_col: str = "vec_id",
+    base: DataFrame, queries: DataFrame, k: int, leaves: int | None = None, probes: int | None = None, id_col: str = "vec_id",
     vec_col: str = "embedding", query_id: str | None = None, query_vec: str | None = None, seed: int = 1,
 ) -> DataFrame:
     """An index built for this one search; keep one with ``build_index`` to search it again."""

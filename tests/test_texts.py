@@ -252,3 +252,18 @@ def test_labelled_corpus(spark):
     dim = spark.createDataFrame([(0, "sci.a"), (1, "sci.b"), (2, "rec")], "label int, name string")
     found = X.labelled_corpus(df, dim, "label", "name", 5, "id", contains="sci")
     assert {r["name"]: r["count"] for r in found.groupBy("name").count().collect()} == {"sci.a": 5, "sci.b": 5}
+
+
+def test_default_probes_find_nine_of_ten_neighbours(spark):
+    """The share of the leaves searched does not shrink with the table."""
+    import numpy as np
+
+    from ringspan.operators import neighbours
+
+    vectors = np.random.default_rng(3).normal(size=(6000, 12))
+    base = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    asked = base.filter("vec_id < 100")
+    found = neighbours.knn_approx(base, asked, 10).collect()
+    near = {i: set(np.argsort(((vectors - vectors[i]) ** 2).sum(axis=1))[:10].tolist()) for i in range(100)}
+    recall = sum(r["id"] in near[r["query"]] for r in found) / 1000
+    assert recall >= 0.9, recall
