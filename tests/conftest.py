@@ -3,11 +3,12 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
-from ringspan.session import build_session  # noqa: E402
+from helpers import SMALL  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
+from ringspan.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,8 +25,3 @@ def spark():
 def sf():
     return SMALL
 
-
-def rows(df, *order):
-    """Rows as plain tuples, sorted."""
-    found = [tuple(r) for r in df.collect()]
-    return sorted(found, key=lambda r: tuple((v is None, str(type(v)), 0 if v is None else v) for v in r))

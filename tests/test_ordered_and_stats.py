@@ -4,7 +4,7 @@ import os
 
 import numpy as np
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -1,7 +1,7 @@
 """Cleaning, locating, labelling and normalising of call records."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
