@@ -1,25 +1,26 @@
 """Order-dependent operators without a single-task window: numbering, running sums, top-k, samples, splits.
 
-A window over the whole table, or over one hot group, would run in one task. Here the rows are
-range-partitioned by the order itself, each range is summed on its own, and a range learns what
-lies before it from a table with one row per (group, range).
+A window over the whole table, or over one hot group, would run in one task. Here the rows are dealt to ranges of
+the order itself, each range is summed on its own, and what lies before a range is written into the plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import hash_uniform
-from ..session import cut_lineage, partitions_for
+from .ranges import SALTS, Ranges, total
 
 # Spark limits each partition before the shuffle when the rank bound stays below this setting's default.
 GROUP_LIMIT = 1000
-SALTS = 64
 # A side may be broadcast up to this many rows and bytes.
 SMALL_ROWS = 10_000
 SMALL_BYTES = 8 << 20
@@ -54,6 +55,18 @@ def _as_cols(keys: Sequence[Column | str] | Column | str) -> list[Column]:
     return [F.col(k) if isinstance(k, str) else k for k in keys]
 
 
+def _named(columns: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{c}`") for c in columns]
+
+
+def fresh(name: str, taken: Sequence[str]) -> str:
+    """``name``, with underscores in front until no column has it."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
 def same_key(left: str, right: str, names: Sequence[str]) -> Column:
     """Null-safe equality of the named columns of two aliased frames."""
     return reduce(
@@ -66,33 +79,15 @@ def prefix_sum(
 ) -> DataFrame:
     """Adds the sum of ``value`` over the rows of the group up to and including this one; NULL while there is none.
 
-    ``order_by`` must be unique within a group for a determined result.
+    ``order_by`` must be unique within a group for a determined result. Rows move once, to the range of their key.
     """
-    ranges = partitions_for(df)
     by, order = list(by), _as_cols(order_by)
-    # The checkpoint fixes the range of every row: a recomputed range partitioning may cut elsewhere.
-    rows = cut_lineage(
-        df.withColumn("_value", value)
-        .repartitionByRange(ranges, *by, *order)
-        .withColumn("_range", F.spark_partition_id())
-    )
-    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(*by, "_range")
-        .agg(F.sum("_value").alias("_total"))
-        .select(*by, "_range", F.sum("_total").over(before).alias("_before"))
-    )
-    if not by:
-        offsets = F.broadcast(offsets)  # one row per range
-    inside = Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        rows.alias("r")
-        .join(offsets.alias("o"), same_key("r", "o", [*by, "_range"]))
-        .select("r.*", "o._before")
-        .withColumn("_here", F.sum("_value").over(inside))
-        .withColumn(out, F.coalesce(F.col("_before") + F.col("_here"), "_here", "_before"))
-        .drop("_value", "_range", "_before", "_here")
-    )
+    ranges = Ranges(df, value, by, order)
+    here = f"{ranges.prefix}here"
+    inside = Window.partitionBy(*_named(by), ranges.place).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = f"{ranges.prefix}before"
+    rows = ranges.placed(df).withColumn(before, ranges.carried()).withColumn(here, F.sum(value).over(inside))
+    return ranges.bare(rows.withColumn(out, total([F.col(before), F.col(here)])))
 
 
 def row_number(
@@ -105,12 +100,41 @@ def row_number(
 def running_sum(
     df: DataFrame, value: str, order_by: str, by: Sequence[str] = (), name: str = "running_sum"
 ) -> DataFrame:
-    """Cumulative sum with the default frame: rows that tie on ``order_by`` share one total."""
+    """Cumulative sum with the default frame: rows that tie on ``order_by`` share one total.
+
+    The total of a key that is a bound, as every key with more rows than a range is, is known beforehand: its rows
+    are dealt over several tasks and need none of the others.
+    """
     by = list(by)
-    keys = [*by, order_by]
-    per_key = df.groupBy(*keys).agg(F.sum(value).alias("_sum"))
-    totals = prefix_sum(per_key, F.col("_sum"), [order_by], by, out=name).drop("_sum")
-    return df.alias("d").join(totals.alias("t"), same_key("d", "t", keys), "left").select("d.*", F.col(f"t.`{name}`"))
+    ranges = Ranges(df, F.col(f"`{value}`"), by, _as_cols(order_by))
+    bound, salt, known, here = (f"{ranges.prefix}{n}" for n in ("bound", "salt", "known", "here"))
+    rows = ranges.placed(df).withColumn(bound, ranges.at_bound())
+    rows = rows.withColumn(known, F.when(F.col(bound), ranges.ended()).otherwise(ranges.carried()))
+    rows = rows.withColumn(salt, F.when(F.col(bound), F.pmod(F.xxhash64(*_named(df.columns)), F.lit(SALTS))))
+    inside = Window.partitionBy(*_named(by), ranges.place, salt).orderBy(order_by).rangeBetween(Window.unboundedPreceding, 0)
+    summed = rows.withColumn(here, F.sum(f"`{value}`").over(inside))
+    result = F.when(F.col(bound), F.col(known)).otherwise(total([F.col(known), F.col(here)]))
+    return ranges.bare(summed.withColumn(name, result))
+
+
+def _first_of_runs(batches, by: list[int], k: int):
+    """The first k rows of every run of rows that agree on the columns ``by``."""
+    seen, last = 0, None
+    for batch in batches:
+        n = len(batch)
+        if not n:
+            continue
+        codes = [pc.fill_null(batch.column(i).dictionary_encode().indices, -1).to_numpy() for i in by]
+        first = tuple(batch.column(i)[0].as_py() for i in by)
+        starts = np.zeros(n, bool)
+        starts[0] = first != last
+        for c in codes:
+            starts[1:] |= c[1:] != c[:-1]
+        at = np.arange(n)
+        since = np.maximum.accumulate(np.where(starts, at, -1))
+        rank = np.where(since >= 0, at - since, seen + at)
+        last, seen = tuple(batch.column(i)[n - 1].as_py() for i in by), int(rank[-1]) + 1
+        yield batch.filter(pa.array(rank < k))
 
 
 def top_k_per_group(
@@ -118,18 +142,16 @@ def top_k_per_group(
 ) -> DataFrame:
     """The k first rows of each group. Ties are broken by whatever ``order_by`` ends with.
 
-    Small k is limited in every partition before the shuffle by Spark itself; larger k goes through
-    salted sub-groups first, so a hot group never meets in one task whole.
+    Every partition keeps its own k first rows of a group before the only exchange, so a hot group sends k rows a
+    task. Spark plans that for a small k itself; for a larger one each partition is sorted and read once.
     """
     by = [by] if isinstance(by, str) else list(by)
     order = _as_cols(order_by)
-    name = rank or "_rank"
-    # A row outside the k first of the rows that share its partition is outside the k first of its group.
-    here = "_partition"
-    local = df.withColumn(here, F.spark_partition_id())
-    inner = Window.partitionBy(*by, here).orderBy(*order)
-    df = local.withColumn("_inner", F.row_number().over(inner)).filter(F.col("_inner") <= k).drop("_inner", here)
-    ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col(name) <= k)
+    name = rank or fresh("_rank", df.columns)
+    if k >= GROUP_LIMIT:
+        here = df.sortWithinPartitions(*_named(by), *order)
+        df = here.mapInArrow(partial(_first_of_runs, by=[df.columns.index(c) for c in by], k=k), df.schema)
+    ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*_named(by)).orderBy(*order))).filter(F.col(name) <= k)
     return ranked if rank else ranked.drop(name)
 
 

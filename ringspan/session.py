@@ -86,14 +86,19 @@ def store(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def size_of(df: DataFrame) -> int:
+    """The optimizer's size of ``df`` in bytes; 0 where it knows none."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return 0 if size >= 1 << 60 else size
+
+
 def partitions_for(df: DataFrame, target_bytes: int = 128 << 20) -> int:
     """Partitions that hold about ``target_bytes`` each by the optimizer's size of ``df``, and no fewer than the setting.
 
     The setting alone does not follow the data; frames of unknown size take it.
     """
     setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return setting if size >= 1 << 60 else max(setting, -(-size // target_bytes))
+    return max(setting, -(-size_of(df) // target_bytes))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Numbering, running sums, top-k, quantiles and statistics, also on their paths for large data."""
 
 import os
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -13,9 +14,16 @@ from ringspan.operators import aggregates as A
 from ringspan.operators import features as X
 from ringspan.operators import joins as J
 from ringspan.operators import ordered as O
+from ringspan.operators import ranges as R
 from ringspan.session import scratch, store
 
 
+@pytest.fixture(autouse=True)
+def short_ranges(monkeypatch):
+    """Ranges of few rows, so that small tables have several."""
+    monkeypatch.setattr(R, "ROWS_PER_RANGE", 1)
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """A third of all rows under one key, ties included."""
@@ -38,6 +46,64 @@ def test_no_window_holds_all_rows(skewed):
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
 
 
+def exchanges(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return sum("Exchange " in line for line in plan.splitlines())
+
+
+def test_rows_move_once(skewed):
+    own = exchanges(skewed)
+    assert exchanges(O.row_number(skewed, ["pos", "id"])) == own + 1
+    assert exchanges(O.row_number(skewed, ["pos", "id"], by=["key"])) == own + 1
+    assert exchanges(O.running_sum(skewed, "x", "pos", by=["key"])) == own + 1
+    assert exchanges(O.top_k_per_group(skewed, "key", ["x"], 3)) == own + 1
+    assert exchanges(O.top_k_per_group(skewed, "key", ["x"], 1500)) == own + 1
+
+
+ODD_KEYS = """
+    id int, i int, l bigint, d double, t string, b boolean, day date, at timestamp, plain timestamp_ntz, price decimal(12,2), raw binary
+"""
+
+
+@pytest.fixture(scope="module")
+def odd_keys(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    data = []
+    for i in range(240):
+        at = dt.datetime(1960 + i % 90, 1 + i % 12, 1 + i % 28, i % 24, 0, 0, i * 1001)
+        data.append((
+            i, i % 7 - 3, -(1 << 63) if i % 50 == 0 else i * 31 % 11, [float("nan"), float("inf"), -0.0, i / 7 - 9.0, -1e300][i % 5],
+            ["", "a", "ab", "b\u00e9", "\U0001f600", "Z" * (i % 4)][i % 6], i % 2 == 0, at.date(), at, at, Decimal(i * 7 % 100) / 4 - 9, bytes([i % 200, 0][: i % 3]),
+        ))
+    data += [(240 + j, *[None] * 10) for j in range(9)]
+    return spark.createDataFrame(data, ODD_KEYS).repartition(5)
+
+
+@pytest.mark.parametrize("column", ["i", "l", "d", "t", "b", "day", "at", "plain", "price", "raw"])
+@pytest.mark.parametrize("way", [F.asc, F.desc, F.asc_nulls_last, F.desc_nulls_first])
+def test_ranges_of_every_type_follow_sparks_order(odd_keys, column, way):
+    found = [(r["n"], r["id"]) for r in O.row_number(odd_keys, [way(column), "id"], "n").select("n", "id").collect()]
+    assert [i for _, i in sorted(found)] == [r["id"] for r in odd_keys.orderBy(way(column), "id").select("id").collect()]
+    assert sorted(n for n, _ in found) == list(range(1, 250))
+
+
+def test_running_sum_of_one_hot_tie(spark):
+    """Most rows tie on one key: their total is known beforehand, and they are dealt over several tasks."""
+    df = spark.createDataFrame([(i, 5 if i % 4 else i // 40, 1) for i in range(2000)], "id int, k int, v int").repartition(4)
+    found = {(r["k"], r["running_sum"]) for r in O.running_sum(df, "v", "k").collect()}
+    counts = Counter(5 if i % 4 else i // 40 for i in range(2000))
+    assert found == {(k, sum(n for j, n in counts.items() if j <= k)) for k in counts}
+
+
+def test_prefix_columns_do_not_clash(spark):
+    df = spark.createDataFrame([(3, 1), (1, 2), (2, 3)], "_rplace int, _range int")
+    found = O.row_number(df, ["_rplace"], "n")
+    assert found.columns == ["_rplace", "_range", "n"] and rows(found) == [(1, 2, 1), (2, 3, 2), (3, 1, 3)]
+    assert O.row_number(df.limit(0), ["_rplace"], "n").count() == 0
+
+
 def test_running_sum_shares_ties(spark):
     df = spark.createDataFrame([(1, 10), (1, 5), (2, 1), (3, None), (4, 2)], "k int, v int")
     assert rows(O.running_sum(df, "v", "k").select("k", "running_sum")) == [(1, 15), (1, 15), (2, 16), (3, 16), (4, 18)]
