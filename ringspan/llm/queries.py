@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, licences, packing, radix, simhash, token_files, toxicity, windows
+from . import chat, decontaminate, html, licences, packing, radix, simhash, token_counts, token_files, toxicity, windows
 from .common import table
 from .tokens import vocabulary_path
 
@@ -111,3 +111,8 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_repeated_passages")
 def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_counts")
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path(), limit=1024)
