@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Row numbers or ids (some tens of bytes each as a hash table) up to which they are broadcast to the rows they concern.
+BROADCAST_IDS = 4_000_000
 #: White space between words, and its complement.
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -42,6 +44,12 @@ def ascii_lower(column):
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def few_ids(ids: DataFrame) -> DataFrame:
+    """Stored ids with a broadcast hint if they are at most ``BROADCAST_IDS``, so that the texts they concern stay where
+    they are; more go through the planner."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def arrow_schema(**fields: str) -> tuple[pa.Schema, str]:
     """An Arrow schema and the same as Spark's text form."""
     kinds = {

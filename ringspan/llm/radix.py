@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import store
-from .common import SPACE, fresh
+from .common import SPACE, few_ids, fresh
 
 BLANKS = b" \t\n\v\f\r"
 #: Bytes of the digits by depth; the last one repeats.
@@ -91,38 +91,32 @@ class _Split:
 
 
 def _classes(split: _Split) -> DataFrame:
-    """(row, class) of the leading rows that equal a leading row of another batch."""
+    """(row, class) of the leading rows that equal a leading row of another batch.
+
+    Only row numbers, classes and the digits themselves move: a deeper digit is read from the stored texts of the rows
+    that share all their digits so far, where these lie.
+    """
     leads = split.leads()
-    first = leads.groupBy(split.digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"), F.min(split.row).alias("next"))
-    # Stored, so that the join on it can split the rows of a prefix that very many texts share.
-    again = store(first.filter("n > 1").select("digit", "next"), "radix-digits")
+    here = leads.select(split.row.alias("row"), F.lit(0).cast("bigint").alias("class"), split.digit.alias("digit"))
     key = F.regexp_replace(F.coalesce(F.col(f"`{split.text}`").cast("string"), F.lit("")), SPACE, "").cast("binary")
-    active = store(
-        leads.select(split.row.alias("row"), split.digit.alias("digit"), key.alias("key")).join(again, "digit")
-        .select("row", F.col("next").alias("class"), "digit", "key"), "radix-shared",
-    )
-    done, depth, start = [], 0, 0
+    keys = leads.select(split.row.alias("row"), key.alias("key"))
+    found, depth, start = None, 0, 0
     while True:
         width = WIDTHS[min(depth, len(WIDTHS) - 1)]
+        groups = here.groupBy("class", "digit").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("next"))
+        # Stored, so that the join on it can split the rows of a digit that very many texts share.
+        groups = store(groups.filter("n > 1").select("class", "digit", "next"), "radix-digits")
         # Keys shorter than the digit have ended: what shares it is equal.
-        done.append(active.filter(F.length("digit") < width).select("row", "class"))
-        start += width
-        width = WIDTHS[min(depth + 1, len(WIDTHS) - 1)]
-        deeper = active.filter(F.length("digit") == WIDTHS[min(depth, len(WIDTHS) - 1)])
+        active = here.join(groups, ["class", "digit"]).select("row", F.col("next").alias("class"), (F.length("digit") < width).alias("ended"))
+        active = store(active, "radix-shared")
+        done = active.filter("ended").select("row", "class")
+        found = done if found is None else found.unionByName(done)
+        deeper = active.filter("not ended").select("row", "class")
         if deeper.isEmpty():
-            break
-        deeper = deeper.select("row", "class", F.substring("key", start + 1, width).alias("digit"), "key")
-        groups = deeper.groupBy("class", "digit").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("next"))
-        groups = store(groups.filter("n > 1").select("class", "digit", "next"), "radix-digits")
-        active = store(
-            deeper.join(groups, ["class", "digit"]).select("row", F.col("next").alias("class"), "digit", "key"),
-            "radix-shared",
-        )
-        depth += 1
-    found = done[0]
-    for more in done[1:]:
-        found = found.unionByName(more)
-    return found
+            return found
+        start, depth = start + width, depth + 1
+        digit = F.substring("key", start + 1, WIDTHS[min(depth, len(WIDTHS) - 1)])
+        here = keys.join(few_ids(deeper), "row").select("row", "class", digit.alias("digit"))
 
 
 def _decisions(split: _Split) -> DataFrame:
@@ -160,6 +154,6 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that ``copies`` keeps, with all their columns unchanged."""
     split = _Split(docs, id_col, text_col)
-    gone = _decisions(split).filter("row != keep_row").select(F.col("row").alias("gone"))
+    gone = store(_decisions(split).filter("row != keep_row").select(F.col("row").alias("gone")), "radix-gone")
     # A NULL text leads its batch as the empty text and is NULL again here.
-    return split.leads().join(gone, split.row == F.col("gone"), "left_anti").select(*[f"`{c}`" for c in split.columns])
+    return split.leads().join(few_ids(gone), split.row == F.col("gone"), "left_anti").select(*[f"`{c}`" for c in split.columns])
