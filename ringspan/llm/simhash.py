@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import store
-from .common import arrow_schema, fresh
+from .common import arrow_schema, few_ids, fresh
 from .graph import components
 
 BITS = 64
@@ -218,6 +218,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Of repeated ids one row stays.
     """
     printed = _Printed(docs, text_col, True, shingle, distance)
-    order = F.struct(F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.col(printed.row))
-    stay = printed.first(order).select(F.col(f"first.{printed.row}").alias("stays")).distinct()
-    return printed.rows.join(stay, F.col(printed.row) == F.col("stays"), "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    row = F.col(printed.row)
+    first = printed.first(F.struct(F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), row))
+    other = printed.rows.select(F.col(printed.fp).alias("fp"), row.alias("gone")).join(first, "fp").filter(F.col("gone") != F.col(f"first.{printed.row}"))
+    gone = few_ids(store(other.select("gone"), "near-copies"))
+    return printed.rows.join(gone, row == F.col("gone"), "left_anti").select(*[f"`{c}`" for c in docs.columns])
