@@ -52,6 +52,25 @@ def test_contaminated_odd_rows(spark):
     assert decontaminate.contaminated_pairs(docs(spark, rows), items(spark, [])).collect() == []
 
 
+def test_questions_a_template_alone_would_lose(spark):
+    """Names that open sentences, items without literal words, items shorter than a window, copies in another case."""
+    bench = [
+        (1, "Tom has 3 apples. Tom buys 4 more apples. How many apples does Tom have now in all his bags?"), (2, "12 + 13 + 14 + 15 = ?"),
+        (3, "Who wrote Hamlet?"), (4, ITEM), (5, "7 x 8"), (6, "No way"),
+    ]
+    other = "Anna has 5 apples. Anna buys 6 more apples. How many apples does Anna have now in all her bags?"
+    mixed = "Anna has 5 apples. Bella buys 6 more apples. How many apples does Carl have now in all his bags?"
+    filler = " some words of no import stand here and there "
+    rows = [
+        (1, filler + other), (2, filler + mixed), (3, f"{filler}12 + 13 + 14 + 15 = ?{filler}"), (4, f"{filler}12 + 13 + 41 + 15 = ?"),
+        (5, f"{filler}who wrote Hamlet, they ask{filler}"), (6, f"{filler}who wrote Faust, they ask{filler}"), (7, filler + ITEM.lower()),
+        (8, filler + ITEM.upper()), (9, "7 X 8"), (10, f"there is no way {filler}"), (11, "NO WAY"), (12, filler), (13, filler + bench[0][1].lower()),
+    ]
+    found = decontaminate.contaminated_pairs(docs(spark, rows).repartition(4), items(spark, bench)).collect()
+    got = {(r["doc_id"], r["item_id"], r["reparameterised"]) for r in found}
+    assert got == {(1, 1, True), (3, 2, False), (5, 3, False), (7, 4, False), (8, 4, False), (9, 5, False), (11, 6, False), (13, 1, False)}
+
+
 def test_any_place_of_an_item_is_lined_up(spark):
     crossed = ITEM.replace("at 12", "at 31")
     equal = ITEM.replace("12", "45")
