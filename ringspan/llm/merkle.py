@@ -22,6 +22,8 @@ from .common import arrow_schema, ascii_lower
 
 #: Nodes of a run, and of the subtree between two stored levels.
 RUN, SUBTREE = 16, 256
+#: Leaves that one task may number; a larger source is parted.
+RANGE_LEAVES = 1_000
 _PATH = "array<struct<place:int, run:array<string>>>"
 
 
@@ -163,7 +165,7 @@ class Manifest:
 
     def __init__(self, docs: DataFrame):
         leaves = store(_leaves(docs), "merkle-leaves")
-        placed = row_number(leaves, ["doc_id", "leaf"], "n", by=["tree"])
+        placed = row_number(leaves, ["doc_id", "leaf"], "n", by=["tree"], rows_per_range=RANGE_LEAVES)
         self.leaves = store(
             placed.select("tree", (F.col("n") - 1).alias("pos"), F.col("leaf").alias("digest"), "doc_id", "forged"), "merkle-level"
         )
