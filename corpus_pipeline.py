@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ringspan.llm import decontaminate, packing, radix, simhash, toxicity
 from ringspan.llm.common import table
 from ringspan.llm.tokens import vocabulary_path
-from ringspan.session import store
+from ringspan.session import discard, scratch, scratch_path
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The pieces of all stages' documents. What a stage stored for itself, and its input, go when its rows are written."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if last:
+            discard(spark, last)
+        docs, last = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
