@@ -11,12 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import divide, normal_confidence
-from ..session import cut_lineage
-from .ordered import prefix_sum, same_key
+from ..session import cut_lineage, store
+from .ordered import is_small, prefix_sum, same_key
 
 # Distinct values (over all columns) up to which one window ranks them.
 DISTINCT_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
+# The sketch of a group is smaller; brackets of so many groups and bytes go to every task.
+GROUP_ACCURACY, GROUPS, GROUP_BYTES = 1_000, 100_000, 64 << 20
 
 
 def _list(names: Sequence[str] | str) -> list[str]:
@@ -35,14 +37,18 @@ def quantile_exact(
 ) -> DataFrame:
     """Linear-interpolated quantiles: one row (by..., column, prob, value) per column and probability.
 
-    Over a whole large table a mergeable sketch first brackets every wanted rank, and only values
-    inside a bracket are shuffled. Per group, or for little data, all values are counted (combined
-    before the shuffle, so a frequent value costs one row) and ranked. No task ever holds all values
+    In a large table a mergeable sketch, one per group, first brackets every wanted rank, and only values inside a
+    bracket are shuffled. For little data, or more groups than can be sent to every task, all values are counted
+    (combined before the shuffle, so a frequent value costs one row) and ranked. No task ever holds all values
     of a column. ``distinct_rows`` is how many values count as little data; the result does not depend on it.
     """
     by, cols, probs = list(by), _list(col), [float(p) for p in probs]
     few = DISTINCT_ROWS if distinct_rows is None else distinct_rows
-    return _quantiles_ranked(df, cols, probs, by, few) if by else _quantiles_bracketed(df, cols, probs, few)
+    if not by:
+        return _quantiles_bracketed(df, cols, probs, few)
+    if df.count() * len(cols) <= few:
+        return _quantiles_ranked(df, cols, probs, by, few)
+    return _quantiles_of_groups(df, cols, probs, by, few)
 
 
 def _ranks(counts: DataFrame, keys: Sequence[str], few: int) -> DataFrame:
@@ -121,6 +127,57 @@ def _quantiles_bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[flo
     return found.select("column", "prob", _between(F.col("low"), F.col("high"), F.col("part")).alias("value"))
 
 
+def _quantiles_of_groups(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str], few: int) -> DataFrame:
+    """Per group a sketch of every column, whose brackets go to the rows; groups that a bracket misses are ranked whole."""
+    margin = 2.0 / GROUP_ACCURACY
+    bounds = [b for p in probs for b in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    value = [F.col(f"`{c}`").cast("double") for c in cols]
+    groups = [F.col(f"`{c}`") for c in by]
+    sketched = store(df.groupBy(*groups).agg(*[
+        a for i, x in enumerate(value) for a in (F.count(x).alias(f"_n{i}"), F.percentile_approx(x, bounds, GROUP_ACCURACY).alias(f"_s{i}"))
+    ]), "group-sketches")
+    if not is_small(sketched, GROUPS, GROUP_BYTES):
+        return _quantiles_ranked(df, cols, probs, by, few)
+    targets = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
+    low = [F.lit(float("-inf")) if bounds[2 * j] == 0.0 else F.get(F.col(f"_s{i}"), F.lit(2 * j)) for i, j in targets]
+    high = [F.lit(float("inf")) if bounds[2 * j + 1] == 1.0 else F.get(F.col(f"_s{i}"), F.lit(2 * j + 1)) for i, j in targets]
+    brackets = sketched.select(*groups, *[c.alias(f"_{n}{t}") for t in range(len(targets)) for n, c in (("l", low[t]), ("h", high[t]))])
+    rows = df.select(*groups, *[x.alias(f"_x{i}") for i, x in enumerate(value)]).alias("d")
+    names = [*[f"_x{i}" for i in range(len(cols))], *[f"_{n}{t}" for t in range(len(targets)) for n in "lh"]]
+    rows = rows.join(F.broadcast(brackets).alias("b"), same_key("d", "b", by)).select(*[F.col(f"d.`{c}`") for c in by], *names)
+    below = rows.groupBy(*groups).agg(*[F.count(F.when(F.col(f"_x{i}") < F.col(f"_l{t}"), 1)).alias(f"_b{t}") for t, (i, _) in enumerate(targets)])
+    inside = F.array(*[
+        F.when((F.col(f"_x{i}") >= F.col(f"_l{t}")) & (F.col(f"_x{i}") <= F.col(f"_h{t}")), F.struct(F.lit(t).alias("_target"), F.col(f"_x{i}").alias("value")))
+        for t, (i, _) in enumerate(targets)
+    ])
+    keys = [*by, "_target"]
+    counts = rows.select(*groups, F.inline(F.array_compact(inside))).groupBy(*groups, "_target", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranked = _ranks(store(counts, "bracket-values"), keys, few)
+
+    rank = lambda i, j: F.lit(probs[j]) * (F.col(f"s._n{i}") - 1)
+    wanted = sketched.alias("s").join(below.alias("w"), same_key("s", "w", by)).select(*[F.col(f"s.`{c}`") for c in by], F.inline(F.array(*[
+        F.struct(
+            F.lit(t).alias("_target"), F.lit(cols[i]).alias("column"), F.lit(probs[j]).alias("prob"), F.col(f"s._n{i}").alias("_n"),
+            (F.floor(rank(i, j)) - F.col(f"_b{t}")).alias("_low"), (F.ceil(rank(i, j)) - F.col(f"_b{t}")).alias("_high"),
+            (rank(i, j) - F.floor(rank(i, j))).alias("_part"),
+        ) for t, (i, j) in enumerate(targets)
+    ]))).filter("_n > 0")
+    # One row per group, column and probability; a bracket without values has no ranks.
+    both = wanted.alias("w").join(ranked.alias("r"), same_key("w", "r", keys), "left").select("w.*", "r.value", "r.upto")
+    picked = store(both.groupBy(*groups, "_target", "column", "prob").agg(
+        F.min(F.when(F.col("upto") > F.col("_low"), F.col("value"))).alias("_a"), F.min(F.when(F.col("upto") > F.col("_high"), F.col("value"))).alias("_b"),
+        F.min("_low").alias("_low"), F.first("_part").alias("_part"),
+    ), "group-quantiles")
+    missed = store(picked.filter("_a is null or _b is null or _low < 0 or isnan(_a) or isnan(_b)").select(*groups).distinct(), "missed-groups")
+    found = picked.alias("p").join(F.broadcast(missed).alias("m"), same_key("p", "m", by), "left_anti").select(
+        *[F.col(f"p.`{c}`") for c in by], "column", "prob", _between(F.col("_a"), F.col("_b"), F.col("_part")).alias("value")
+    )
+    if missed.isEmpty():
+        return found
+    again = df.alias("d").join(F.broadcast(missed).alias("m"), same_key("d", "m", by), "left_semi")
+    return found.unionByName(_quantiles_ranked(again, cols, probs, by, few).select(*by, "column", "prob", "value"))
+
+
 def quantile_approx(
     df: DataFrame, col: Sequence[str] | str, probs: Sequence[float], err: float = 1e-4, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -139,7 +196,8 @@ def quantile_approx(
 
 # column statistics
 def column_stats(
-    df: DataFrame, cols: Sequence[str], exact: bool = True, by: Sequence[str] = (), quantiles: bool = True
+    df: DataFrame, cols: Sequence[str], exact: bool = True, by: Sequence[str] = (), quantiles: bool = True,
+    distinct_rows: int | None = None,
 ) -> DataFrame:
     """What the scalers need: one row per column (and group) with count, nulls, min, max, max_abs, mean,
     std (sample), std_pop, q25, q50, q75."""
@@ -166,7 +224,7 @@ def column_stats(
     if not quantiles:
         return stats
     probs = [0.25, 0.5, 0.75]
-    quant = quantile_exact(df, cols, probs, by) if exact else quantile_approx(df, cols, probs, by=by)
+    quant = quantile_exact(df, cols, probs, by, distinct_rows) if exact else quantile_approx(df, cols, probs, by=by)
     keys = [*by, "column"]
     flat = quant.groupBy(*keys).agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in zip(probs, ["q25", "q50", "q75"])]
@@ -180,9 +238,9 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return describe_by(df, (), cols)
 
 
-def describe_by(df: DataFrame, by: Sequence[str] | str, cols: Sequence[str]) -> DataFrame:
+def describe_by(df: DataFrame, by: Sequence[str] | str, cols: Sequence[str], distinct_rows: int | None = None) -> DataFrame:
     by = _list(by) if by else []
-    stats = column_stats(df, cols, by=by)
+    stats = column_stats(df, cols, by=by, distinct_rows=distinct_rows)
     return stats.select(*by, "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import store
 from .aggregates import quantile_exact, regression_metrics, sigma_thresholds
 from .autoencoder import AutoencoderModel, Search
+from .boosting import BoostedModel
 from .columns import flag_rows
 from .trees import TreeModel, predict
 
@@ -87,7 +88,7 @@ def detect_by_sigma(df: DataFrame, score: str, k: int) -> DataFrame:
 
 def evaluate(model: AutoencoderModel | TreeModel, df: DataFrame) -> DataFrame:
     """One row of metrics of a model on the given rows."""
-    if isinstance(model, TreeModel):
+    if isinstance(model, (TreeModel, BoostedModel)):
         return regression_metrics(predict(model, df), model.label, f"predicted_{model.label}")
     errors = reconstruction_loss(model, df).agg(*[F.avg(e).alias(e) for e in ERRORS])
     return errors.withColumn("root_mean_squared_error", F.sqrt("mean_squared_error"))
@@ -117,7 +118,7 @@ def compare_models(metrics: DataFrame, metric: str, threshold: float, higher_is_
 
 def validate_scored_rows(model: AutoencoderModel | TreeModel, rows: DataFrame) -> DataFrame:
     """Scores probe rows; ValueError unless every row gets a finite result."""
-    if isinstance(model, TreeModel):
+    if isinstance(model, (TreeModel, BoostedModel)):
         scored, score = predict(model, rows), f"predicted_{model.label}"
     else:
         scored, score = reconstruction_loss(model, rows), "mean_squared_error"

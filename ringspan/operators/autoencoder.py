@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -83,24 +84,79 @@ class Network:
         return float((error**2).mean(axis=1).sum()), np.concatenate(parts)
 
 
-def _train_partition(batches, network: Network, flat: np.ndarray, optimizer: str, lr: float, size: int):
-    """Mini-batch steps over one partition; yields the resulting weights with the row count and loss."""
-    weights, rows, loss, step = flat.copy(), 0, 0.0, 0
-    first, second = np.zeros_like(weights), np.zeros_like(weights)
-    for batch in batches:
-        data = np.stack(batch["x"].to_numpy()) if len(batch) else np.empty((0, network.widths[0]))
-        for start in range(0, len(data), size):
-            part = data[start : start + size]
-            error, grad = network.gradient(weights, part)
-            rows, loss, step = rows + len(part), loss + error, step + 1
-            if optimizer == "sgd":
-                weights -= lr * grad
+@dataclass
+class Trial:
+    """What is fitted how, and how far it has come."""
+
+    network: Network
+    optimizer: str = "adam"
+    lr: float = 0.01
+    batch: int = 32
+    max_iter: int = 10
+    early_stop: bool = True
+    min_rel_progress: float = 0.01
+    held_out: float = 0.2
+    seed: int = 0
+    weights: np.ndarray | None = None
+    best: np.ndarray | None = None
+    history: list[dict] = field(default_factory=list)
+    stopped: bool = False
+
+    def watched(self) -> list[float]:
+        """The held-out losses so far, or those of the training rows if none are held out."""
+        return [h["eval_loss"] if h["eval_loss"] is not None else h["loss"] for h in self.history]
+
+
+class _Steps:
+    """Mini-batch steps of one trial over one partition."""
+
+    def __init__(self, trial: Trial):
+        self.trial, self.weights = trial, trial.weights.copy()
+        self.first, self.second = np.zeros_like(self.weights), np.zeros_like(self.weights)
+        self.rows, self.loss, self.step = 0, 0.0, 0
+
+    def take(self, data: np.ndarray) -> None:
+        trial = self.trial
+        for start in range(0, len(data), trial.batch):
+            part = data[start : start + trial.batch]
+            error, grad = trial.network.gradient(self.weights, part)
+            self.rows, self.loss, self.step = self.rows + len(part), self.loss + error, self.step + 1
+            if trial.optimizer == "sgd":
+                self.weights -= trial.lr * grad
                 continue
-            first = 0.9 * first + 0.1 * grad
-            second = 0.999 * second + 0.001 * grad * grad
-            weights -= lr * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-7)
-    if rows:
-        yield pd.DataFrame({"n": [float(rows)], "loss": [loss], "w": [weights]})
+            self.first = 0.9 * self.first + 0.1 * grad
+            self.second = 0.999 * self.second + 0.001 * grad * grad
+            self.weights -= trial.lr * (self.first / (1 - 0.9**self.step)) / (np.sqrt(self.second / (1 - 0.999**self.step)) + 1e-7)
+
+
+def _train_partition(batches, trials: dict[int, Trial]):
+    """All trials over one partition, read once; yields the weights of each with its row count and loss."""
+    steps = {i: _Steps(t) for i, t in trials.items()}
+    for batch in batches:
+        if len(batch):
+            data, share = np.stack(batch["x"].to_numpy()), batch["u"].to_numpy()
+            for i, t in trials.items():
+                steps[i].take(data[share >= t.held_out])
+    done = {i: s for i, s in steps.items() if s.rows}
+    if done:
+        yield pd.DataFrame({
+            "trial": list(done), "n": [float(s.rows) for s in done.values()], "loss": [s.loss for s in done.values()],
+            "w": [s.weights for s in done.values()],
+        })
+
+
+def _measure_partition(batches, trials: dict[int, Trial]):
+    """The held-out rows and loss of all trials over one partition."""
+    for batch in batches:
+        if len(batch):
+            data, share = np.stack(batch["x"].to_numpy()), batch["u"].to_numpy()
+            found = []
+            for i, t in trials.items():
+                x = data[share < t.held_out]
+                if len(x):
+                    error = t.network.outputs(t.weights, x)[-1] - x
+                    found.append((i, len(x), float((error**2).mean(axis=1).sum())))
+            yield pd.DataFrame(found, columns=["trial", "n", "loss"])
 
 
 @dataclass
@@ -168,53 +224,73 @@ def fit_autoencoder(
     Only the weights, a few hundred numbers, pass through the driver. ``rows`` and ``scaler`` may be
     shared between several fits. Training stops early when the held-out loss no longer improves.
     """
-    if activation not in ACTIVATIONS or output_activation not in ACTIVATIONS:
-        raise ValueError(f"activation is one of {ACTIVATIONS}")
-    if optimizer not in OPTIMIZERS:
-        raise ValueError(f"optimizer is one of {OPTIMIZERS}")
+    trial = _trial(
+        cols, hidden, activation, output_activation, optimizer=optimizer, lr=lr, batch=batch, max_iter=max_iter, early_stop=early_stop,
+        min_rel_progress=min_rel_progress, held_out=held_out, seed=seed,
+    )
     scaler = scaler or FeatureTransform([standard_scaler(c) for c in cols]).fit(df)
     unknown = [c for c in cols if scaler.stats[c]["mean"] is None]
     if unknown:
         raise ValueError(f"no complete rows to train on: no values in {unknown}")
     rows = rows if rows is not None else _training_rows(df, cols, scaler)
-    network = Network((len(cols), *hidden, len(cols)), activation, output_activation)
-    flat, history = network.start(seed), []
-    # Held out by row content: equal rows fall on the same side, whatever the partitioning.
-    bucket = F.pmod(F.xxhash64("x"), F.lit(10_000)) / 10_000
-    train, test = rows.filter(bucket >= held_out), rows.filter(bucket < held_out)
-    best = flat
-    for iteration in range(1, max_iter + 1):
-        step = train.mapInPandas(_stepper(network, flat, optimizer, lr, batch), "n double, loss double, w array<double>")
-        merged = step.agg(
-            Summarizer.mean(array_to_vector("w"), F.col("n")).alias("w"), F.sum("loss").alias("loss"), F.sum("n").alias("n")
-        ).first()
-        if not merged["n"]:
-            raise ValueError("no complete rows to train on")
-        flat = np.array(merged["w"].toArray())
-        evaluated = _mean_loss(test, network, flat) if held_out else None
-        history.append({"iteration": iteration, "loss": merged["loss"] / merged["n"], "eval_loss": evaluated})
-        watched = [h["eval_loss"] if h["eval_loss"] is not None else h["loss"] for h in history]
-        if watched[-1] <= min(watched):
-            best = flat
-        if early_stop and len(watched) > 1 and watched[-2] - watched[-1] < min_rel_progress * watched[-2]:
-            break
-    return AutoencoderModel(list(cols), network, best, scaler, history)
+    _fit_trials(rows, [trial])
+    return AutoencoderModel(list(cols), trial.network, trial.best, scaler, trial.history)
 
 
-def _stepper(network: Network, flat: np.ndarray, optimizer: str, lr: float, batch: int):
-    return lambda batches: _train_partition(batches, network, flat, optimizer, lr, batch)
+def _rungs(trials: int, max_iter: int, halving: int | None) -> dict[int, int]:
+    """{iteration: trials that go on behind it}: budgets grow as the trials grow fewer."""
+    found, left = {}, trials
+    if halving and halving > 1:
+        steps = max(0, math.ceil(math.log(trials, halving) - 1e-9))
+        for i in range(steps, 0, -1):
+            left = -(-left // halving)
+            found[max(1, max_iter // halving**i)] = left
+    return found
 
 
-def _mean_loss(rows: DataFrame, network: Network, flat: np.ndarray) -> float | None:
-    def measure(batches):
-        for part in batches:
-            if len(part):
-                x = np.stack(part["x"].to_numpy())
-                error = network.outputs(flat, x)[-1] - x
-                yield pd.DataFrame({"n": [len(x)], "loss": [float((error**2).mean(axis=1).sum())]})
+def _fit_trials(rows: DataFrame, trials: Sequence[Trial], halving: int | None = None) -> None:
+    """Fits all trials in the same passes, two per iteration: one that trains and one that measures.
 
-    total = rows.mapInPandas(measure, "n long, loss double").agg(F.sum("n").alias("n"), F.sum("loss").alias("loss")).first()
-    return total["loss"] / total["n"] if total["n"] else None
+    A trial ends with its own iterations, when it no longer improves, or at a rung of successive halving, behind which
+    only the best go on. Only weights, a few hundred numbers per trial and partition, are merged.
+    """
+    # Held out by row content: equal rows fall on the same side, whatever the partitioning.
+    rows = rows.select("x", (F.pmod(F.xxhash64("x"), F.lit(10_000)) / 10_000).alias("u"))
+    for t in trials:
+        t.weights = t.best = t.network.start(t.seed)
+    most = max((t.max_iter for t in trials), default=0)
+    rungs = _rungs(len(trials), most, halving)
+    for iteration in range(1, most + 1):
+        live = {i: t for i, t in enumerate(trials) if not t.stopped}
+        if not live:
+            return
+        trained = rows.mapInPandas(_bound(_train_partition, live), "trial int, n double, loss double, w array<double>")
+        merged = {r["trial"]: r for r in trained.groupBy("trial").agg(
+            Summarizer.mean(array_to_vector("w"), F.col("n")).alias("w"), F.sum("loss").alias("loss"), F.sum("n").alias("n")
+        ).collect()}  # one row per trial
+        if not merged:
+            raise ValueError("no complete rows to train on")
+        for i, t in live.items():
+            t.weights = np.array(merged[i]["w"].toArray()) if i in merged else t.weights
+        measured = {}
+        if any(t.held_out for t in live.values()):
+            held = rows.mapInPandas(_bound(_measure_partition, live), "trial int, n long, loss double")
+            measured = {r["trial"]: r["loss"] / r["n"] for r in held.groupBy("trial").agg(F.sum("n").alias("n"), F.sum("loss").alias("loss")).collect()}
+        for i, t in live.items():
+            t.history.append({"iteration": iteration, "loss": merged[i]["loss"] / merged[i]["n"] if i in merged else None, "eval_loss": measured.get(i)})
+            watched = t.watched()
+            if watched[-1] is not None and watched[-1] <= min(w for w in watched if w is not None):
+                t.best = t.weights
+            slow = len(watched) > 1 and watched[-2] - watched[-1] < t.min_rel_progress * watched[-2]
+            t.stopped = iteration >= t.max_iter or (t.early_stop and slow)
+        if iteration in rungs:
+            ranked = sorted((i for i in live), key=lambda i: min(trials[i].watched()))
+            for i in ranked[rungs[iteration]:]:
+                trials[i].stopped = True
+
+
+def _bound(train, trials: dict[int, Trial]):
+    return lambda batches: train(batches, trials)
 
 
 def fit_pca_reconstructor(df: DataFrame, cols: Sequence[str], k: int) -> AutoencoderModel:
@@ -253,37 +329,59 @@ class Search:
 
 
 def hyperparameter_search(
-    df: DataFrame, cols: Sequence[str], grid: Mapping[str, Sequence], num_trials: int = 4, seed: int = 0, **fixed
+    df: DataFrame, cols: Sequence[str], grid: Mapping[str, Sequence], num_trials: int = 4, seed: int = 0, halving: int | None = 2, **fixed
 ) -> Search:
-    """Fits candidates of the grid (a seeded choice when there are more than ``num_trials``) on the same
-    rows and split; the objective is the held-out mean squared error."""
+    """Fits candidates of the grid (a seeded choice when there are more than ``num_trials``) on the same rows and split,
+    all in the same passes; the objective is the held-out mean squared error.
+
+    By successive halving one in ``halving`` trials goes on behind each rung, and the last one has all iterations; with
+    None all have. The passes over the rows are two per iteration, however many trials there are.
+    """
     names = list(grid)
     candidates = [dict(zip(names, values)) for values in itertools.product(*(grid[n] for n in names))]
     if len(candidates) > num_trials:
         candidates = random.Random(seed).sample(candidates, num_trials)
     scaler = FeatureTransform([standard_scaler(c) for c in cols]).fit(df)
     rows = _training_rows(df, cols, scaler)
-    trials, models = [], {}
+    records, live = [], {}
     for trial_id, choice in enumerate(candidates, 1):
         record = {"trial_id": trial_id, "hyperparameters": json.dumps(choice, sort_keys=True), "loss": None,
-                  "status": "SUCCEEDED", "is_best": False}
+                  "status": "SUCCEEDED", "is_best": False, "iterations": 0}
         try:
-            model = fit_autoencoder(df, cols, rows=rows, scaler=scaler, seed=seed, **{**fixed, **choice})
-            losses = [h["eval_loss"] if h["eval_loss"] is not None else h["loss"] for h in model.history]
-            record["loss"], models[trial_id] = min(losses), model
+            live[trial_id] = _trial(cols, **{"seed": seed, **fixed, **choice})
         except ValueError as problem:
             record["status"] = f"FAILED: {problem}"
-        trials.append(record)
-    done = [t for t in trials if t["loss"] is not None]
+        records.append(record)
+    try:
+        _fit_trials(rows, list(live.values()), halving)
+    except ValueError as problem:
+        raise ValueError("no trial succeeded") from problem
+    models = {i: AutoencoderModel(list(cols), t.network, t.best, scaler, t.history) for i, t in live.items()}
+    for record in records:
+        if record["trial_id"] in live:
+            trial = live[record["trial_id"]]
+            record["loss"], record["iterations"] = min(trial.watched()), len(trial.history)
+    done = [t for t in records if t["loss"] is not None]
     if not done:
         raise ValueError("no trial succeeded")
     min(done, key=lambda t: t["loss"])["is_best"] = True
-    return Search(trials, models)
+    return Search(records, models)
+
+
+def _trial(cols: Sequence[str], hidden: Sequence[int] = (8, 4, 2, 4, 8), activation: str = "relu", output_activation: str = "linear", **settings) -> Trial:
+    """A trial of the settings of ``fit_autoencoder``."""
+    trial = Trial(Network((len(cols), *hidden, len(cols)), activation, output_activation), **settings)
+    if activation not in ACTIVATIONS or output_activation not in ACTIVATIONS:
+        raise ValueError(f"activation is one of {ACTIVATIONS}")
+    if trial.optimizer not in OPTIMIZERS:
+        raise ValueError(f"optimizer is one of {OPTIMIZERS}")
+    return trial
 
 
 def trial_info(search: Search) -> DataFrame:
-    schema = "trial_id int, hyperparameters string, loss double, status string, is_best boolean"
-    rows = [tuple(t[n] for n in ("trial_id", "hyperparameters", "loss", "status", "is_best")) for t in search.trials]
+    """One row per trial; ``iterations`` says where it stopped."""
+    schema = "trial_id int, hyperparameters string, loss double, status string, is_best boolean, iterations int"
+    rows = [tuple(t[n] for n in ("trial_id", "hyperparameters", "loss", "status", "is_best", "iterations")) for t in search.trials]
     return SparkSession.getActiveSession().createDataFrame(rows, schema)
 
 

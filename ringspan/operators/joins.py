@@ -81,20 +81,60 @@ def calling_codes(path: str = CODES_FILE) -> dict[str, str]:
         return {r["prefix"]: r["country"] for r in csv.DictReader(source)}
 
 
-def _prefix_sides(spark: SparkSession, prefixes: DataFrame | Mapping[str, str]) -> list[tuple[int, DataFrame]]:
-    """(length, prefixes of that length with their country), longest first; broadcast when they are few."""
-    if not isinstance(prefixes, DataFrame):
-        small = len(prefixes) <= SMALL_ROWS
-        by_length: dict[int, list] = {}
-        for prefix, country in prefixes.items():
-            by_length.setdefault(len(prefix), []).append((prefix, country))
-        frames = {n: spark.createDataFrame(rows, "prefix string, country string") for n, rows in by_length.items()}
-    else:
-        small = is_small(prefixes)
-        lengths = prefixes.select(F.length("prefix").alias("n")).distinct().collect()  # a handful of digits counts
-        one = prefixes.groupBy("prefix").agg(F.min("country").alias("country"))
-        frames = {r["n"]: one.filter(F.length("prefix") == r["n"]) for r in lengths}
-    return [(n, F.broadcast(frames[n]) if small else frames[n]) for n in sorted(frames, reverse=True)]
+#: Above every character a number can hold, so that ``prefix + END`` ends the numbers that begin with ``prefix``.
+END = "\U0010ffff"
+
+
+def prefix_ranges(prefixes: Mapping[str, str]) -> tuple[list[str], list[str | None]]:
+    """Starts of ranges in order, and the country of each: numbers from a start up to the next one belong to it.
+
+    A longer prefix is a range inside that of a shorter one, whose country goes on behind it; None where no prefix
+    reaches.
+    """
+    starts, countries, open_ = [], [], []
+    marks = sorted([(p, 1, p) for p in prefixes] + [(p + END, 0, p) for p in prefixes], key=lambda m: (m[0], m[1], -len(m[2]) if m[1] == 0 else len(m[2])))
+    for start, begins, prefix in marks:
+        if begins:
+            open_.append(prefix)
+        else:
+            open_.remove(prefix)
+        country = prefixes[max(open_, key=len)] if open_ else None
+        if starts and starts[-1] == start:
+            countries[-1] = country
+        else:
+            starts.append(start)
+            countries.append(country)
+    return starts, countries
+
+
+def _text_array(texts: Sequence[str]) -> Column:
+    """A constant array of texts without control characters."""
+    return F.split(F.lit("\x1f".join(texts)), "\x1f", -1)
+
+
+def _in_ranges(number: Column, prefixes: Mapping[str, str]) -> Column:
+    """The country of a number by binary search over the starts of the ranges."""
+    starts, countries = prefix_ranges(prefixes)
+    if not starts:
+        return F.lit(None).cast("string")
+    known = _text_array(starts)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(starts).bit_length()))])
+    upto = lambda n: F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= len(starts)) & (F.get(known, at + step - 1) <= n), at + step).otherwise(at))
+    found = F.get(_text_array(["\x00" if c is None else c for c in countries]), F.get(F.transform(F.array(number), upto), 0) - 1)
+    return F.when(number.isNotNull() & (found != "\x00"), found)
+
+
+def _by_length(df: DataFrame, prefixes: DataFrame, digits: str, out: str) -> DataFrame:
+    """One join per prefix length, longest first: for tables of prefixes too large to stand in an expression."""
+    lengths = prefixes.select(F.length("prefix").alias("n")).distinct().collect()  # a handful of digits counts
+    one, found = prefixes.groupBy("prefix").agg(F.min("country").alias("country")), []
+    for n in sorted((r["n"] for r in lengths if r["n"] is not None), reverse=True):
+        key, name = f"_key_{out}_{n}", f"_country_{out}_{n}"
+        side = one.filter(F.length("prefix") == n).toDF(key, name)
+        df = df.join(side, F.left(F.col(digits), F.lit(n)) == F.col(key), "left").drop(key)
+        found.append(name)
+    return df.withColumn(out, F.coalesce(*[F.col(c) for c in found], F.lit(None).cast("string"))).drop(*found)
 
 
 def country_of_number(
@@ -103,23 +143,23 @@ def country_of_number(
 ) -> DataFrame:
     """Country of a phone number by its longest known calling-code prefix; NULL when there is none.
 
-    One lookup join per prefix length, longest first, so rows are neither multiplied nor shuffled. The whole number
+    The prefixes become ranges of digits in one sorted array, and a number is placed by binary search: no join, rows
+    stay where they are. Only a table of more than 10,000 prefixes is joined, once per prefix length. The whole number
     behind the international prefix is compared.
     ``00`` in front is the international prefix and is stripped; with ``legacy`` such a number is
     read as a national one of code 1, zeros included.
     """
-    sides = _prefix_sides(df.sparkSession, calling_codes() if prefixes is None else prefixes)
     number = F.regexp_replace(F.col(col).cast("string"), r"^\+", "")
     doubled = F.startswith(number, F.lit("00"))
     number = F.when(doubled, F.concat(F.lit("1"), number) if legacy else F.substring(number, F.lit(3), F.length(number))).otherwise(number)
-    digits, found = f"_digits_{out}", []
-    result = df.withColumn(digits, number)
-    for n, side in sides:
-        key, name = f"_key_{out}_{n}", f"_country_{out}_{n}"
-        side = side.toDF(key, name)
-        result = result.join(side, F.left(F.col(digits), F.lit(n)) == F.col(key), "left").drop(key)
-        found.append(name)
-    return result.withColumn(out, F.coalesce(*[F.col(c) for c in found])).drop(digits, *found)
+    prefixes = calling_codes() if prefixes is None else prefixes
+    if isinstance(prefixes, DataFrame):
+        if not is_small(prefixes):
+            digits = f"_digits_{out}"
+            return _by_length(df.withColumn(digits, number), prefixes, digits, out).drop(digits)
+        known = prefixes.filter("prefix is not null and country is not null").groupBy("prefix").agg(F.min("country").alias("country"))
+        prefixes = {r["prefix"]: r["country"] for r in known.collect()}  # at most 10,000, by the check above
+    return df.withColumn(out, _in_ranges(number, {p: c for p, c in prefixes.items() if c is not None}))
 
 
 def render_invalid(country: Column | str, text: str = "Invalid") -> Column:

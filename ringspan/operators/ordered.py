@@ -75,14 +75,16 @@ def same_key(left: str, right: str, names: Sequence[str]) -> Column:
 
 
 def prefix_sum(
-    df: DataFrame, value: Column, order_by: Sequence[Column | str], by: Sequence[str] = (), out: str = "prefix"
+    df: DataFrame, value: Column, order_by: Sequence[Column | str], by: Sequence[str] = (), out: str = "prefix",
+    rows_per_range: int | None = None,
 ) -> DataFrame:
     """Adds the sum of ``value`` over the rows of the group up to and including this one; NULL while there is none.
 
     ``order_by`` must be unique within a group for a determined result. Rows move once, to the range of their key.
+    ``rows_per_range`` is how many rows, or fewer, are not worth parting.
     """
     by, order = list(by), _as_cols(order_by)
-    ranges = Ranges(df, value, by, order)
+    ranges = Ranges(df, value, by, order, rows_per_range)
     here = f"{ranges.prefix}here"
     inside = Window.partitionBy(*_named(by), ranges.place).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = f"{ranges.prefix}before"
@@ -91,10 +93,10 @@ def prefix_sum(
 
 
 def row_number(
-    df: DataFrame, order_by: Sequence[Column | str], name: str = "row_number", by: Sequence[str] = ()
+    df: DataFrame, order_by: Sequence[Column | str], name: str = "row_number", by: Sequence[str] = (), rows_per_range: int | None = None
 ) -> DataFrame:
     """Sequential number from 1 in an explicit order, over all rows or per group."""
-    return prefix_sum(df, F.lit(1).cast("bigint"), order_by, by, out=name)
+    return prefix_sum(df, F.lit(1).cast("bigint"), order_by, by, name, rows_per_range)
 
 
 def running_sum(

@@ -75,10 +75,11 @@ class Ranges:
     or stored, and it must give the same rows every time.
     """
 
-    def __init__(self, df: DataFrame, value: Column, by: Sequence[str], order: Sequence[Column]):
+    def __init__(self, df: DataFrame, value: Column, by: Sequence[str], order: Sequence[Column], rows_per_range: int | None = None):
         groups = [k for c in by for k in _ascending(df, F.col(f"`{c}`"))]
         self.keys = groups + [k for o in order for k in _ascending(df, o)]
         self.n_groups, self.value = len(groups), value
+        self.rows_per_range = rows_per_range or ROWS_PER_RANGE
         self.prefix = "_r"
         while any(c.lower().startswith(self.prefix) for c in df.columns):
             self.prefix += "_"
@@ -89,7 +90,7 @@ class Ranges:
 
     def _bounds(self, df: DataFrame) -> tuple[list[tuple], list[T.DataType]]:
         rows = df.count()
-        ranges = min(partitions_for(df), rows // ROWS_PER_RANGE + size_of(df) // BYTES_PER_RANGE + 1)
+        ranges = min(partitions_for(df), rows // self.rows_per_range + size_of(df) // BYTES_PER_RANGE + 1)
         if rows == 0 or ranges < 2:
             return [], []
         wanted = min(ranges * SAMPLES_PER_RANGE, MOST_SAMPLES)

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import HEADER_WORDS, hash_uniform, name_and_type, strip_emails, strip_parentheses
+from ..session import store
 from ..sources.readers import describe_schema
 from .aggregates import describe, string_agg
 from .joins import lookup_label
@@ -136,27 +139,95 @@ def apply_text_model(
 
 
 # retrieval
+def _best_of(batches, terms_of: np.ndarray, starts: np.ndarray, weights: np.ndarray, idf: np.ndarray, questions: int, k: int):
+    """(question, document, score): the k best of every question among a partition's documents.
+
+    The questions of a term are ``terms_of[starts[t] : starts[t + 1]]``. A document's bound is what it would score for
+    a question that asks for all its words; documents go in the order of their bounds, and end where the bound is
+    below the k-th score of every question.
+    """
+    best: list[list[tuple[float, object]]] = [[] for _ in range(questions)]
+    least, schema, largest = np.full(questions, -np.inf), None, weights.max(initial=1.0)
+    for batch in batches:
+        parts, schema = [], pa.schema([("question", pa.int32()), ("doc", batch.schema.field(0).type), ("score", pa.float64())])
+        for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            term, tf = np.unique(ids.values.to_numpy(), return_counts=True)
+            part = (1.0 + np.log(tf)) * idf[term]
+            parts.append((largest * float(part.sum()), doc, term, part))
+        parts.sort(key=lambda p: -p[0])
+        for bound, doc, term, part in parts:
+            if bound < least.min() - 1e-6:
+                break
+            size = starts[term + 1] - starts[term]
+            at = np.repeat(starts[term] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            asked, inverse = np.unique(terms_of[at], return_inverse=True)
+            scores = np.floor(np.bincount(inverse, np.repeat(part, size) * weights[at]) * 1e6 + 0.5) / 1e6
+            for i in np.flatnonzero(scores >= least[asked]):
+                found = best[asked[i]]
+                found.append((float(scores[i]), doc))
+                if len(found) >= 2 * k:
+                    _shorten(found, k)
+                    least[asked[i]] = found[-1][0]
+    rows = []
+    for q, found in enumerate(best):
+        _shorten(found, k)
+        rows += [(q, doc, score) for score, doc in found]
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
+def _shorten(found: list, k: int) -> None:
+    """The k largest scores, ties by the smaller document, NULL first."""
+    found.sort(key=lambda f: (-f[0], f[1] is not None, f[1]))
+    del found[k:]
+
+
+def _retrieve_blocks(docs: DataFrame, postings: DataFrame, k: int, doc_id: str, question_id: str, text: str) -> DataFrame:
+    """Documents scored where they lie against all questions at once."""
+    spark = docs.sparkSession
+    asked = postings.filter(F.col("term").isNotNull()).collect()  # bounded by the caller's check
+    terms = {t: i for i, t in enumerate(sorted({r["term"] for r in asked}))}
+    known = {q: i for i, q in enumerate(dict.fromkeys(r[question_id] for r in asked))}
+    pairs = Counter((terms[r["term"]], known[r[question_id]]) for r in asked)
+    rows = sorted(pairs)
+    vocabulary = spark.createDataFrame(list(terms.items()), "term string, _term int")
+    occurrences = docs.select(doc_id, F.explode(_split(F.lower(text), NOT_WORD)).alias("term")).join(F.broadcast(vocabulary), "term")
+    held = store(occurrences.groupBy(doc_id).agg(F.collect_list("_term").alias("_terms")), "retrieval-terms")
+    df = {r["t"]: r["n"] for r in held.select(F.explode(F.array_distinct("_terms")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = docs.count()
+    idf = np.array([np.log(total / df[t]) if t in df else 0.0 for t in range(len(terms))])
+    starts = np.searchsorted([t for t, _ in rows], np.arange(len(terms) + 1))
+    index = (np.array([q for _, q in rows], np.int64), starts, np.array([pairs[r] for r in rows], np.float64), idf, len(known))
+    shared = spark.sparkContext.broadcast(index)
+    kind = docs.schema[doc_id].dataType.simpleString()
+    found = held.mapInArrow(lambda batches: _best_of(batches, *shared.value, k), f"question int, doc {kind}, score double")
+    names = spark.createDataFrame([(i, q) for q, i in known.items()], T.StructType([
+        T.StructField("question", T.IntegerType()), T.StructField(question_id, postings.schema[question_id].dataType)]))
+    best = top_k_per_group(found, "question", [F.desc("score"), F.asc("doc")], k, rank="rank")
+    return best.join(F.broadcast(names), "question").select(F.col("doc").alias(doc_id), question_id, "score", "rank")
+
+
 def retrieve_documents(
     docs: DataFrame, questions: DataFrame, k: int = 10, doc_id: str = "doc_id", question_id: str = "question_id",
     text: str = "text", max_broadcast_terms: int = 200_000,
 ) -> DataFrame:
     """The k best documents per question: sum of (1 + ln tf) * ln(N / df) over the question's words, to 6 places.
 
-    Only words some question holds leave the first stage. Occurrences move once, by document; counting
-    and scoring then happen in place, and every task keeps its own k best before the last exchange.
+    Only words some question holds leave the first stage, and move once, by document. The words of all questions go
+    to the tasks if they are at most ``max_broadcast_terms``: each task scores its documents against all of them and
+    keeps the k best per question, passing over documents whose bound is too low, so neither rows of documents and
+    questions nor groups of a frequent word ever form. More words are joined by shuffle.
     """
     lower = F.array_distinct(_split(F.lower(text), NOT_WORD))
     postings = questions.select(question_id, F.explode(lower).alias("term"))
-    # The words of all questions bound the vocabulary and the weighted postings too.
-    small = is_small(postings, max_broadcast_terms)
-    side = F.broadcast if small else (lambda df: df)
-    vocabulary = postings.select("term").distinct()
+    if is_small(postings, max_broadcast_terms):
+        return _retrieve_blocks(docs, postings, k, doc_id, question_id, text)
     occurrences = docs.select(doc_id, F.explode(_split(F.lower(text), NOT_WORD)).alias("term"))
-    hits = occurrences.join(side(vocabulary), "term", "left_semi")
+    hits = occurrences.join(postings.select("term").distinct(), "term", "left_semi")
     tf = hits.repartition(doc_id).groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
     total = docs.agg(F.count(F.lit(1))).scalar()
     idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", F.log(total / F.col("df")).alias("idf"))
-    scored = tf.join(side(postings.join(idf, "term")), "term").withColumn("_part", (1 + F.log(F.col("tf"))) * F.col("idf"))
+    scored = tf.join(postings.join(idf, "term"), "term").withColumn("_part", (1 + F.log(F.col("tf"))) * F.col("idf"))
     totals = scored.groupBy(doc_id, question_id).agg(F.round(F.sum("_part"), 6).alias("score"))
     return top_k_per_group(totals, question_id, [F.desc("score"), F.asc(doc_id)], k, rank="rank")
 

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 from ..sources.readers import scan_jsonl
 from ..sources.writers import write_jsonl
+from .boosting import BoostedModel, fit_boosted, nodes_of, score
 from .columns import select_features
 from .features import FeatureTransform, FittedTransform, pass_through
 
@@ -77,12 +78,17 @@ def fit_boosted_tree_regressor(
     Without ``early_stop`` all ``max_iter`` trees are fitted, still on the rows not held out. ``track_history`` measures
     the loss of every iteration on both parts, which takes two more passes over the rows.
     ``num_parallel_tree`` fits that many models with different row samples and averages them. Trees of
-    Spark ML know no l1 or l2 penalty; ask for ``min_info_gain``-like control through depth instead.
+    Spark ML know no l1 or l2 penalty: with one of them the trees of ``boosting`` are fitted, one model of them.
     """
-    if l1_reg or l2_reg:
-        raise ValueError("l1_reg and l2_reg have no counterpart; use max_depth and subsample")
+    if (l1_reg or l2_reg) and num_parallel_tree > 1:
+        raise ValueError("penalties go with num_parallel_tree=1")
     fitted, features, rows = _prepared(df, label, transform)
     rows = rows.withColumn("_held_out", _content_uniform([*features, label], seed) >= train_fraction)
+    if l1_reg or l2_reg:
+        return fit_boosted(
+            rows, label, features, fitted, "regressor", max_iter, max_depth, 1 << max_depth, learn_rate, 1.0, subsample, l1_reg, l2_reg,
+            max_bins=max_bins, early_stop=early_stop, min_rel_progress=min_rel_progress, track_history=track_history, seed=seed,
+        )
     assembler = VectorAssembler(inputCols=features, outputCol="_features")
     rows = assembler.transform(rows).select("_features", label, "_held_out").persist()
     models, history = [], []
@@ -105,6 +111,21 @@ def fit_boosted_tree_regressor(
 
 
 def fit_multiclass_boosted_tree(
+    df: DataFrame, label: str, features: Sequence[str], max_iter: int = 20, max_depth: int = 5, num_leaves: int = 31,
+    learn_rate: float = 0.05, feature_fraction: float = 0.9, subsample: float = 0.8, l1_reg: float = 0.0, l2_reg: float = 0.0,
+    min_rows: int = 10, held_out: float = 0.0, early_stop: bool = False, min_rel_progress: float = 0.0, seed: int = 0,
+) -> BoostedModel:
+    """Boosted trees for integer classes from 0: a tree per class and round on the gradients of the softmax loss, grown
+    leaf by leaf to ``num_leaves``. ``held_out`` rows, by content, are measured only."""
+    fitted, names, rows = _prepared(df, label, FittedTransform([pass_through(c) for c in features]))
+    rows = rows.withColumn("_held_out", _content_uniform([*names, label], seed) < held_out)
+    return fit_boosted(
+        rows, label, names, fitted, "multiclass", max_iter, max_depth, num_leaves, learn_rate, feature_fraction, subsample, l1_reg, l2_reg,
+        min_rows, early_stop=early_stop, min_rel_progress=min_rel_progress, track_history=held_out > 0, seed=seed,
+    )
+
+
+def fit_one_vs_rest_trees(
     df: DataFrame, label: str, features: Sequence[str], max_iter: int = 20, max_depth: int = 5,
     learn_rate: float = 0.05, feature_fraction: float = 0.9, subsample: float = 0.8, seed: int = 0, parallelism: int = 8,
 ) -> TreeModel:
@@ -124,19 +145,23 @@ def fit_multiclass_boosted_tree(
     return TreeModel(label, names, fitted, [PipelineModel([assembler, model])], "multiclass")
 
 
-def _featured(model: TreeModel, df: DataFrame) -> DataFrame:
+def _featured(model: TreeModel | BoostedModel, df: DataFrame) -> DataFrame:
     """The input as ``_row`` next to its transformed features."""
     inputs = df.withColumn("_row", F.struct("*"))
     return model.transform.without(model.label).transform(inputs, keep=["_row"])
 
 
-def _with_predictions(model: TreeModel, rows: DataFrame, name: str) -> DataFrame:
+def _with_predictions(model: TreeModel | BoostedModel, rows: DataFrame, name: str) -> DataFrame:
     """Mean of the models; a row with a missing feature gets NULL."""
     complete = F.lit(True)
     for c in model.features:
         complete = complete & F.col(c).isNotNull()
-    zeros = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in model.features}
-    rows = rows.withColumn("_complete", complete).withColumns(zeros)
+    rows = rows.withColumn("_complete", complete)
+    if isinstance(model, BoostedModel):
+        rows = score(model, rows, name)
+    rows = rows.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in model.features})
+    if isinstance(model, BoostedModel):
+        return VectorAssembler(inputCols=model.features, outputCol="_features").transform(rows)
     parts = []
     for i, pipeline in enumerate(model.models):
         rows = pipeline.transform(rows.drop("_features"))
@@ -149,7 +174,7 @@ def _with_predictions(model: TreeModel, rows: DataFrame, name: str) -> DataFrame
     return rows.withColumn(name, F.when(F.col("_complete"), value))
 
 
-def predict(model: TreeModel, df: DataFrame) -> DataFrame:
+def predict(model: TreeModel | BoostedModel, df: DataFrame) -> DataFrame:
     """All input columns and ``predicted_<label>``; the transform is applied inside."""
     name = f"predicted_{model.label}"
     return _with_predictions(model, _featured(model, df), name).select("_row.*", name)
@@ -165,7 +190,12 @@ def batch_predict(
 
 
 # the trees behind a model
-def tree_nodes(model: TreeModel) -> DataFrame:
+NODES = """
+    model int, tree int, weight double, id int, left int, right int, feature int, threshold double, gain double, cover double, prediction double
+"""
+
+
+def tree_nodes(model: TreeModel | BoostedModel) -> DataFrame:
     """Node table of a regressor: (model, tree, weight, id, left, right, feature, threshold, gain, cover, prediction).
 
     Read back from the parquet files of the saved model.
@@ -173,6 +203,8 @@ def tree_nodes(model: TreeModel) -> DataFrame:
     if model.kind != "regressor":
         raise ValueError("the node table is given for regressors")
     spark = SparkSession.getActiveSession()
+    if isinstance(model, BoostedModel):
+        return spark.createDataFrame(nodes_of(model), NODES)
     parts = []
     for i, pipeline in enumerate(model.models):
         path = scratch_path(spark, "trees")

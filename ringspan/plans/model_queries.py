@@ -181,6 +181,28 @@ def fit_multiclass_boosted_tree(spark, sf):
     return rows.agg(F.countDistinct("label").alias("classes")).withColumn("is_a_share", F.lit(0 <= error <= 1))
 
 
+STUMP_L1, STUMP_L2 = 40.0, 25.0
+
+
+@query("boosted_stump", f"""
+with r as (select l_orderkey, l_linenumber, l_partkey, l_quantity as y, (l_returnflag = 'R')::int as x from lineitem),
+m as (select avg(y) as mean from r),
+g as (select x, sum(y - mean) as s, count(*) as n from r, m group by x)
+select l_orderkey, l_linenumber, l_partkey, round(mean + sign(s) * greatest(abs(s) - {STUMP_L1}, 0) / (n + {STUMP_L2}), 6) as predicted
+from r join g using (x), m
+""")
+def boosted_stump(spark, sf):
+    """One tree of one split under both penalties, whose leaves SQL can state."""
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("double").alias("y"), (F.col("l_returnflag") == "R").cast("double").alias("x")
+    )
+    model = M.fit_boosted_tree_regressor(
+        rows.select("x", "y"), "y", X.FittedTransform([X.pass_through("x")]), max_iter=1, max_depth=1, learn_rate=1.0, subsample=1.0,
+        early_stop=False, train_fraction=1.0, l1_reg=STUMP_L1, l2_reg=STUMP_L2, track_history=False,
+    )
+    return M.predict(model, rows).select("l_orderkey", "l_linenumber", "l_partkey", F.round("predicted_y", 6).alias("predicted"))
+
+
 # autoencoder
 LABELLED = f"with {CALLS_CTE}, {labelled_cte()} "
 _NO_ERROR = ", ".join(f"0.0::double as {e}" for e in D.ERRORS)

@@ -193,6 +193,16 @@ def describe_by(spark, sf):
     return _rounded(stats, ["l_returnflag"])
 
 
+_CROWD = "case when l_linenumber <= 2 then -1 else cast(l_orderkey % 10000 as bigint) end"
+
+
+@query("describe_many_groups", _stats_sql(f"(select {_CROWD} as crowd, l_extendedprice, l_discount from lineitem)", ["l_extendedprice", "l_discount"], "crowd"))
+def describe_many_groups(spark, sf):
+    """Up to 10,000 groups, one of which holds about half of all rows, by the path of large tables."""
+    rows = table(spark, sf, "lineitem").select(F.expr(_CROWD).alias("crowd"), "l_extendedprice", "l_discount")
+    return _rounded(A.describe_by(rows, "crowd", ["l_extendedprice", "l_discount"], distinct_rows=0), ["crowd"])
+
+
 @query("group_mean", "select event_type, round(avg(value), 6) as value, round(avg(user_id), 6) as user_id from events group by 1")
 def group_mean(spark, sf):
     means = A.group_mean(table(spark, sf, "events"), "event_type", ["value", "user_id"])

@@ -105,8 +105,15 @@ select query, vec_id as id, round(l2, 6) as score, rank::int as rank from (
 
 @query("knn_exact_in_blocks", NEAREST)
 def knn_exact_in_blocks(spark, sf):
-    """The path of more queries than go to the tasks at once."""
-    found = K.knn_exact(_embeddings(spark, sf), _centroids(spark, sf), 10, query_id="label", query_vec="centroid", block_numbers=200)
+    """Queries and base rows in blocks, without cells."""
+    found = K.knn_exact(_embeddings(spark, sf), _centroids(spark, sf), 10, query_id="label", query_vec="centroid", cells=1)
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query("knn_exact_in_cells", NEAREST)
+def knn_exact_in_cells(spark, sf):
+    """Over several cells, of which a query meets those that its bound allows."""
+    found = K.knn_exact(_embeddings(spark, sf), _centroids(spark, sf), 10, query_id="label", query_vec="centroid", cells=16)
     return found.withColumn("score", F.round("score", 6))
 
 

@@ -63,10 +63,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def release(spark: SparkSession, since: int = 0) -> None:
     """Delete the scratch paths given out from the ``since``-th on. Frames that read them end there."""
-    paths, _scratch[since:] = _scratch[since:], []
-    for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    for path in _scratch[since:]:
+        discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one scratch path given out."""
+    _scratch.remove(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @contextmanager

@@ -1,2 +1,2 @@
 from .score import score_stream, write_stream  # noqa: F401
-from .sync import compact, latest_rows, sync_latest  # noqa: F401
+from .sync import compact, fold, latest_rows, sync_latest, vacuum  # noqa: F401

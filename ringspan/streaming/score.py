@@ -6,17 +6,18 @@ from pyspark.sql import DataFrame
 
 from ..operators.anomaly import reconstruction_loss
 from ..operators.autoencoder import AutoencoderModel
+from ..operators.boosting import BoostedModel
 from ..operators.columns import flag_rows
 from ..operators.trees import TreeModel, predict
 
 
-def score_stream(stream: DataFrame, model: TreeModel | AutoencoderModel, contamination: float | None = None) -> DataFrame:
+def score_stream(stream: DataFrame, model: TreeModel | BoostedModel | AutoencoderModel, contamination: float | None = None) -> DataFrame:
     """The streaming frame with the model's output; the fitted transform goes with the model, nothing is kept.
 
     An autoencoder needs a threshold fitted beforehand to flag rows; without ``contamination`` rows
     only get their reconstruction errors.
     """
-    if isinstance(model, TreeModel):
+    if isinstance(model, (TreeModel, BoostedModel)):
         return predict(model, stream)
     scored = reconstruction_loss(model, stream)
     if contamination is None:

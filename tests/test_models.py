@@ -1,6 +1,7 @@
 """Trees and explanations, autoencoder, anomaly flags, model choice, streams."""
 
 import itertools
+import json
 import math
 
 import numpy as np
@@ -116,11 +117,6 @@ def test_global_explain_is_the_mean(data, trees):
         assert r["attribution"] == pytest.approx(expected[r["feature"]])
 
 
-def test_penalties_are_refused(data):
-    with pytest.raises(ValueError, match="l1_reg"):
-        M.fit_boosted_tree_regressor(data, "y", X.FeatureTransform(SPECS), l1_reg=10)
-
-
 def test_multiclass(data):
     labelled = data.withColumn("label", F.when(F.col("a") > 0.5, 2).when(F.col("a") > -0.5, 1).otherwise(0))
     model = M.fit_multiclass_boosted_tree(labelled, "label", ["a", "b"], max_iter=3)
@@ -273,6 +269,24 @@ def test_columns_without_values_are_named(spark):
         N.fit_autoencoder(empty, ["a", "b"])
 
 
+def test_trials_share_their_passes(spark, monkeypatch):
+    """Eight trials take no more passes than one; the halving leaves one with all iterations."""
+    passes, bound = [], N._bound
+    monkeypatch.setattr(N, "_bound", lambda train, trials: passes.append(len(trials)) or bound(train, trials))
+    train = spark.range(300).select(*[(F.rand(i) * 10).alias(c) for i, c in enumerate("ab")])
+    grid = {"activation": ["relu", "sigmoid"], "optimizer": ["adam", "sgd"], "lr": [0.01, 0.1]}
+    search = N.hyperparameter_search(train, ["a", "b"], grid, num_trials=8, max_iter=8, early_stop=False)
+    assert passes == [8, 8, 4, 4, 2, 2, 2, 2, 1, 1, 1, 1, 1, 1, 1, 1]
+    info = N.trial_info(search)
+    assert sorted(r["iterations"] for r in info.collect()) == [1, 1, 1, 1, 2, 2, 4, 8]
+    passes.clear()
+    whole = N.hyperparameter_search(train, ["a", "b"], grid, num_trials=8, max_iter=3, early_stop=False, halving=None)
+    assert passes == [8] * 6 and all(t["iterations"] == 3 for t in whole.trials)
+    alone = N.fit_autoencoder(train, ["a", "b"], activation="sigmoid", optimizer="sgd", lr=0.1, max_iter=3, early_stop=False)
+    same = next(t for t in whole.trials if json.loads(t["hyperparameters"]) == {"activation": "sigmoid", "optimizer": "sgd", "lr": 0.1})
+    assert abs(min(h["eval_loss"] for h in alone.history) - same["loss"]) < 1e-3 * same["loss"] + 0.05
+
+
 def test_search_reload(spark, tmp_path):
     train = spark.range(300).select(*[(F.rand(i) * 10).alias(c) for i, c in enumerate("ab")])
     search = N.hyperparameter_search(train, ["a", "b"], {"activation": ["relu", "sigmoid"]}, max_iter=1)

@@ -147,9 +147,13 @@ def test_exact_quantiles_on_every_path(skewed, monkeypatch, limit, accuracy):
     for c in ("x", "pos"):
         for p in probs:
             assert found[c, p] == pytest.approx(np.quantile(frame[c], p), abs=1e-12)
-    by_key = {(r["key"], r["prob"]): r["value"] for r in A.quantile_exact(skewed, "x", [0.3], by=["key"]).collect()}
+    monkeypatch.setattr(A, "GROUP_ACCURACY", accuracy)
+    by_key = {(r["key"], r["column"], r["prob"]): r["value"] for r in A.quantile_exact(skewed, ["x", "pos"], probs, by=["key"]).collect()}
+    assert len(by_key) == 2 * len(probs) * frame["key"].nunique()
     for key, part in frame.groupby("key"):
-        assert by_key[key, 0.3] == pytest.approx(np.quantile(part["x"], 0.3), abs=1e-12)
+        for c in ("x", "pos"):
+            for p in probs:
+                assert by_key[key, c, p] == pytest.approx(np.quantile(part[c], p), abs=1e-12)
 
 
 def test_exact_quantiles_of_odd_columns(spark, monkeypatch):
@@ -160,6 +164,34 @@ def test_exact_quantiles_of_odd_columns(spark, monkeypatch):
     assert found["c", 0.5] == 3.0 and np.isnan(found["c", 1.0])
 
 
+def test_only_bracketed_values_of_groups_move(spark, monkeypatch):
+    """Many small groups and a hot one, NULL groups and values, NaN: the values stored for ranking are few."""
+    monkeypatch.setattr(A, "DISTINCT_ROWS", 0)
+    kept, real = [], A.store
+    monkeypatch.setattr(A, "store", lambda df, name="rows": kept.append((name, real(df, name))) or kept[-1][1])
+    rng = np.random.default_rng(8)
+    data = [("hot" if i % 3 == 0 else f"g{i % 40}" if i % 11 else None, float(v), None if i % 5 else float(i)) for i, v in enumerate(rng.normal(size=30_000))]
+    data += [("odd", float("nan"), None), ("odd", 1.0, None), ("odd", 2.0, None), ("bare", None, None)]
+    df = spark.createDataFrame(data, "g string, x double, y double").repartition(4)
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    found = {(r["g"], r["column"], r["prob"]): r["value"] for r in A.quantile_exact(df, ["x", "y"], probs, by=["g"]).collect()}
+    frame = df.toPandas()
+    for g in frame["g"].unique():
+        part = frame[frame["g"].isna() if g is None else frame["g"] == g]
+        for c in ("x", "y"):
+            values = np.sort(part[c].to_numpy()) if g == "odd" else part[c].dropna().to_numpy()
+            for p in probs:
+                if g == "odd" and c == "x":
+                    want = [1.0, 1.5, 2.0, float("nan"), float("nan")][probs.index(p)]
+                    assert found[g, c, p] == want or np.isnan(want) and np.isnan(found[g, c, p])
+                elif len(values) and not np.isnan(values).all():
+                    assert found[g, c, p] == pytest.approx(np.quantile(values, p), abs=1e-12)
+                else:
+                    assert (g, c, p) not in found
+    moved = next(f for n, f in kept if n == "bracket-values")
+    assert moved.filter("g = 'hot'").agg(F.sum("n")).first()[0] < 0.1 * len(frame)
+
+
 def test_approx_quantile_rank_error(skewed):
     frame = skewed.toPandas()
     for r in A.quantile_approx(skewed, "x", [0.2, 0.5, 0.9], err=0.01).collect():

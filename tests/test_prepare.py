@@ -1,5 +1,7 @@
 """Cleaning, locating, labelling and normalising of call records."""
 
+import random
+
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
@@ -62,8 +64,27 @@ def test_calling_codes_are_well_formed():
 
 
 def test_country_has_no_python_and_no_shuffle(spark, sf):
-    plan = J.country_of_number(clean_calls(spark, sf), "from_number")._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    numbers = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").cast("string").alias("from_number"))
+    plan = J.country_of_number(numbers, "from_number")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Join" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ranges_find_the_longest_prefix(spark, seed):
+    """Nested prefixes of up to seven digits against trying every length."""
+    rng = random.Random(seed)
+    prefixes = {"".join(rng.choice("0123") for _ in range(rng.randint(1, 7))): f"c{i}" for i in range(60)}
+    numbers = [None, "", "3", "+", "x1", "1é", "\U0010fffe"] + ["".join(rng.choice("0123") for _ in range(rng.randint(1, 12))) for _ in range(300)]
+    numbers = [n for n in numbers if n is None or not n.startswith("00")]
+    df = spark.createDataFrame([(n,) for n in numbers], "n string")
+    table = spark.createDataFrame([*prefixes.items(), ("1", None), (None, "x")], "prefix string, country string")
+    longest = {n: next((prefixes[n[:k]] for k in range(len(n), 0, -1) if n[:k] in prefixes), None) for n in numbers if n is not None}
+    for given in (prefixes, table):
+        found = J.country_of_number(df, "n", given).collect()
+        assert all(r["country"] == (longest[r["n"]] if r["n"] is not None else None) for r in found)
+    joined = J._by_length(df.withColumn("d", F.col("n")), table, "d", "country")
+    assert all(r["country"] == (longest[r["n"]] if r["n"] is not None else None) for r in joined.collect())
+    assert J.country_of_number(df, "n", {}).filter("country is not null").count() == 0
 
 
 def test_numeric_columns_take_bigint_and_exact_names(spark):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ringspan.operators import embeddings as E
 from ringspan.operators import neighbours as K
+from ringspan.operators import quantiser as Q
 from ringspan.operators import text as X
 
 
@@ -51,15 +52,61 @@ def test_knn_equals_brute_force(vectors, metric, cost):
     assert rows(found.select("query", "id", "rank")) == brute(vectors, queries, 7, cost)
 
 
+@pytest.mark.parametrize("metric", ["l2", "dot", "cosine"])
+@pytest.mark.parametrize("cells", [2, 7, 40])
+def test_knn_does_not_depend_on_the_cells(vectors, metric, cells):
+    queries = vectors.filter("vec_id % 40 = 0")
+    assert rows(K.knn_exact(vectors, queries, 5, metric, cells=cells)) == rows(K.knn_exact(vectors, queries, 5, metric))
+
+
 def test_knn_in_blocks_equals_one_block(vectors, monkeypatch):
     queries = vectors.filter("vec_id % 40 = 0")
     expected = rows(K.knn_exact(vectors, queries, 5))
-    monkeypatch.setattr(K, "QUERY_NUMBERS", 200)
-    assert rows(K.knn_exact(vectors, queries, 5)) == expected
+    monkeypatch.setattr(K, "BLOCK_ROWS", 10)
+    assert rows(K.knn_exact(vectors, queries, 5, cells=3)) == expected == rows(K.knn_exact(vectors, queries, 5))
+
+
+def clustered(spark, n, seed=2):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(scale=20.0, size=(30, 6))
+    return spark.createDataFrame([(i, (centres[i % 30] + rng.normal(size=6)).tolist()) for i in range(n)], "vec_id int, embedding array<double>")
+
+
+def test_the_share_of_rows_met_falls(spark):
+    """What a query is measured against, at two sizes: a small and falling share of the base."""
+    shares = []
+    for n, cells in ((1000, 30), (4000, 120)):
+        base = clustered(spark, n)
+        met = K.rows_met(base, base.filter("vec_id % 50 = 0"), 5, cells=cells).collect()
+        assert len(met) == n // 50 and max(r["cells"] for r in met) < cells
+        shares.append(sum(r["rows"] for r in met) / len(met) / n)
+    assert shares[1] < shares[0] < 0.35
+
+
+def test_knn_of_odd_vectors(spark):
+    """Vectors without length, equal vectors, NULL vectors, far fewer rows than k, and empty sides."""
+    base = spark.createDataFrame(
+        [(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [-2.0, 0.0]), (5, None), (6, [0.0, 5.0]), (7, [0.0, 0.0])],
+        "vec_id int, embedding array<double>",
+    )
+    for metric in ("l2", "dot", "cosine"):
+        for k in (1, 3, 20):
+            found = [rows(K.knn_exact(base, base, k, metric, cells=c)) for c in (1, 3, 6)]
+            assert found[0] == found[1] == found[2] and len(found[0]) == 6 * min(k, 6)
+    assert K.knn_exact(base.limit(0), base, 3).count() == 0 and K.knn_exact(base, base.limit(0), 3, cells=2).count() == 0
+
+
+def test_no_side_goes_through_the_driver():
+    import inspect
+
+    assert "toPandas" not in inspect.getsource(K.knn_exact) + inspect.getsource(K._meetings) + inspect.getsource(K._search_blocks)
 
 
 def test_knn_crowding_and_filter(vectors):
     queries = vectors.filter("vec_id % 100 = 0")
+    expected = brute(vectors.filter("vec_id < 610"), queries, 6, l2, limit=2)
+    in_cells = K.knn_exact(vectors, queries, 6, crowd_col="label", crowding=2, where="vec_id < 610", cells=9)
+    assert rows(in_cells.select("query", "id", "rank")) == expected
     found = K.knn_exact(vectors, queries, 6, crowd_col="label", crowding=2, where="vec_id < 610")
     assert rows(found.select("query", "id", "rank")) == brute(vectors.filter("vec_id < 610"), queries, 6, l2, limit=2)
 
@@ -78,11 +125,21 @@ def test_knn_approx(vectors, monkeypatch):
     some = K.knn_approx(vectors, queries, 10, leaves=8, probes=4)
     pairs = set(rows(some.select("query", "id")))
     assert len(pairs & exact) / len(exact) > 0.7
-    monkeypatch.setattr(K, "QUERY_NUMBERS", 0)
     monkeypatch.setattr(K, "BLOCK_ROWS", 50)
     assert set(rows(K.knn_approx(vectors, queries, 10, leaves=8, probes=4).select("query", "id"))) == pairs
 
 
+def test_codes_come_near_the_distance():
+    rng = np.random.default_rng(4)
+    residuals = rng.normal(size=(3000, 10))
+    books = [Q.kmeans(residuals[:, s : s + 4], 256, 1) for s in (0, 4, 8)]
+    quantiser, query = Q.Quantiser(books), rng.normal(size=10)
+    about, true = quantiser.distances(quantiser.codes(residuals), query), ((residuals - query) ** 2).sum(1)
+    assert np.corrcoef(about, true)[0, 1] > 0.9
+    few = Q.Quantiser([Q.kmeans(np.array([[1.0], [1.0], [5.0]]), 256, 1)])  # fewer values than a byte has: no error is left
+    assert few.distances(few.codes(np.array([[1.0], [5.0]])), np.array([2.0])).tolist() == [1.0, 9.0]
+
+
 def test_short_leaves_are_made_up_for(spark):
     points = spark.range(40).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("double"), F.lit(0.0)).alias("embedding"))
     found = K.knn_approx(points, points, 10, leaves=16, probes=1).groupBy("query").count()
@@ -171,6 +228,19 @@ def test_retrieval_ranks_rare_words_first(spark):
     assert rows(X.retrieve_documents(docs, questions, 3, max_broadcast_terms=0)) == broadcast
 
 
+def test_retrieval_by_bounds_equals_joins(spark):
+    """Many ties, words of very different frequency, repeated questions and documents, odd rows."""
+    rng = np.random.default_rng(12)
+    word = lambda: f"w{int(rng.zipf(1.4)) % 300}"
+    docs = [(i, " ".join(word() for _ in range(int(rng.integers(1, 40))))) for i in range(600)] + [(5, "w1 w2"), (None, "w3 w4"), (700, None), (701, "")]
+    asked = [(i, " ".join(word() for _ in range(int(rng.integers(1, 12))))) for i in range(40)] + [(3, "w1 w1"), (90, None), (91, "zebra")]
+    docs = spark.createDataFrame(docs, "doc_id int, text string").repartition(5)
+    asked = spark.createDataFrame(asked, "question_id int, text string")
+    for k in (1, 7):
+        assert rows(X.retrieve_documents(docs, asked, k)) == rows(X.retrieve_documents(docs, asked, k, max_broadcast_terms=0))
+    assert X.retrieve_documents(docs.limit(0), asked).count() == 0 and X.retrieve_documents(docs, asked.limit(0)).count() == 0
+
+
 def test_rouge_identity_and_empty(spark):
     df = spark.createDataFrame([(1, "a b c", "a b c"), (2, "", "x"), (3, "a b a", "b a b")], "id int, t string, p string")
     one = {r["id"]: r for r in X.rouge_n(df, "id", "t", "p", 1).collect()}
@@ -267,3 +337,17 @@ def test_default_probes_find_nine_of_ten_neighbours(spark):
     near = {i: set(np.argsort(((vectors - vectors[i]) ** 2).sum(axis=1))[:10].tolist()) for i in range(100)}
     recall = sum(r["id"] in near[r["query"]] for r in found) / 1000
     assert recall >= 0.9, recall
+
+
+def test_the_calibrated_share_falls_as_the_table_grows(spark, tmp_path):
+    """Defaults at two sizes: 0.9 of the neighbours are found, and the larger index is searched in a smaller part."""
+    shares = []
+    for n in (1500, 6000):
+        base = clustered(spark, n)
+        vectors = np.array([r["embedding"] for r in base.orderBy("vec_id").collect()])
+        K.build_index(base, str(tmp_path / f"i{n}"))
+        found = K.search_index(spark, str(tmp_path / f"i{n}"), base.filter("vec_id % 50 = 1"), 10).collect()
+        near = {i: set(np.argsort(((vectors - vectors[i]) ** 2).sum(axis=1))[:10].tolist()) for i in range(1, n, 50)}
+        assert len(found) == 10 * len(near) and sum(r["id"] in near[r["query"]] for r in found) >= 0.9 * len(found)
+        shares.append(K.index_share(spark, str(tmp_path / f"i{n}")))
+    assert shares[1] < shares[0] <= 0.25
