@@ -38,10 +38,10 @@ def made(n, seed=1, keys=40):
 def test_fifty_batches(spark, tmp_path):
     batches, at = made(50), str(tmp_path)
     feed(spark, f"{at}/src", batches)
-    run(spark, f"{at}/src", f"{at}/table", f"{at}/state", fanout=4)
+    run(spark, f"{at}/src", f"{at}/table", f"{at}/state", fanout=8)
     log = sync.Log(spark, f"{at}/table")
     entries = log.read().entries
-    assert sum(e["batch"] for e in entries) == 50 % 4 and 1 <= sum(not e["batch"] for e in entries) <= 2
+    assert sum(e["batch"] for e in entries) == 50 % 8 and 1 <= sum(not e["batch"] for e in entries) <= 2
     assert rows(latest_rows(spark, f"{at}/table", "key", "t")) == best(batches)
     level = next(e["folder"] for e in entries if not e["batch"])
     keys = [r["key"] for r in spark.read.parquet(f"{at}/table/{level}").collect()]
@@ -50,7 +50,7 @@ def test_fifty_batches(spark, tmp_path):
     assert latest_rows(spark, f"{at}/table", "key", "t", version=old).count() > 0
     gone = vacuum(spark, f"{at}/table", min_age=0)
     assert len(gone) > 40 and rows(latest_rows(spark, f"{at}/table", "key", "t")) == best(batches)
-    assert vacuum(spark, f"{at}/table", min_age=0) == [] and log.versions()[-1] == 62
+    assert vacuum(spark, f"{at}/table", min_age=0) == [] and log.versions()[-1] == 56
     assert rows(compact(spark, f"{at}/table", "key", "t")) == best(batches) and len(log.read().entries) == 1
 
 

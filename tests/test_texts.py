@@ -52,8 +52,7 @@ def test_knn_equals_brute_force(vectors, metric, cost):
     assert rows(found.select("query", "id", "rank")) == brute(vectors, queries, 7, cost)
 
 
-@pytest.mark.parametrize("metric", ["l2", "dot", "cosine"])
-@pytest.mark.parametrize("cells", [2, 7, 40])
+@pytest.mark.parametrize("metric, cells", [("l2", 7), ("l2", 40), ("dot", 7), ("cosine", 12)])
 def test_knn_does_not_depend_on_the_cells(vectors, metric, cells):
     queries = vectors.filter("vec_id % 40 = 0")
     assert rows(K.knn_exact(vectors, queries, 5, metric, cells=cells)) == rows(K.knn_exact(vectors, queries, 5, metric))
@@ -75,7 +74,7 @@ def clustered(spark, n, seed=2):
 def test_the_share_of_rows_met_falls(spark):
     """What a query is measured against, at two sizes: a small and falling share of the base."""
     shares = []
-    for n, cells in ((1000, 30), (4000, 120)):
+    for n, cells in ((600, 30), (2400, 120)):
         base = clustered(spark, n)
         met = K.rows_met(base, base.filter("vec_id % 50 = 0"), 5, cells=cells).collect()
         assert len(met) == n // 50 and max(r["cells"] for r in met) < cells
@@ -90,9 +89,9 @@ def test_knn_of_odd_vectors(spark):
         "vec_id int, embedding array<double>",
     )
     for metric in ("l2", "dot", "cosine"):
-        for k in (1, 3, 20):
-            found = [rows(K.knn_exact(base, base, k, metric, cells=c)) for c in (1, 3, 6)]
-            assert found[0] == found[1] == found[2] and len(found[0]) == 6 * min(k, 6)
+        for k, cells in ((1, 6), (20, 3)):
+            found = [rows(K.knn_exact(base, base, k, metric, cells=c)) for c in (1, cells)]
+            assert found[0] == found[1] and len(found[0]) == 6 * min(k, 6)
     assert K.knn_exact(base.limit(0), base, 3).count() == 0 and K.knn_exact(base, base.limit(0), 3, cells=2).count() == 0
 
 
