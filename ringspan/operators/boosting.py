@@ -26,6 +26,8 @@ from .features import FittedTransform
 
 #: Rounds after which the running scores are stored, so that what a lost executor held is not recomputed from the start.
 STORED_ROUNDS = 10
+#: Rows that are worth a partition of their own.
+PARTITION_ROWS = 20_000
 
 
 @dataclass
@@ -175,13 +177,14 @@ def _binned(rows: DataFrame, label: str, features: Sequence[str], max_bins: int)
         F.col(f"`{label}`").alias("label"), F.col("_held_out").alias("held"), F.xxhash64(*columns, F.col(f"`{label}`")).alias("key"),
         *[c.alias(f"x{i}") for i, c in enumerate(columns)],
     )
-    spread = rows.repartition(partitions_for(rows))
+    # A partition sends its histograms in every pass, which few rows are not worth.
+    spread = rows.repartition(min(partitions_for(rows), rows.count() // PARTITION_ROWS + 1))
     return cuts, store(spread.mapInPandas(place, "label double, codes binary, held boolean, key long"), "binned-rows")
 
 
 def _histograms(batches, trees, wanted, chosen, kind, bins, sampled):
-    """(tree, node, feature, histogram) of a partition's rows: gradients, second derivatives, rows per bin."""
-    total: dict[tuple[int, int, int], np.ndarray] = {}
+    """(tree, node, sums) of a partition's rows: gradients, second derivatives and rows per chosen feature and bin."""
+    total: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
         keep = sampled(np.ascontiguousarray(batch["key"].to_numpy()))
         batch = batch[keep]
@@ -196,16 +199,16 @@ def _histograms(batches, trees, wanted, chosen, kind, bins, sampled):
             slot = np.full(len(tree.feature), -1)
             slot[wanted[k]] = np.arange(len(wanted[k]))
             rows = np.flatnonzero(slot[at] >= 0)
-            base = slot[at[rows]] * bins
-            for f in chosen[k]:
+            base, size = slot[at[rows]] * bins, len(wanted[k]) * bins
+            sums = np.empty((len(wanted[k]), len(chosen[k]), bins, 3))
+            for i, f in enumerate(chosen[k]):
                 index = base + codes[rows, f]
-                size = len(wanted[k]) * bins
-                sums = np.stack([np.bincount(index, w, size) for w in (g[rows, k], h[rows, k], np.ones(len(rows)))], 1).reshape(-1, bins, 3)
-                for node, one in zip(wanted[k], sums, strict=True):
-                    key = (k, node, f)
-                    total[key] = total[key] + one if key in total else one
+                for j, w in enumerate((g[rows, k], h[rows, k], None)):
+                    sums[:, i, :, j] = np.bincount(index, w, size).reshape(-1, bins)
+            for node, one in zip(wanted[k], sums, strict=True):
+                total[k, node] = total[k, node] + one if (k, node) in total else one
     if total:
-        yield pd.DataFrame([(*key, one.ravel()) for key, one in total.items()], columns=["tree", "node", "feature", "sums"])
+        yield pd.DataFrame([(*key, one.ravel()) for key, one in total.items()], columns=["tree", "node", "sums"])
 
 
 def _sampler(share: float, seed: int, n: int):
@@ -223,19 +226,21 @@ def _sampler(share: float, seed: int, n: int):
 def _splits(state: DataFrame, trees, wanted, chosen, kind, bins, sampled, l1, l2, min_rows) -> dict:
     """{(tree, node): (gain, feature, bin, left, all)}: one row per open node comes back."""
     trees = [Tree(**vars(t)) for t in trees]
-    parts = state.mapInPandas(lambda b: _histograms(b, trees, wanted, chosen, kind, bins, sampled), "tree int, node int, feature int, sums array<double>")
-    summed = parts.groupBy("tree", "node", "feature").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
-
-    @F.pandas_udf("gain double, bin int, part array<double>, total array<double>")
-    def best(sums: pd.Series) -> pd.DataFrame:
-        rows = [best_bin(np.asarray(s).reshape(-1, 3), l1, l2, min_rows) for s in sums]
-        return pd.DataFrame({"gain": [r[0] for r in rows], "bin": [r[1] for r in rows], "part": [r[2] for r in rows], "total": [r[3] for r in rows]})
-
-    judged = summed.withColumn("best", best("sums"))
-    order = F.struct(F.round("best.gain", 9), -F.col("feature"))
-    found = judged.groupBy("tree", "node").agg(F.max_by(F.struct("feature", "best"), order).alias("b"))
+    parts = state.mapInPandas(lambda b: _histograms(b, trees, wanted, chosen, kind, bins, sampled), "tree int, node int, sums array<double>")
+    summed = parts.groupBy("tree", "node").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
+
+    @F.pandas_udf("gain double, feature int, bin int, part array<double>, total array<double>")
+    def best(tree: pd.Series, sums: pd.Series) -> pd.DataFrame:
+        rows = []
+        for k, one in zip(tree, sums, strict=True):
+            found = [best_bin(x, l1, l2, min_rows) for x in np.asarray(one).reshape(len(chosen[k]), bins, 3)]
+            i = int(np.round([f[0] for f in found], 9).argmax())
+            rows.append((found[i][0], chosen[k][i], *found[i][1:]))
+        return pd.DataFrame(rows, columns=["gain", "feature", "bin", "part", "total"])
+
+    found = summed.select("tree", "node", best("tree", "sums").alias("b"))
     return {
-        (r["tree"], r["node"]): (r["b"]["best"]["gain"], r["b"]["feature"], r["b"]["best"]["bin"], np.array(r["b"]["best"]["part"]), np.array(r["b"]["best"]["total"]))
+        (r["tree"], r["node"]): (r["b"]["gain"], r["b"]["feature"], r["b"]["bin"], np.array(r["b"]["part"]), np.array(r["b"]["total"]))
         for r in found.collect()
     }
 
