@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Literal rows up to which they are broadcast to what they are joined with.
+BROADCAST_ROWS = 10_000
+
 # The declared call-record schema. Numbers are text, so leading zeros survive.
 CALL_SCHEMA = T.StructType(
     [
@@ -141,4 +144,8 @@ def describe_schema(df: DataFrame) -> DataFrame:
 
 
 def inline_rows(spark: SparkSession, rows: Iterable[tuple], schema: str | T.StructType) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
+    """Literal rows. Few of them are marked as the side to broadcast: Spark does not know their size, and would rather
+    broadcast a table it does know."""
+    rows = list(rows)
+    found = spark.createDataFrame(rows, schema)
+    return F.broadcast(found) if len(rows) <= BROADCAST_ROWS else found
