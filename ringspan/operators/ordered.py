@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import hash_uniform
-from .ranges import SALTS, Ranges, total
+from .ranges import SALTS, Ranges, row_bytes, total
 
 # Spark limits each partition before the shuffle when the rank bound stays below this setting's default.
 GROUP_LIMIT = 1000
@@ -26,26 +26,12 @@ SMALL_ROWS = 10_000
 SMALL_BYTES = 8 << 20
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    """About how many bytes a row takes: the length of texts and of what nests them, 8 for anything else."""
-
-    def size(f: T.StructField) -> Column:
-        column = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            return F.coalesce(F.octet_length(column), F.lit(0))
-        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
-        return F.lit(8)
-
-    return reduce(lambda a, b: a + b, [size(f) for f in df.schema.fields], F.lit(0).cast("bigint"))
-
-
 def is_small(df: DataFrame, rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> bool:
     """Whether a frame has at most ``rows`` rows and ``max_bytes`` bytes; no more rows than that are looked at.
 
     Give a stored frame: one that takes long to compute would be computed here too.
     """
-    found = df.limit(rows + 1).select(_row_bytes(df).alias("n")).agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("bytes")).first()
+    found = df.limit(rows + 1).select(row_bytes(df).alias("n")).agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("bytes")).first()
     return found["rows"] <= rows and (found["bytes"] or 0) <= max_bytes
 
 

@@ -68,6 +68,20 @@ def _ascending(df: DataFrame, order: Column) -> list[Column]:
     return [flag, F.bitwise_not(x.cast("bigint")) if down else x.cast("bigint")]
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: the length of texts and of what nests them, 8 for anything else."""
+
+    def size(f: T.StructField) -> Column:
+        column = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(column), F.lit(0))
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        return F.lit(8)
+
+    return reduce(lambda a, b: a + b, [size(f) for f in df.schema.fields], F.lit(0).cast("bigint"))
+
+
 class Ranges:
     """Bounds of the (group, order) keys of a frame, with the totals of ``value`` before and upto every bound.
 
@@ -89,8 +103,14 @@ class Ranges:
         self.upto, self.total_type = self._totals(df) if self.bounds else ([], None)
 
     def _bounds(self, df: DataFrame) -> tuple[list[tuple], list[T.DataType]]:
-        rows = df.count()
-        ranges = min(partitions_for(df), rows // self.rows_per_range + size_of(df) // BYTES_PER_RANGE + 1)
+        size, parts = size_of(df), partitions_for(df)
+        if size:
+            rows = df.count()
+        else:
+            # The optimizer knows no size where any part of the frame was made row by row: few rows may be large.
+            rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
+            parts = max(parts, -(-size // BYTES_PER_RANGE))
+        ranges = min(parts, rows // self.rows_per_range + size // BYTES_PER_RANGE + 1)
         if rows == 0 or ranges < 2:
             return [], []
         wanted = min(ranges * SAMPLES_PER_RANGE, MOST_SAMPLES)

@@ -22,3 +22,12 @@ def test_inline_rows_are_the_side_that_is_broadcast(spark, sf):
     assert "BroadcastHashJoin" in executed(joined) and "BuildRight" in executed(joined) and "BuildLeft" not in executed(joined)
     assert joined.count() == lines.filter("l_returnflag in ('R', 'A')").count()
     assert R.inline_rows(spark, [], "a int").collect() == []
+
+
+@pytest.mark.parametrize("rows", [0, 1, 60])
+def test_few_large_rows_of_unknown_size_are_parted(spark, monkeypatch, rows):
+    monkeypatch.setattr(ranges, "BYTES_PER_RANGE", 5000)
+    df = spark.createDataFrame([(i, "w" * 1000) for i in range(rows)], "id int, t string")
+    assert (len(ranges.Ranges(df, F.lit(1), [], [F.col("id")]).bounds) > 2) == (rows == 60)
+    chunks = A.string_agg(df, F.col("t"), "", ["id"], max_chars=2500).orderBy("chunk").collect()
+    assert "".join(c["text"] for c in chunks) == "w" * (1000 * rows)
