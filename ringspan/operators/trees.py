@@ -26,6 +26,10 @@ from .columns import select_features
 from .features import FeatureTransform, FittedTransform, pass_through
 
 
+#: Numbers that are worth a partition of their own; Spark's trees cache some 34 bytes for each.
+PARTITION_VALUES = 4_000_000
+
+
 @dataclass
 class TreeModel:
     """A fitted transform with one or more boosted models over its outputs; predictions are their mean."""
@@ -67,6 +71,15 @@ def _prepared(df: DataFrame, label: str, transform) -> tuple[FittedTransform, li
     return fitted, features, rows.withColumn(label, F.col(label).cast("double"))
 
 
+def _dealt(rows: DataFrame, values: int) -> DataFrame:
+    """Rows of ``values`` numbers each in as many partitions as they are worth, if the scan gave fewer.
+
+    A split of a dense file holds many rows, and every pass over the trees' cached rows reads each partition in one task.
+    """
+    wanted = -(-rows.count() * values // PARTITION_VALUES)
+    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
+
+
 def fit_boosted_tree_regressor(
     df: DataFrame, label: str, transform: FeatureTransform | FittedTransform, max_iter: int = 20, max_depth: int = 5,
     learn_rate: float = 0.3, subsample: float = 0.85, early_stop: bool = True, min_rel_progress: float = 0.01,
@@ -90,7 +103,7 @@ def fit_boosted_tree_regressor(
             max_bins=max_bins, early_stop=early_stop, min_rel_progress=min_rel_progress, track_history=track_history, seed=seed,
         )
     assembler = VectorAssembler(inputCols=features, outputCol="_features")
-    rows = assembler.transform(rows).select("_features", label, "_held_out").persist()
+    rows = _dealt(assembler.transform(rows).select("_features", label, "_held_out"), len(features)).persist()
     models, history = [], []
     try:
         for i in range(num_parallel_tree):
@@ -137,7 +150,7 @@ def fit_one_vs_rest_trees(
         featureSubsetStrategy=str(feature_fraction), seed=seed,
     )
     many = OneVsRest(classifier=gbt, featuresCol="_features", labelCol=label, predictionCol="_prediction", parallelism=parallelism)
-    rows = assembler.transform(rows).select("_features", label).persist()
+    rows = _dealt(assembler.transform(rows).select("_features", label), len(names)).persist()
     try:
         model = many.fit(rows)
     finally:

@@ -31,3 +31,15 @@ def test_few_large_rows_of_unknown_size_are_parted(spark, monkeypatch, rows):
     assert (len(ranges.Ranges(df, F.lit(1), [], [F.col("id")]).bounds) > 2) == (rows == 60)
     chunks = A.string_agg(df, F.col("t"), "", ["id"], max_chars=2500).orderBy("chunk").collect()
     assert "".join(c["text"] for c in chunks) == "w" * (1000 * rows)
+
+
+def test_rows_of_trees_are_dealt_by_their_number(spark, monkeypatch):
+    rows = spark.range(400).select((F.col("id") % 9).cast("double").alias("x"), (F.col("id") % 9 * 2.0).alias("y")).coalesce(1)
+    fit = lambda: trees.fit_boosted_tree_regressor(rows, "y", FittedTransform([pass_through("x")]), max_iter=3, learn_rate=1.0, subsample=1.0)
+    seen, dealt = [], trees._dealt
+    monkeypatch.setattr(trees, "_dealt", lambda *a: seen.append(dealt(*a)) or seen[-1])
+    before = {r["x"]: r["predicted_y"] for r in trees.predict(fit(), rows).collect()}
+    monkeypatch.setattr(trees, "PARTITION_VALUES", 100)
+    after = {r["x"]: r["predicted_y"] for r in trees.predict(fit(), rows).collect()}
+    assert [s.rdd.getNumPartitions() for s in seen] == [1, 4]
+    assert after == pytest.approx(before) and len(after) == 9
