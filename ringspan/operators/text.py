@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import HEADER_WORDS, hash_uniform, name_and_type, strip_emails, strip_parentheses
-from ..session import store
+from ..session import partitions_for, store
 from ..sources.readers import describe_schema
 from .aggregates import describe, string_agg
 from .joins import lookup_label
@@ -216,18 +216,23 @@ def retrieve_documents(
     Only words some question holds leave the first stage, and move once, by document. The words of all questions go
     to the tasks if they are at most ``max_broadcast_terms``: each task scores its documents against all of them and
     keeps the k best per question, passing over documents whose bound is too low, so neither rows of documents and
-    questions nor groups of a frequent word ever form. More words are joined by shuffle.
+    questions nor groups of a frequent word ever form. More words are joined with the documents' words, for which the
+    texts move once, by document.
     """
     lower = F.array_distinct(_split(F.lower(text), NOT_WORD))
     postings = questions.select(question_id, F.explode(lower).alias("term"))
     if is_small(postings, max_broadcast_terms):
         return _retrieve_blocks(docs, postings, k, doc_id, question_id, text)
-    occurrences = docs.select(doc_id, F.explode(_split(F.lower(text), NOT_WORD)).alias("term"))
+    # Texts move, not their words: a word is a row of its own, several times the size of its text.
+    texts = docs.select(doc_id, text).repartition(partitions_for(docs, 16 << 20), doc_id)
+    occurrences = texts.select(doc_id, F.explode(_split(F.lower(text), NOT_WORD)).alias("term"))
     hits = occurrences.join(postings.select("term").distinct(), "term", "left_semi")
-    tf = hits.repartition(doc_id).groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = hits.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
     total = docs.agg(F.count(F.lit(1))).scalar()
     idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", F.log(total / F.col("df")).alias("idf"))
-    scored = tf.join(postings.join(idf, "term"), "term").withColumn("_part", (1 + F.log(F.col("tf"))) * F.col("idf"))
+    # Stored, so that its size is known: while it can be broadcast, all of a document stays where its text is.
+    weights = store(postings.join(idf, "term"), "retrieval-weights")
+    scored = tf.join(weights, "term").withColumn("_part", (1 + F.log(F.col("tf"))) * F.col("idf"))
     totals = scored.groupBy(doc_id, question_id).agg(F.round(F.sum("_part"), 6).alias("score"))
     return top_k_per_group(totals, question_id, [F.desc("score"), F.asc(doc_id)], k, rank="rank")
 

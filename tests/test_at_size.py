@@ -43,3 +43,12 @@ def test_rows_of_trees_are_dealt_by_their_number(spark, monkeypatch):
     after = {r["x"]: r["predicted_y"] for r in trees.predict(fit(), rows).collect()}
     assert [s.rdd.getNumPartitions() for s in seen] == [1, 4]
     assert after == pytest.approx(before) and len(after) == 9
+
+
+def test_texts_move_to_the_shuffled_retrieval_and_not_their_words(spark):
+    docs = spark.createDataFrame([(1, "the cat sat"), (2, "the dog"), (None, "the cat")], "doc_id int, text string")
+    questions = spark.createDataFrame([(7, "the CAT?")], "question_id int, text string")
+    found = X.retrieve_documents(docs, questions, 2, max_broadcast_terms=0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    moved = next(i for i, line in enumerate(plan) if "RepartitionByExpression" in line)
+    assert any("Generate explode" in line for line in plan[:moved])
