@@ -121,8 +121,10 @@ def _in_ranges(number: Column, prefixes: Mapping[str, str]) -> Column:
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(starts).bit_length()))])
     upto = lambda n: F.aggregate(steps, F.lit(0), lambda at, step: F.when(
         (at + step <= len(starts)) & (F.get(known, at + step - 1) <= n), at + step).otherwise(at))
-    found = F.get(_text_array(["\x00" if c is None else c for c in countries]), F.get(F.transform(F.array(number), upto), 0) - 1)
-    return F.when(number.isNotNull() & (found != "\x00"), found)
+    names = _text_array(["\x00" if c is None else c for c in countries])
+    # Each step reads the element of the one before, so that the number is made and searched once. NULL is before all.
+    found = F.transform(F.transform(F.array(number), upto), lambda at: F.get(names, at - 1))
+    return F.get(F.transform(found, lambda c: F.when(c != "\x00", c)), 0)
 
 
 def _by_length(df: DataFrame, prefixes: DataFrame, digits: str, out: str) -> DataFrame:
@@ -149,9 +151,8 @@ def country_of_number(
     ``00`` in front is the international prefix and is stripped; with ``legacy`` such a number is
     read as a national one of code 1, zeros included.
     """
-    number = F.regexp_replace(F.col(col).cast("string"), r"^\+", "")
-    doubled = F.startswith(number, F.lit("00"))
-    number = F.when(doubled, F.concat(F.lit("1"), number) if legacy else F.substring(number, F.lit(3), F.length(number))).otherwise(number)
+    text = F.col(col).cast("string")
+    number = F.regexp_replace(F.regexp_replace(text, r"^\+", ""), "^00", "100") if legacy else F.regexp_replace(text, r"^\+?(?:00)?", "")
     prefixes = calling_codes() if prefixes is None else prefixes
     if isinstance(prefixes, DataFrame):
         if not is_small(prefixes):

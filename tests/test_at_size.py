@@ -52,3 +52,18 @@ def test_texts_move_to_the_shuffled_retrieval_and_not_their_words(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
     moved = next(i for i, line in enumerate(plan) if "RepartitionByExpression" in line)
     assert any("Generate explode" in line for line in plan[:moved])
+
+
+@pytest.mark.parametrize("legacy", [False, True])
+def test_a_number_is_searched_once(spark, legacy):
+    numbers = ["0014155", "+0014155", "++14155", "000", "00", "+", "0", "14155", None, "1\n00"]
+    df = spark.createDataFrame([(n,) for n in numbers], "n string")
+    found = J.country_of_number(df, "n", {"1": "A", "14": "B", "0": "Z", "100": "L"}, legacy=legacy)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+
+    def country(n):
+        n = n.removeprefix("+")
+        n = ("1" + n if legacy else n[2:]) if n.startswith("00") else n
+        return next((c for p, c in (("100", "L"), ("14", "B"), ("1", "A"), ("0", "Z")) if n.startswith(p)), None)
+
+    assert {r["n"]: r["country"] for r in found.collect()} == {n: n and country(n) for n in numbers}
