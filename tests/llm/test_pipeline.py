@@ -84,7 +84,7 @@ def test_everything_left_is_packed(stages):
 
 def test_registered(spark, stages):
     found = entry_points.queries()
-    assert "pipeline" in found and sum(n.startswith("op") and n[2:3].isdigit() for n in found) == 10
+    assert "pipeline" in found and sum(n.startswith("op") and n[2:3].isdigit() for n in found) == 13
     assert found["pipeline"](spark, SMALL).count() == stages[5].count()
 
 
