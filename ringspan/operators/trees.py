@@ -24,6 +24,7 @@ from ..sources.writers import write_jsonl
 from .boosting import BoostedModel, fit_boosted, nodes_of, score
 from .columns import select_features
 from .features import FeatureTransform, FittedTransform, pass_through
+from .gradient import fit_gradient_boosted
 
 
 #: Numbers that are worth a partition of their own; Spark's trees cache some 34 bytes for each.
@@ -71,12 +72,12 @@ def _prepared(df: DataFrame, label: str, transform) -> tuple[FittedTransform, li
     return fitted, features, rows.withColumn(label, F.col(label).cast("double"))
 
 
-def _dealt(rows: DataFrame, values: int) -> DataFrame:
-    """Rows of ``values`` numbers each in as many partitions as they are worth, if the scan gave fewer.
+def _dealt(rows: DataFrame, values: int, count: int | None = None) -> DataFrame:
+    """Rows (blocks of ``count`` rows) of ``values`` numbers each in as many partitions as they are worth, if the scan gave fewer.
 
-    A split of a dense file holds many rows, and every pass over the trees' cached rows reads each partition in one task.
+    A split of a dense file holds many rows, and every pass over the trees' rows reads each partition in one task.
     """
-    wanted = -(-rows.count() * values // PARTITION_VALUES)
+    wanted = -(-(rows.count() if count is None else count) * values // PARTITION_VALUES)
     return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
 
 
@@ -89,7 +90,7 @@ def fit_boosted_tree_regressor(
     """Boosted regression trees over a feature transform, with a held-out part chosen by row content.
 
     Without ``early_stop`` all ``max_iter`` trees are fitted, still on the rows not held out. ``track_history`` measures
-    the loss of every iteration on both parts, which takes two more passes over the rows.
+    the loss of every iteration on both parts, in the passes that grow the trees.
     ``num_parallel_tree`` fits that many models with different row samples and averages them. Trees of
     Spark ML know no l1 or l2 penalty: with one of them the trees of ``boosting`` are fitted, one model of them.
     """
@@ -103,23 +104,19 @@ def fit_boosted_tree_regressor(
             max_bins=max_bins, early_stop=early_stop, min_rel_progress=min_rel_progress, track_history=track_history, seed=seed,
         )
     assembler = VectorAssembler(inputCols=features, outputCol="_features")
-    rows = _dealt(assembler.transform(rows).select("_features", label, "_held_out"), len(features)).persist()
+    rows = rows.select(*[f"`{c}`" for c in features], f"`{label}`", "_held_out")
     models, history = [], []
-    try:
-        for i in range(num_parallel_tree):
-            stop = {"validationIndicatorCol": "_held_out", "validationTol": min_rel_progress} if early_stop else {}
-            gbt = GBTRegressor(
-                featuresCol="_features", labelCol=label, predictionCol="_prediction", maxIter=max_iter,
-                maxDepth=max_depth, stepSize=learn_rate, subsamplingRate=subsample, maxBins=max_bins, seed=seed + i, **stop,
-            )
-            model = gbt.fit(rows if early_stop else rows.filter(~F.col("_held_out")))
-            models.append(PipelineModel([assembler, model]))
-            if i == 0 and track_history:
-                sides = [rows.filter(~F.col("_held_out")), rows.filter("_held_out")]
-                losses = [model.evaluateEachIteration(side, "squared") for side in sides]
-                history = [{"iteration": n, "loss": a, "eval_loss": b} for n, (a, b) in enumerate(zip(*losses), 1)]
-    finally:
-        rows.unpersist()
+    for i in range(num_parallel_tree):
+        stop = {"validationIndicatorCol": "_held_out", "validationTol": min_rel_progress} if early_stop else {}
+        gbt = GBTRegressor(
+            featuresCol="_features", labelCol=label, predictionCol="_prediction", maxIter=max_iter,
+            maxDepth=max_depth, stepSize=learn_rate, subsamplingRate=subsample, maxBins=max_bins, seed=seed + i, **stop,
+        )
+        model, losses = fit_gradient_boosted(
+            gbt, rows, lambda blocks, n: _dealt(blocks, len(features), n), early_stop, track_history and i == 0
+        )
+        models.append(PipelineModel([assembler, model]))
+        history += losses
     return TreeModel(label, features, fitted, models, "regressor", history)
 
 
