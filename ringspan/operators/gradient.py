@@ -40,6 +40,8 @@ _BLOCK = pa.schema([("block", pa.int64()), ("held", pa.bool_()), ("codes", pa.bi
 _BLOCK_DDL = "block long, held boolean, codes binary, residual binary, sums array<double>"
 _SUMS = pa.schema([("node", pa.int32()), ("sums", pa.list_(pa.float64()))])
 _SUMS_DDL = "node int, sums array<double>"
+_SURVEY = pa.schema([("drawn", pa.float64()), ("held", pa.bool_()), ("n", pa.int64()), ("total", pa.float64()), ("x", pa.list_(pa.float64()))])
+_SURVEY_DDL = "drawn double, held boolean, n long, total double, x array<double>"
 
 
 class Grown:
@@ -157,18 +159,17 @@ class _Next:
         return losses, sums[4:n], _counted(sums[n:], self.features, self.bins)
 
 
-def _binned(rows: DataFrame, label: str, cuts: list[list[float]], shift: float, dtype: str, made: Callable[[], _Next]) -> DataFrame:
-    """The blocks of rows (features, label, held), with the label less ``shift`` as residual, and a row of sums a task."""
+def _binned(rows: DataFrame, label: str, cuts: list[list[float]], shift: float, dtype: str) -> DataFrame:
+    """The blocks of rows (features, label, held), with the label less ``shift`` as residual."""
     features = len(cuts)
     size = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (features * np.dtype(dtype).itemsize)))
 
-    def block(parts: list[tuple[np.ndarray, np.ndarray]], number: int, held: bool, sums: _Next) -> pa.RecordBatch:
+    def block(parts: list[tuple[np.ndarray, np.ndarray]], number: int, held: bool) -> pa.RecordBatch:
         codes, residual = np.concatenate([p[0] for p in parts], 1), np.concatenate([p[1] for p in parts])
-        sums.root(number, held, codes, residual)
         return _row(number, held, codes.tobytes(), residual.tobytes())
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, number = made(), TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 32
         waiting: dict[bool, list] = {False: [], True: []}
         for batch in batches:
             x = [batch.column(i).to_numpy() for i in range(features + 1)]
@@ -182,16 +183,14 @@ def _binned(rows: DataFrame, label: str, cuts: list[list[float]], shift: float,
                     here = some[at : at + size]
                     waiting[held].append((codes[:, here], x[-1][here] - shift))
                     if sum(len(p[1]) for p in waiting[held]) >= size:
-                        yield block(waiting[held], number, held, sums)
+                        yield block(waiting[held], number, held)
                         waiting[held], number = [], number + 1
         for held, parts in waiting.items():
             if parts:
-                yield block(parts, number, held, sums)
+                yield block(parts, number, held)
                 number += 1
-        yield _row(sums=sums.sums)
 
-    columns = [F.col(f"`{c}`").cast("double") for c in rows.columns if c != "_held_out" and c != label]
-    return rows.select(*columns, F.col(f"`{label}`"), "_held_out").mapInArrow(place, _BLOCK_DDL)
+    return _numbers(rows, label).mapInArrow(place, _BLOCK_DDL)
 
 
 def _counted(histogram: np.ndarray, features: int, bins: int) -> np.ndarray:
@@ -234,7 +233,8 @@ def best_split(histogram: np.ndarray, features: int, bins: int) -> tuple[float,
     gain = np.where((left_n > 0) & (left_n < n), gain, -1.0)
     if not gain.size:
         return None
-    f, b = np.unravel_index(int(gain.argmax()), gain.shape)
+    # Splits that part the rows alike differ by rounding; the first of them stands for all.
+    f, b = np.unravel_index(int((gain >= gain.max() * (1 - ROUNDING)).argmax()), gain.shape)
     if gain[f, b] <= ROUNDING * max(squares, 0.0):
         return None
     return float(gain[f, b] / n), int(f), int(b), np.array([left_n[f, b], left[f, b]])
@@ -295,53 +295,105 @@ def _java_tree(spark: SparkSession, tree: Grown, cuts: list[list[float]], factor
     return jvm.ml.regression.DecisionTreeRegressionModel(f"{uid}_tree", made(0)[0], len(cuts))
 
 
+def _surveyed(rows: DataFrame, label: str, asked: int, seed: int) -> tuple[dict[bool, tuple[int, float]], np.ndarray]:
+    """({held: (rows, sum of labels)}, features of ``asked`` rows not held) of rows (features, label, held), in one pass.
+
+    Every row draws a number; a task keeps the rows of the ``asked`` smallest, and so does the whole.
+    """
+    spark, features = rows.sparkSession, len(rows.columns) - 2
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.Generator(np.random.SFC64([seed & 0xFFFFFFFF, TaskContext.get().partitionId()]))
+        keys, kept, limit = np.empty(0), np.empty((0, features)), 1.0
+        about = {False: [0, 0.0], True: [0, 0.0]}
+        for batch in batches:
+            x, held = [batch.column(i).to_numpy() for i in range(features + 1)], batch.column(features + 1).to_numpy(zero_copy_only=False)
+            for side, here in ((False, ~held), (True, held)):
+                about[side][0] += int(here.sum())
+                about[side][1] += float(x[-1][here].sum())
+            drawn = rng.random(len(held))
+            some = np.flatnonzero((drawn < limit) & ~held)
+            keys, kept = np.concatenate([keys, drawn[some]]), np.concatenate([kept, np.stack([c[some] for c in x[:-1]], 1)])
+            if len(keys) > 2 * asked:
+                few = np.argpartition(keys, asked)[:asked]
+                keys, kept = keys[few], kept[few]
+                limit = keys.max()
+        few = np.argsort(keys)[:asked]
+        counts = [(side, n, total) for side, (n, total) in about.items() if n]
+        held, n, total = zip(*counts, strict=True) if counts else ((), (), ())
+        none, m = [None] * len(few), len(counts)
+        columns = ([None] * m + keys[few].tolist(), [*held, *none], [*n, *none], [*total, *none], [None] * m + list(kept[few]))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SURVEY, strict=True)], schema=_SURVEY)
+
+    path = scratch_path(spark, "boosting-survey")
+    _numbers(rows, label).mapInArrow(seen, _SURVEY_DDL).write.parquet(path)
+    found = spark.read.schema(_SURVEY_DDL).parquet(path)
+    about = found.filter("n is not null").groupBy("held").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect()
+    some = found.filter("drawn is not null").orderBy("drawn").limit(asked).select("x").collect()
+    discard(spark, path)
+    return {r["held"]: (r["n"], r["total"]) for r in about}, np.array([r["x"] for r in some]).reshape(-1, features)
+
+
+def _numbers(rows: DataFrame, label: str) -> DataFrame:
+    columns = [F.col(f"`{c}`").cast("double") for c in rows.columns if c not in ("_held_out", label)]
+    return rows.select(*columns, F.col(f"`{label}`"), "_held_out")
+
+
 def fit_gradient_boosted(
-    gbt: GBTRegressor, rows: DataFrame, dealt: Callable[[DataFrame, int], DataFrame], early_stop: bool, track_history: bool
-) -> tuple[GBTRegressionModel, list[dict]]:
-    """(model, history) of ``gbt`` over rows (features, label, ``_held_out``); ``dealt`` parts blocks by the number of rows.
+    boosters: Sequence[GBTRegressor], rows: DataFrame, dealt: Callable[[DataFrame, int], DataFrame], early_stop: bool, track_history: bool
+) -> list[tuple[GBTRegressionModel, list[dict]]]:
+    """(model, history) of each of ``boosters``, which differ in their seeds, over rows (features, label, ``_held_out``).
 
-    Without ``early_stop`` and ``track_history`` the rows held out are not read.
+    They share the bins; ``dealt`` parts blocks by the number of rows. ``track_history`` is of the first. Without it and
+    ``early_stop`` the rows held out are not read.
     """
-    gbt._transfer_params_to_java()  # checks them
-    spark, label = rows.sparkSession, gbt.getLabelCol()
-    share, seed, depth, rate = gbt.getSubsamplingRate(), gbt.getSeed(), gbt.getMaxDepth(), gbt.getStepSize()
-    features = len(rows.columns) - 2
+    for gbt in boosters:
+        gbt._transfer_params_to_java()  # checks them
+    gbt = boosters[0]
+    spark, label, features = rows.sparkSession, gbt.getLabelCol(), len(rows.columns) - 2
     watched = early_stop or track_history
     if not watched:
         rows = rows.filter(~F.col("_held_out"))
-    about = {r["_held_out"]: r for r in rows.groupBy("_held_out").agg(F.count(F.lit(1)).alias("n"), F.avg(label).alias("mean")).collect()}
+    asked = max(gbt.getMaxBins() ** 2, 10_000)
+    about, values = _surveyed(rows, label, asked, gbt.getSeed())
     if False not in about:
         raise ValueError("no rows to train on")
     if watched and True not in about:
         raise ValueError("no rows are held out to measure on")
     if not gbt.getMaxIter():
         raise ValueError("max_iter is 1 or more")
-    trained, shift = about[False]["n"], float(about[False]["mean"])
+    trained, shift = about[False][0], about[False][1] / about[False][0]
     bins = min(gbt.getMaxBins(), trained)
-    asked = max(bins * bins, 10_000)
-    some = rows.filter(~F.col("_held_out")).drop("_held_out", label)
-    some = some.sample(asked / trained, seed) if asked < trained else some
-    values = some.select(*[F.col(f"`{c}`").cast("double") for c in some.columns]).toPandas().to_numpy("float64")  # about ``asked`` rows
     cuts = [candidate_thresholds(column, bins - 1) for column in values.T]
     bins = max(2, *(len(c) + 1 for c in cuts))
-    dtype = "uint8" if bins <= 256 else "uint16" if bins <= 1 << 16 else "uint32"
+    layout = features, "uint8" if bins <= 256 else "uint16" if bins <= 1 << 16 else "uint32", bins
+    start = _binned(rows, label, cuts, shift, layout[1])
+    path = scratch_path(spark, "boosting-blocks")
+    dealt(start, sum(n for n, _ in about.values())).write.options(**LAYOUT).parquet(path)
+    blocks = spark.read.schema(_BLOCK_DDL).parquet(path)
+    try:
+        return [_fitted(gbt, blocks, cuts, shift, layout, early_stop, track_history and not i) for i, gbt in enumerate(boosters)]
+    finally:
+        discard(spark, path)
+
+
+def _fitted(
+    gbt: GBTRegressor, state: DataFrame, cuts: list[list[float]], shift: float, layout: tuple[int, str, int], early_stop: bool, track_history: bool
+) -> tuple[GBTRegressionModel, list[dict]]:
+    """(model, history) of one booster over blocks."""
+    spark, (features, dtype, bins) = state.sparkSession, layout
+    share, seed, depth, rate = gbt.getSubsamplingRate(), gbt.getSeed(), gbt.getMaxDepth(), gbt.getStepSize()
 
     def step(leaves: Sequence[int], tree: int) -> _Next:
         return _Next(leaves, features, bins, share, seed, tree)
 
-    def write(frame: DataFrame) -> tuple[DataFrame, str]:
-        path = scratch_path(spark, "boosting-blocks")
-        frame.write.options(**LAYOUT).parquet(path)
-        return spark.read.schema(_BLOCK_DDL).parquet(path), path
-
-    start = _binned(rows, label, cuts, shift, dtype, lambda: step((), 0))
-    state, path = write(dealt(start, sum(r["n"] for r in about.values())))
-    _, _, root = step((), 0).read(_total(state.filter("sums is not null").select("sums")))
-    java, weights, history, best = [], [], [], (np.inf, 0)
+    java, weights, history, best, path, root = [], [], [], (np.inf, 0), None, None
     try:
         for n in range(gbt.getMaxIter()):
             sampled = lambda block, size, n=n: _sampled(share, seed, n, block, size)
-            summed = lambda tree, nodes, sampled=sampled: _histograms(state, tree, nodes, features, dtype, bins, sampled)
+            summed = lambda tree, nodes, state=state, sampled=sampled: _histograms(state, tree, nodes, features, dtype, bins, sampled)
+            if root is None:
+                root = summed(Grown(), [0])[0]
             tree = _grown(root, summed, depth, features, bins)
             # The first tree is fitted to the label with weight 1, further ones to twice the residual.
             factor, weight = (2.0, rate) if n else (1.0, 1.0)
@@ -368,14 +420,14 @@ def fit_gradient_boosted(
                 yield _row(sums=sums.sums)
 
             grown = state.filter("block is not null").mapInArrow(further, _BLOCK_DDL)
-            if last:
-                found = _total(grown.select("sums"))
-            else:
-                new, new_path = write(grown)
-                discard(spark, path)
-                state, path = new, new_path
-                found = _total(state.filter("sums is not null").select("sums"))
-            (loss, held_loss), squares, root = step(leaves, n + 1).read(found)
+            if not last:
+                new_path = scratch_path(spark, "boosting-blocks")
+                grown.write.options(**LAYOUT).parquet(new_path)
+                if path:
+                    discard(spark, path)
+                state, path = spark.read.schema(_BLOCK_DDL).parquet(new_path), new_path
+                grown = state.filter("sums is not null")
+            (loss, held_loss), squares, root = step(leaves, n + 1).read(_total(grown.select("sums")))
             for k, square in zip(leaves, squares, strict=True):
                 tree.stats[k][2] = square
             java.append(_java_tree(spark, tree, cuts, factor, 0.0 if n else shift, gbt.uid))
@@ -387,14 +439,13 @@ def fit_gradient_boosted(
                 if held_loss < best[0]:
                     best = held_loss, n + 1
     finally:
-        discard(spark, path)
+        if path:
+            discard(spark, path)
     kept = best[1] if early_stop else len(java)
-    gateway = spark.sparkContext._gateway
-    trees = gateway.new_array(spark._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, kept)
-    rates = gateway.new_array(spark._jvm.double, kept)
+    array, ml = spark.sparkContext._gateway.new_array, spark._jvm.org.apache.spark.ml.regression
+    trees, rates = array(ml.DecisionTreeRegressionModel, kept), array(spark._jvm.double, kept)
     for i in range(kept):
         trees[i], rates[i] = java[i], float(weights[i])
-    java_model = spark._jvm.org.apache.spark.ml.regression.GBTRegressionModel(gbt.uid, trees, rates, features)
-    model = gbt._copyValues(gbt._create_model(java_model))
+    model = gbt._copyValues(gbt._create_model(ml.GBTRegressionModel(gbt.uid, trees, rates, features)))
     model._transfer_params_to_java()
     return model, history[:kept] if track_history else []

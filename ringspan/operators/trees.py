@@ -105,18 +105,17 @@ def fit_boosted_tree_regressor(
         )
     assembler = VectorAssembler(inputCols=features, outputCol="_features")
     rows = rows.select(*[f"`{c}`" for c in features], f"`{label}`", "_held_out")
-    models, history = [], []
-    for i in range(num_parallel_tree):
-        stop = {"validationIndicatorCol": "_held_out", "validationTol": min_rel_progress} if early_stop else {}
-        gbt = GBTRegressor(
+    stop = {"validationIndicatorCol": "_held_out", "validationTol": min_rel_progress} if early_stop else {}
+    boosters = [
+        GBTRegressor(
             featuresCol="_features", labelCol=label, predictionCol="_prediction", maxIter=max_iter,
             maxDepth=max_depth, stepSize=learn_rate, subsamplingRate=subsample, maxBins=max_bins, seed=seed + i, **stop,
         )
-        model, losses = fit_gradient_boosted(
-            gbt, rows, lambda blocks, n: _dealt(blocks, len(features), n), early_stop, track_history and i == 0
-        )
-        models.append(PipelineModel([assembler, model]))
-        history += losses
+        for i in range(num_parallel_tree)
+    ]
+    found = fit_gradient_boosted(boosters, rows, lambda blocks, n: _dealt(blocks, len(features), n), early_stop, track_history)
+    models = [PipelineModel([assembler, model]) for model, _ in found]
+    history = found[0][1]
     return TreeModel(label, features, fitted, models, "regressor", history)
 
 
