@@ -191,11 +191,11 @@ def predict(model: TreeModel | BoostedModel, df: DataFrame) -> DataFrame:
 
 def batch_predict(
     model: TreeModel, in_path: str, out_path: str, schema: T.StructType, include: Sequence[str] | None = None,
-    exclude: Sequence[str] | None = None,
+    exclude: Sequence[str] | None = None, compression: str | None = None,
 ) -> None:
-    """JSON lines in, JSON lines with predictions out; only the chosen input fields are scored and kept."""
+    """JSON lines in, JSON lines with predictions out, compressed if asked for; only the chosen input fields are scored and kept."""
     instances = scan_jsonl(SparkSession.getActiveSession(), in_path, schema)
-    write_jsonl(predict(model, select_features(instances, include, exclude)), out_path)
+    write_jsonl(predict(model, select_features(instances, include, exclude)), out_path, compression=compression)
 
 
 # the trees behind a model

@@ -11,7 +11,7 @@ from ..operators import columns as C
 from ..operators import features as X
 from ..operators import trees as M
 from ..operators.ordered import train_test_split
-from ..session import scratch_path, store
+from ..session import scratch, scratch_path, store
 from ..sources import writers as W
 from ..streaming import latest_rows, score_stream, sync_latest, write_stream
 from .fixtures import CALLS_CTE, FEATURES, calls, calls_from, clean_calls, labelled_cte
@@ -123,10 +123,15 @@ def save_model(spark, sf):
 @query("batch_predict", SCORED + "select call_id, true as equal from scored")
 def batch_predict(spark, sf):
     """The predictions written as JSON lines against those of the same instances in place."""
-    rows, source, target = _scored_calls(spark, sf), scratch_path(spark, "instances"), scratch_path(spark, "predictions")
-    W.write_jsonl(rows, source)
-    model = _trees(rows)
-    M.batch_predict(model, source, target, rows.schema, exclude=[LABEL])
+    codes = tuple(f"codes-{s.column}" for s in SPECS if s.kind == "label")
+    target = scratch_path(spark, "predictions")
+    with scratch(spark, keep=codes):
+        source = scratch_path(spark, "instances")
+        with scratch(spark, keep=codes):
+            rows = _scored_calls(spark, sf)
+            model = _trees(rows)
+            W.write_jsonl(rows, source, compression="gzip")
+        M.batch_predict(model, source, target, rows.schema, exclude=[LABEL], compression="gzip")
     written = rows.drop(LABEL).schema.add(f"predicted_{LABEL}", "double")
     found = spark.read.schema(written).json(target).withColumnRenamed(f"predicted_{LABEL}", "written")
     again = M.predict(model, found)

@@ -26,13 +26,22 @@ def export_csv(spark: SparkSession, table: str, path: str) -> None:
     write_csv(spark.table(table), path)
 
 
-def write_jsonl(df: DataFrame, path: str, n: int | None = None, order_by: Sequence[str] | None = None) -> None:
-    """Rows as JSON lines; the first ``n`` by ``order_by`` when given."""
+#: Rows of a compressed file, which a reader cannot part.
+COMPRESSED_ROWS = 1_000_000
+
+
+def write_jsonl(
+    df: DataFrame, path: str, n: int | None = None, order_by: Sequence[str] | None = None, compression: str | None = None
+) -> None:
+    """Rows as JSON lines; the first ``n`` by ``order_by`` when given. ``compression`` is a codec of Spark's, such as ``gzip``."""
     if n is not None:
         if not order_by:
             raise ValueError("the first n rows need order_by")
         df = df.orderBy(*order_by).limit(n)
-    df.write.mode("overwrite").json(path)
+    writer = df.write.mode("overwrite")
+    if compression:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", COMPRESSED_ROWS)
+    writer.json(path)
 
 
 def update_from(target: DataFrame, source: DataFrame, on: Sequence[str], set_cols: Sequence[str]) -> DataFrame:
